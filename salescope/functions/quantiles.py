@@ -1,10 +1,11 @@
 """Exact statistics and quantiles of large groups.
 
-``percentile`` keeps every distinct value of a group in one task. Here the
-values are first counted in narrow buckets, which combines map-side and leaves
-a small histogram; the histogram tells which bucket holds each wanted rank, and
-a second pass sorts only the values of those buckets. No task ever holds a
-whole group, and the answers are the exact order statistics.
+``percentile`` keeps every distinct value of a group in one task, so it is
+used for tables counted small only. Otherwise the values are first counted in
+narrow buckets, which combines map-side and leaves a small histogram; the
+histogram tells which bucket holds each wanted rank, and a second pass sorts
+only the values of those buckets. No task ever holds a whole group, and the
+answers are the same exact order statistics.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from salescope.sources.staging import BROADCAST_ROWS, materialize
 # prices within a factor of four fall into some 22,000 buckets.
 BUCKETS_PER_E = 16384
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+STATISTICS = ("n", "missing", "mean", "std", "min", "max")
+
+# Up to this many rows one task may hold a whole group's values (about 100 MB).
+SMALL_ROWS = 1_000_000
 
 
 def value_bucket(value: Column) -> Column:
@@ -56,19 +61,54 @@ def describe(
     by: Sequence[str] = (),
     probs: Mapping[str, float] = QUARTILES,
     only_incomplete: bool = False,
+    rows: int | None = None,
+    small_rows: int = SMALL_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Per group and value column: n, missing, mean, std, min, max and quantiles.
 
     Quantiles interpolate linearly between neighbours. Rows with a NULL group
-    key are left out. ``only_incomplete`` skips the second pass for columns
-    without gaps (their quantiles come back NULL). The first pass runs here,
-    so that its small result can be counted before it is broadcast.
+    key are left out. ``rows`` is an upper bound of the row count where the
+    caller has one; otherwise the rows are counted here.
     """
     require_numeric(df, *values)
+    keyed = drop_null_keys(df, list(by))
+    if (keyed.count() if rows is None else rows) <= small_rows:
+        return _describe_small(keyed, values, by, probs)
+    return _describe_large(keyed, values, by, probs, only_incomplete, broadcast_rows)
+
+
+def _describe_small(
+    df: DataFrame, values: Sequence[str], by: Sequence[str], probs: Mapping[str, float]
+) -> DataFrame:
+    value = F.col("value")
+    aggregates = [
+        F.count(value).alias("n"),
+        F.count_if(value.isNull()).alias("missing"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        *[F.percentile(value, F.lit(float(p))).alias(name) for name, p in probs.items()],
+    ]
+    return _long_values(df, values, by).groupBy(*by, "column").agg(*aggregates)
+
+
+def _describe_large(
+    df: DataFrame,
+    values: Sequence[str],
+    by: Sequence[str],
+    probs: Mapping[str, float],
+    only_incomplete: bool,
+    broadcast_rows: int,
+) -> DataFrame:
+    """Two scans, small shuffles. The first scan runs at once, so that its
+    small result can be counted before it is broadcast. ``only_incomplete``
+    spares columns without gaps the second pass: their quantiles are NULL.
+    """
     by = list(by)
     keys = [*by, "column"]
-    long = _long_values(drop_null_keys(df, by), values, by).withColumn(
+    long = _long_values(df, values, by).withColumn(
         "bucket", value_bucket(F.col("value"))
     )
 
@@ -110,16 +150,15 @@ def describe(
         wanted = wanted | _holds(F.floor(_position(prob))) | _holds(F.ceil(_position(prob)))
     if only_incomplete:
         wanted = wanted & (F.col("missing") > 0)
-    stats = ["n", "missing", "mean", "std", "min", "max"]
     # One marker row per group carries its statistics even if no bucket is wanted.
     first_row = F.row_number().over(group.orderBy(F.col("bucket").asc_nulls_first())) == 1
     picked = materialize(
         ranked.withColumns({"wanted": wanted & valid, "marker": first_row})
         .where("wanted or marker")
-        .select(*keys, "bucket", "wanted", "marker", "rank_from", *stats),
+        .select(*keys, "bucket", "wanted", "marker", "rank_from", *STATISTICS),
         "buckets",
     )
-    summary = picked.where("marker").select(*keys, *stats)
+    summary = picked.where("marker").select(*keys, *STATISTICS)
     if not probs:
         return summary
 
@@ -159,4 +198,4 @@ def describe(
         share = F.max(position - F.floor(position))
         found.append((lower + (upper - lower) * share).alias(name))
     quantiles = runs.groupBy(*keys).agg(*found)
-    return summary.join(quantiles, keys, "left").select(*keys, *stats, *probs)
+    return summary.join(quantiles, keys, "left").select(*keys, *STATISTICS, *probs)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.functions.quantiles import QUARTILES, describe
+from salescope.functions.quantiles import QUARTILES, SMALL_ROWS, describe
 from salescope.functions.stats import mileage_price_label, price_sales_label, safe_corr
 from salescope.schema import drop_null_keys, require_numeric
 from salescope.sources.staging import BROADCAST_ROWS, materialize
@@ -141,7 +141,11 @@ def corr_mileage_price(df: DataFrame) -> DataFrame:
 
 
 def box_stats(
-    df: DataFrame, column: str, by: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    column: str,
+    by: Sequence[str],
+    small_rows: int = SMALL_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Quartiles, range, count and whiskers per cell.
 
@@ -149,23 +153,28 @@ def box_stats(
     """
     require_numeric(df, column)
     by = list(by)
-    rows = df.dropna(subset=[*by, column]).select(*by, F.col(column).cast("double").alias("value"))
-    boxes = materialize(
-        describe(rows, ["value"], by=by).select(
-            *by, F.col("n").alias("count"), "min", "q25", F.col("q50").alias("median"), "q75", "max"
-        ),
-        "boxes",
+    points = df.dropna(subset=[*by, column]).select(*by, F.col(column).cast("double").alias("value"))
+    rows = points.count()
+    boxes = describe(points, ["value"], by=by, rows=rows, small_rows=small_rows).select(
+        *by, F.col("n").alias("count"), "min", "q25", F.col("q50").alias("median"), "q75", "max"
     )
+    fences = boxes.select(*by, "q25", "q75")
+    if rows > small_rows:
+        boxes = materialize(boxes, "boxes")
+        fences = boxes.select(*by, "q25", "q75")
+        if boxes.count() <= broadcast_rows:
+            fences = F.broadcast(fences)
+        else:
+            points = points.distinct()  # repeated values do not move a whisker
     reach = (F.col("q75") - F.col("q25")) * 1.5
     inside = F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
-    fences = boxes.select(*by, "q25", "q75")
-    if boxes.count() <= broadcast_rows:
-        fenced = rows.join(F.broadcast(fences), by)
-    else:
-        fenced = rows.distinct().join(fences, by)
-    whiskers = fenced.groupBy(*by).agg(
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
+    whiskers = (
+        points.join(fences, by)
+        .groupBy(*by)
+        .agg(
+            F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+            F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
+        )
     )
     return boxes.join(whiskers, by)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.functions.quantiles import describe
+from salescope.functions.quantiles import SMALL_ROWS, describe
 from salescope.functions.stats import bin_right_closed
 from salescope.schema import (
     IMPUTE_KEYS,
@@ -39,33 +39,43 @@ def _complete(columns: Sequence[str]) -> Column:
 
 
 def group_medians(
-    df: DataFrame, keys: Sequence[str], targets: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    targets: Sequence[str],
+    rows: int,
+    small_rows: int = SMALL_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Medians of the target columns for the groups that have a gap, written once.
+    """Medians of the target columns for the groups that have a gap.
 
-    Complete groups need no median. When the groups with gaps are few, all
-    other rows are filtered out map-side; otherwise every group is summarised,
-    and nothing but combined counts is shuffled.
+    Complete groups need no median. In a large table whose groups with gaps
+    are few, all other rows are filtered out map-side; if they are many, every
+    group is summarised, and nothing but combined counts is shuffled.
     """
     keys, targets = list(keys), list(targets)
     keyed = df.where(_complete(keys))
-    open_groups = materialize(
-        keyed.where(~_complete(targets)).select(*keys).distinct(), "groups-with-gaps"
+    open_groups = keyed.where(~_complete(targets)).select(*keys).distinct()
+    if rows <= small_rows:
+        keyed = keyed.join(open_groups, keys, "left_semi")
+    else:
+        open_groups = materialize(open_groups, "groups-with-gaps")
+        if open_groups.count() <= broadcast_rows:
+            keyed = keyed.join(F.broadcast(open_groups), keys, "left_semi")
+    long = describe(
+        keyed, targets, keys, MEDIAN, rows=rows, small_rows=small_rows, broadcast_rows=broadcast_rows
     )
-    rows = keyed
-    if open_groups.count() <= broadcast_rows:
-        rows = keyed.join(F.broadcast(open_groups), keys, "left_semi")
-    long = describe(rows, targets, by=keys, probs=MEDIAN, broadcast_rows=broadcast_rows)
     by_column = [
         F.max(F.when(F.col("column") == t, F.col("median"))).alias(f"{t}__median") for t in targets
     ]
-    return materialize(long.groupBy(*keys).agg(*by_column), "group-medians")
+    return long.groupBy(*keys).agg(*by_column)
 
 
 def impute_group_median(
     df: DataFrame,
     keys: Sequence[str] = IMPUTE_KEYS,
     columns: Sequence[str] = NUMERIC_COLUMNS,
+    rows: int | None = None,
+    small_rows: int = SMALL_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Fill gaps with the median of the row's group; rows with a NULL key stay as they are.
@@ -77,31 +87,47 @@ def impute_group_median(
     targets = [c for c in columns if c in df.columns and c not in keys]
     if not keys or not targets:
         return df
-    medians = group_medians(df, keys, targets, broadcast_rows)
-
-    def filled(rows: DataFrame, small: bool) -> DataFrame:
-        joined = rows.join(F.broadcast(medians) if small else medians, keys, "left")
-        return joined.withColumns(
-            {t: F.coalesce(F.col(t).cast("double"), F.col(f"{t}__median")) for t in targets}
-        ).select(*df.columns)
-
+    rows = df.count() if rows is None else rows
+    medians = group_medians(df, keys, targets, rows, small_rows, broadcast_rows)
+
+    def filled(part: DataFrame, summary: DataFrame) -> DataFrame:
+        return (
+            part.join(summary, keys, "left")
+            .withColumns({t: F.coalesce(F.col(t).cast("double"), F.col(f"{t}__median")) for t in targets})
+            .select(*df.columns)
+        )
+
+    if rows <= small_rows:
+        return filled(df, medians)
+    medians = materialize(medians, "group-medians")
     if medians.count() <= broadcast_rows:
-        return filled(df, small=True)
+        return filled(df, F.broadcast(medians))
     # Only rows with a fillable gap go through the shuffle join.
     fillable = _complete(keys) & ~_complete(targets)
     untouched = df.where(~fillable).withColumns({t: F.col(t).cast("double") for t in targets})
-    return untouched.unionByName(filled(df.where(fillable), small=False))
+    return untouched.unionByName(filled(df.where(fillable), medians))
 
 
-def global_medians(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> dict[str, float | None]:
-    """Exact medians of the columns that have gaps: a handful of numbers."""
-    rows = describe(df, [c for c in columns if c in df.columns], probs=MEDIAN, only_incomplete=True)
-    return {r["column"]: r["median"] for r in rows.where("missing > 0").collect()}
+def global_medians(
+    df: DataFrame,
+    columns: Sequence[str] = NUMERIC_COLUMNS,
+    rows: int | None = None,
+    small_rows: int = SMALL_ROWS,
+) -> dict[str, float | None]:
+    """Exact medians of the columns that have gaps: one number per column."""
+    present = [c for c in columns if c in df.columns]
+    found = describe(df, present, probs=MEDIAN, only_incomplete=True, rows=rows, small_rows=small_rows)
+    return {r["column"]: r["median"] for r in found.where("missing > 0").collect()}
 
 
-def impute_global_median(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
+def impute_global_median(
+    df: DataFrame,
+    columns: Sequence[str] = NUMERIC_COLUMNS,
+    rows: int | None = None,
+    small_rows: int = SMALL_ROWS,
+) -> DataFrame:
     """Fill the remaining gaps with the column's median, taken from ``df`` as it is."""
-    medians = global_medians(df, columns)
+    medians = global_medians(df, columns, rows, small_rows)
     fills = {
         c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items() if m is not None
     }
@@ -114,12 +140,15 @@ def impute_zero(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> Data
 
 
 def impute(
-    df: DataFrame, keys: Sequence[str] = IMPUTE_KEYS, columns: Sequence[str] = NUMERIC_COLUMNS
+    df: DataFrame,
+    keys: Sequence[str] = IMPUTE_KEYS,
+    columns: Sequence[str] = NUMERIC_COLUMNS,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Group median, then global median of the result, then 0."""
-    return impute_zero(
-        impute_global_median(impute_group_median(df, keys, columns), columns), columns
-    )
+    rows = df.count()
+    grouped = impute_group_median(df, keys, columns, rows, small_rows)
+    return impute_zero(impute_global_median(grouped, columns, rows, small_rows), columns)
 
 
 def truncate_engine(df: DataFrame, source: str = "engine_size_l", target: str = "engine_size") -> DataFrame:
@@ -154,7 +183,9 @@ def derive_columns(df: DataFrame) -> DataFrame:
     return cast_year(df) if "year" in df.columns else df
 
 
-def clean_sales(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
+def clean_sales(
+    df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, small_rows: int = SMALL_ROWS
+) -> DataFrame:
     """Headers, required columns, numbers, gaps, derived columns."""
     numbers = coerce_numeric(require_columns(normalize_headers(df), required))
-    return derive_columns(impute(numbers, columns=numeric_columns(numbers)))
+    return derive_columns(impute(numbers, columns=numeric_columns(numbers), small_rows=small_rows))

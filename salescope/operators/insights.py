@@ -25,8 +25,8 @@ def yoy_global(df: DataFrame) -> DataFrame:
 
 def growth_top_bottom(df: DataFrame, group: str = "region", n: int = 3) -> DataFrame:
     """Growth per year, and in the latest year, of the n largest and n smallest groups."""
-    first, last = F.get("series", F.lit(0)), F.element_at("series", -1)
-    before_last = F.when(F.size("series") > 1, F.element_at("series", -2)["units"])
+    first, last = F.get("series", F.lit(0)), F.get("series", F.size("series") - 1)
+    before_last = F.get("series", F.size("series") - 2)["units"]
     groups = item_series(df, group).select(
         group,
         "total_units",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescope.functions.formats import fixed
+from salescope.functions.quantiles import SMALL_ROWS
 from salescope.schema import (
     CARDINALITY_SHARE_LIMIT,
     MISSING_PERCENT_LIMIT,
@@ -36,21 +37,25 @@ def _outside(column: str, bounds: tuple[float, float]) -> Column:
     return (F.col(column) < bounds[0]) | (F.col(column) > bounds[1])
 
 
-def duplicate_rows(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def duplicate_rows(
+    df: DataFrame, small_rows: int = SMALL_ROWS, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """How many rows repeat an earlier one in all columns (gaps equal gaps).
 
-    Only 8-byte row hashes are shuffled at first. Rows whose hash occurs more
-    than once are then compared in full, so colliding hashes do no harm.
+    In a large table only 8-byte row hashes are shuffled at first. Rows whose
+    hash occurs more than once are then compared in full, so colliding hashes
+    do no harm; copies of a row combine map-side, however many there are.
     """
-    hashed = df.withColumn("row_hash", F.xxhash64(*df.columns))
-    suspects = materialize(
-        hashed.groupBy("row_hash").count().where("count > 1").select("row_hash"), "repeated-hashes"
-    )
-    if suspects.count() <= broadcast_rows:
-        hashed = hashed.join(F.broadcast(suspects), "row_hash", "left_semi")
-    # With very many suspects the filter would not pay: count all rows in full.
+    rows = df
+    if df.count() > small_rows:
+        hashed = df.withColumn("row_hash", F.xxhash64(*df.columns))
+        repeated = hashed.groupBy("row_hash").count().where("count > 1").select("row_hash")
+        suspects = materialize(repeated, "repeated-hashes")
+        # With very many suspects the filter would not pay: count all rows in full.
+        if suspects.count() <= broadcast_rows:
+            rows = hashed.join(F.broadcast(suspects), "row_hash", "left_semi")
     return (
-        hashed.groupBy(*df.columns)
+        rows.groupBy(*df.columns)
         .agg(F.count(F.lit(1)).alias("copies"))
         .agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
     )

@@ -61,7 +61,7 @@ def item_series(df: DataFrame, item: str, n: int | None = None) -> DataFrame:
     )
     if n is not None:
         items = items.orderBy(F.desc("total_units"), F.asc(item)).limit(n)
-    return items
+    return items.where(F.size("series") > 0)
 
 
 def trend_yearly(df: DataFrame, item: str, n: int = 3) -> DataFrame:
@@ -71,8 +71,8 @@ def trend_yearly(df: DataFrame, item: str, n: int = 3) -> DataFrame:
 
 def with_summary(items: DataFrame) -> DataFrame:
     """First and last year's price and the growth in between, from ``series``."""
-    first, last = F.get("series", F.lit(0)), F.element_at("series", -1)
-    return items.where(F.size("series") > 0).withColumns(
+    first, last = F.get("series", F.lit(0)), F.get("series", F.size("series") - 1)
+    return items.withColumns(
         {
             "growth": growth(first["units"], last["units"], F.size("series")),
             "first_price": first["avg_price"],

@@ -1,8 +1,8 @@
 """The report's text context as an ordered table of lines, per slice.
 
 One grouping-sets pass over the fact table yields every additive figure of the
-report; it is written once and all sections are built from that small table.
-Only the quantiles and correlations read the fact table again.
+report as one small row per item; it is written once and all sections are built
+from it. Only the quantiles and correlations read the fact table again.
 """
 
 from __future__ import annotations
@@ -67,25 +67,34 @@ BREAKDOWN_LINE = "BREAKDOWN_%s: %s"
 JSON_HEADING = "--- JSON DATA FOR CHART ANALYSIS ---"
 JSON_NAME = "price_elasticity_scatter_json:"
 
-# The grouping sets of the report: name -> (item column, second column).
-ITEM_SETS = {
-    "region": ("region", None),
-    "model": ("model", None),
-    "engine_size_l": ("engine_size_l", None),
-    "fuel_type": ("fuel_type", None),
-    "color": ("color", None),
-    "transmission": ("transmission", None),
-    "mileage_bin": ("mileage_bin", None),
-    "region_model": ("region", "model"),
-    "region_fuel_type": ("region", "fuel_type"),
-    "region_transmission": ("region", "transmission"),
-    "transmission_fuel_type": ("transmission", "fuel_type"),
-    "model_year": ("model", "year"),
-    "fuel_type_year": ("fuel_type", "year"),
-    "transmission_year": ("transmission", "year"),
-    "engine_size_year": ("engine_size", "year"),
-    "year": ("year", None),
-    "total": (None, None),
+# The grouping sets of the report: name -> (family, item column, second column).
+# The rows of a family describe the same items and are merged into one per item.
+SETS = {
+    "region": ("region", "region", None),
+    "region_model": ("region", "region", "model"),
+    "region_fuel_type": ("region", "region", "fuel_type"),
+    "region_transmission": ("region", "region", "transmission"),
+    "model": ("model", "model", None),
+    "model_year": ("model", "model", "year"),
+    "fuel_type": ("fuel_type", "fuel_type", None),
+    "fuel_type_year": ("fuel_type", "fuel_type", "year"),
+    "transmission": ("transmission", "transmission", None),
+    "transmission_year": ("transmission", "transmission", "year"),
+    "engine_size": ("engine_size", "engine_size", None),
+    "engine_size_year": ("engine_size", "engine_size", "year"),
+    "engine_size_l": ("engine_size_l", "engine_size_l", None),
+    "color": ("color", "color", None),
+    "mileage_bin": ("mileage_bin", "mileage_bin", None),
+    "total": ("total", None, None),
+    "year": ("total", None, "year"),
+    "transmission_fuel_type": ("cell", "transmission", "fuel_type"),
+}
+LEADERS = ("region_model", "region_fuel_type", "region_transmission")
+# How an item of a family sorts as a number; the others sort by their text.
+ITEM_ORDER = {
+    "engine_size_l": "engine_size_l",
+    "engine_size": "engine_size",
+    "mileage_bin": "mileage_bin_ord",
 }
 KEYS = (
     "year",
@@ -106,13 +115,24 @@ TOP_LABELS = {
     "fuel_type": "Fuel Types",
     "color": "Colors",
 }
-# Section name -> (label of an item, its grouping set, number of items).
+# Section name -> (label of an item, its family, number of items).
 TREND_SECTIONS = {
-    "TEMPORAL_MODEL_TRENDS": ("MODEL", "model_year", 3),
-    "TEMPORAL_FUEL_TRENDS": ("FUEL_TYPE", "fuel_type_year", 4),
-    "TEMPORAL_TRANSMISSION_TRENDS": ("TRANSMISSION", "transmission_year", 2),
-    "TEMPORAL_ENGINE_SIZE_TRENDS": ("ENGINE_SIZE", "engine_size_year", 3),
+    "TEMPORAL_MODEL_TRENDS": ("MODEL", "model", 3),
+    "TEMPORAL_FUEL_TRENDS": ("FUEL_TYPE", "fuel_type", 4),
+    "TEMPORAL_TRANSMISSION_TRENDS": ("TRANSMISSION", "transmission", 2),
+    "TEMPORAL_ENGINE_SIZE_TRENDS": ("ENGINE_SIZE", "engine_size", 3),
 }
+# Heading, family and figures of each part of the categorical section.
+CATEGORICAL = "CATEGORICAL_ANALYSIS"
+CATEGORIES = (
+    ("### Model Pricing and Sales Volume Summary", "model", ("price", "units")),
+    ("### Transmission Price Summary", "transmission", ("price",)),
+    ("### Fuel Type Price Summary", "fuel_type", ("price",)),
+    ("### Mileage Bin Price Summary (Depreciation Profile)", "mileage_bin", ("price",)),
+)
+SUMMARY, DYNAMICS = "GLOBAL_PERFORMANCE_SUMMARY", "PRICE_AND_MILEAGE_DYNAMICS"
+PROFILE, VARIATION = "REGIONAL_PROFILE", "REGIONAL_PRICE_VARIATION"
+FIRST_CATEGORY_NO, FIRST_TREND_NO = 5, 5 + len(CATEGORIES)
 
 
 def _sliced(df: DataFrame, slice_col: str | None) -> DataFrame:
@@ -123,25 +143,30 @@ def _sliced(df: DataFrame, slice_col: str | None) -> DataFrame:
 
 
 def _set_columns(name: str) -> list[str]:
-    columns = [c for c in ITEM_SETS[name] if c]
+    columns = [c for c in SETS[name][1:] if c]
     return [*columns, "mileage_bin_ord"] if "mileage_bin" in columns else columns
 
 
 def _set_id(name: str) -> int:
     """The grouping id of a set: one bit per key column, 1 where it is rolled up."""
-    bits = "".join("0" if c in _set_columns(name) else "1" for c in ("slice", *KEYS))
-    return int("0" + bits[1:], 2)
+    return int("".join("0" if c in _set_columns(name) else "1" for c in KEYS), 2)
+
+
+def _by_set(values: dict[str, Column]) -> Column:
+    """The value that belongs to the row's set."""
+    out = F.lit(None)
+    for name, value in values.items():
+        out = F.when(F.col("set_id") == _set_id(name), value).otherwise(out)
+    return out
 
 
-def report_sums(facts: DataFrame) -> DataFrame:
-    """Every additive figure of the report as (slice, set, item, sub, year, ...) rows."""
-    sets = [["slice", *_set_columns(name)] for name in ITEM_SETS]
+def _set_rows(facts: DataFrame) -> DataFrame:
+    """The grouping sets in long form: family, item, second key and figures."""
+    sets = [["slice", *_set_columns(name)] for name in SETS]
     sums = facts.groupingSets(sets, "slice", *KEYS).agg(
         F.grouping_id().alias("set_id"),
         units_sum().cast("double").alias("units"),
         F.sum(F.col("sales_volume") * F.col("price_usd")).alias("revenue"),
-        F.min("year").alias("first_year"),
-        F.max("year").alias("last_year"),
         F.count("price_usd").alias("price_n"),
         F.avg("price_usd").alias("avg_price"),
         F.min("price_usd").alias("min_price"),
@@ -153,39 +178,61 @@ def report_sums(facts: DataFrame) -> DataFrame:
         F.avg("mileage_km").alias("avg_mileage"),
         F.avg("engine_size_l").alias("avg_engine_size"),
     )
-    name, item, sub, order, complete = F.lit(None), F.lit(None), F.lit(None), F.lit(None), F.lit(True)
-    for set_name, (first, second) in ITEM_SETS.items():
-        here = F.col("set_id") == _set_id(set_name)
-        name = F.when(here, set_name).otherwise(name)
-        if first:
-            item = F.when(here, F.col(first).cast("string")).otherwise(item)
-            complete = F.when(here, F.col(first).isNotNull()).otherwise(complete)
-        if second:
-            sub = F.when(here, F.col(second).cast("string")).otherwise(sub)
-            complete = complete & (~here | F.col(second).isNotNull())
-    for set_name, column in (
-        ("engine_size_l", "engine_size_l"),
-        ("mileage_bin", "mileage_bin_ord"),
-        ("engine_size_year", "engine_size"),
-    ):
-        order = F.when(F.col("set_id") == _set_id(set_name), F.col(column).cast("double")).otherwise(order)
-    return (
-        sums.withColumns({"set": name, "item": item, "sub": sub, "item_order": order, "complete": complete})
-        .where("complete")
-        .drop("complete", "set_id", *[k for k in KEYS if k != "year"])
+    keyed = sums.withColumns(
+        {
+            "set": _by_set({n: F.lit(n) for n in SETS}),
+            "family": _by_set({n: F.lit(f) for n, (f, _i, _s) in SETS.items()}),
+            "item": _by_set({n: F.col(i).cast("string") for n, (_f, i, _s) in SETS.items() if i}),
+            "sub": _by_set({n: F.col(s).cast("string") for n, (_f, _i, s) in SETS.items() if s}),
+            "item_order": _by_set(
+                {n: F.col(ITEM_ORDER[f]).cast("double") for n, (f, _i, _s) in SETS.items() if f in ITEM_ORDER}
+            ),
+        }
     )
+    # A row without its item or second key belongs to no group.
+    no_item = F.col("item").isNull() & (F.col("family") != "total")
+    no_sub = F.col("sub").isNull() & F.col("set").isin(*[n for n, (_f, _i, s) in SETS.items() if s])
+    return keyed.where(~no_item & ~no_sub)
 
 
-def _lines(df: DataFrame, number: int, section: str, lines: Sequence, order=None, name=None) -> DataFrame:
-    """Turn each row into lines; rows of a slice sort by ``order`` and ``name``."""
-    texts = [F.lit(x) if isinstance(x, str) else x for x in lines]
-    return df.select(
-        "slice",
-        F.lit(number).alias("section_no"),
-        F.lit(section).alias("section"),
-        (F.lit(0.0) if order is None else order.cast("double")).alias("order_1"),
-        (F.lit("") if name is None else name).alias("order_2"),
-        F.posexplode(F.array(*texts)).alias("line_no", "line"),
+def report_items(facts: DataFrame) -> DataFrame:
+    """One row per (slice, family, item): figures, yearly series and leaders.
+
+    A series has one entry per year, and a leader is a minimum over
+    (-units, name), so no group is gathered beyond its years.
+    """
+    by_year = F.col("set").isin(*[n for n, (_f, _i, s) in SETS.items() if s == "year"])
+    plain = F.col("set").isin(*[n for n, (_f, _i, s) in SETS.items() if s is None], "transmission_fuel_type")
+    figures = (
+        "units",
+        "revenue",
+        "price_n",
+        "avg_price",
+        "min_price",
+        "max_price",
+        "units_n",
+        "avg_units",
+        "min_units",
+        "max_units",
+        "avg_mileage",
+        "avg_engine_size",
+    )
+    entry = F.struct("year", "units", "avg_price")
+    ranked = F.struct((-F.col("units")).alias("less"), "sub")
+    return (
+        _set_rows(facts)
+        .groupBy(
+            "slice",
+            "family",
+            "item",
+            "item_order",
+            F.when(F.col("family") == "cell", F.col("sub")).alias("second"),
+        )
+        .agg(
+            *[F.max(F.when(plain, F.col(f))).alias(f) for f in figures],
+            F.sort_array(F.collect_list(F.when(by_year, entry))).alias("series"),
+            *[F.min(F.when(F.col("set") == s, ranked))["sub"].alias(f"top_{s}") for s in LEADERS],
+        )
     )
 
 
@@ -193,28 +240,34 @@ def _text(template: str, *pieces: Column) -> Column:
     return F.format_string(template, *[or_na(p) for p in pieces])
 
 
-def _of(sums: DataFrame, name: str) -> DataFrame:
-    return sums.where(F.col("set") == name)
+def _entries(number: int, section: str, lines: Sequence, order_1=0.0, order_2="") -> list[Column]:
+    """Lines with their place: section, then order_1 and order_2, then line number."""
+    as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
+    return [
+        F.struct(
+            F.lit(number).alias("section_no"),
+            F.lit(section).alias("section"),
+            as_column(order_1).cast("double").alias("order_1"),
+            as_column(order_2).alias("order_2"),
+            F.lit(i).alias("line_no"),
+            as_column(line).alias("line"),
+        )
+        for i, line in enumerate(lines)
+    ]
 
 
-def _top_lists(sums: DataFrame, n: int = 3) -> DataFrame:
+def _top_lists(items: DataFrame, n: int = 3) -> DataFrame:
     """Per slice one text column per dimension with its top n items."""
-    order = Window.partitionBy("slice", "set").orderBy(F.desc("units"), "item_order", "item")
-    unit = F.when(F.col("set") == "engine_size_l", "L").otherwise("")
-    best = (
-        sums.where(F.col("set").isin(*TOP_LABELS))
-        .withColumn("position", F.row_number().over(order))
-        .where(F.col("position") <= n)
-        .withColumn(
-            "text", F.concat("item", unit, F.lit(" ("), thousands(F.col("units")), F.lit(")"))
-        )
-    )
+    family = F.col("family")
+    unit = F.when(family == "engine_size_l", "L").otherwise("")
+    text = F.concat("item", unit, F.lit(" ("), thousands(F.col("units")), F.lit(")"))
+    best = items.where(family.isin(*TOP_LABELS) & (F.col("position") <= n))
+    chosen = F.struct("position", text.alias("text"))
     return best.groupBy("slice").agg(
         *[
             F.array_join(
                 F.transform(
-                    F.sort_array(F.collect_list(F.when(F.col("set") == d, F.struct("position", "text")))),
-                    lambda x: x["text"],
+                    F.sort_array(F.collect_list(F.when(family == d, chosen))), lambda x: x["text"]
                 ),
                 ", ",
             ).alias(f"top_{d}")
@@ -223,30 +276,36 @@ def _top_lists(sums: DataFrame, n: int = 3) -> DataFrame:
     )
 
 
-def _yearly(sums: DataFrame) -> DataFrame:
-    """Per slice the yearly units as text, and their growth."""
-    entry = F.concat(F.col("year").cast("string"), F.lit(": "), thousands(F.col("units")))
-    return (
-        _of(sums, "year")
-        .groupBy("slice")
-        .agg(
-            F.array_join(
-                F.transform(
-                    F.sort_array(F.collect_list(F.struct("year", entry.alias("text")))), lambda x: x["text"]
-                ),
-                ", ",
-            ).alias("yearly_text"),
-            cagr(F.min_by("units", "year"), F.max_by("units", "year"), F.count("year")).alias("cagr"),
-        )
+def _dynamics(facts: DataFrame, rows: int) -> DataFrame:
+    """Quantiles and correlations per slice: the figures that are not sums."""
+    measures = {"price": "price_usd", "mileage": "mileage_km", "engine": "engine_size_l"}
+    stats = describe(facts, list(measures.values()), by=["slice"], rows=rows)
+    wide = stats.groupBy("slice").agg(
+        *[
+            F.max(F.when(F.col("column") == column, fixed(F.col(f), 2))).alias(f"{m}_{f}")
+            for m, column in measures.items()
+            for f in ("mean", "q25", "q50", "q75", "min", "max")
+        ]
+    )
+    price, units, mileage = F.col("price_usd"), F.col("sales_volume"), F.col("mileage_km")
+    related = facts.groupBy("slice").agg(
+        safe_corr(price, units).alias("price_sales"), safe_corr(mileage, price).alias("mileage_price")
     )
+    return wide.join(related, "slice")
 
 
-def _summary_lines(sums: DataFrame) -> DataFrame:
-    head = _of(sums, "total").join(_yearly(sums), "slice", "left").join(_top_lists(sums), "slice", "left")
-    return _lines(
-        head,
+def _slice_entries() -> list[Column]:
+    """The lines that appear once per slice: figures of the whole and headings."""
+    years, count = F.col("series"), F.size("series")
+    first, last = F.get(years, F.lit(0)), F.get(years, count - 1)
+    rate = cagr(first["units"], last["units"], count)
+    yearly = F.array_join(
+        F.transform(years, lambda e: F.concat(e["year"].cast("string"), F.lit(": "), thousands(e["units"]))),
+        ", ",
+    )
+    entries = _entries(
         1,
-        "GLOBAL_PERFORMANCE_SUMMARY",
+        SUMMARY,
         [
             TITLE,
             "",
@@ -254,35 +313,16 @@ def _summary_lines(sums: DataFrame) -> DataFrame:
             RULE,
             _text(REVENUE_LINE, money(F.col("revenue"), 2)),
             _text(UNITS_LINE, thousands(F.col("units"))),
-            _text(PERIOD_LINE, F.col("first_year").cast("string"), F.col("last_year").cast("string")),
-            _text(TREND_LINE, F.upper(trend_label(F.col("cagr"))), percent(F.col("cagr"))),
-            _text(YEARLY_LINE, F.col("yearly_text")),
+            _text(PERIOD_LINE, first["year"].cast("string"), last["year"].cast("string")),
+            _text(TREND_LINE, F.upper(trend_label(rate)), percent(rate)),
+            _text(YEARLY_LINE, yearly),
             TOP_HEADING,
             *[_text(TOP_LINE, F.lit(label), F.col(f"top_{d}")) for d, label in TOP_LABELS.items()],
         ],
     )
-
-
-def _dynamics_lines(facts: DataFrame) -> DataFrame:
-    """Quantiles and correlations: the figures that are not sums."""
-    measures = {"price": "price_usd", "mileage": "mileage_km", "engine": "engine_size_l"}
-    stats = describe(facts, list(measures.values()), by=["slice"])
-    figures = ("mean", "q25", "q50", "q75", "min", "max")
-    wide = stats.groupBy("slice").agg(
-        *[
-            F.max(F.when(F.col("column") == column, fixed(F.col(f), 2))).alias(f"{m}_{f}")
-            for m, column in measures.items()
-            for f in figures
-        ]
-    )
-    price, units, mileage = F.col("price_usd"), F.col("sales_volume"), F.col("mileage_km")
-    related = facts.groupBy("slice").agg(
-        safe_corr(price, units).alias("price_sales"), safe_corr(mileage, price).alias("mileage_price")
-    )
-    return _lines(
-        wide.join(related, "slice"),
+    entries += _entries(
         2,
-        "PRICE_AND_MILEAGE_DYNAMICS",
+        DYNAMICS,
         [
             RULE,
             DYNAMICS_HEADING,
@@ -304,141 +344,105 @@ def _dynamics_lines(facts: DataFrame) -> DataFrame:
             ),
         ],
     )
+    entries += _entries(3, PROFILE, [RULE, PROFILE_HEADING, RULE])
+    entries += _entries(4, VARIATION, [VARIATION_HEADING], order_1=-1.0)
+    for i, (heading, _family, _figures) in enumerate(CATEGORIES):
+        opening = ["", SECTION_LINE % CATEGORICAL, RULE] if i == 0 else [""]
+        entries += _entries(FIRST_CATEGORY_NO + i, CATEGORICAL, [*opening, heading], order_1=-1.0)
+    for i, section in enumerate(TREND_SECTIONS):
+        entries += _entries(FIRST_TREND_NO + i, section, ["", SECTION_LINE % section, RULE])
+    return entries
 
 
-def _heading(sums: DataFrame, number: int, section: str, lines: Sequence[str], first: float) -> DataFrame:
-    """Lines that appear once per slice, placed by ``first``."""
-    return _lines(_of(sums, "total"), number, section, lines, order=F.lit(first))
-
-
-def _profile_lines(sums: DataFrame) -> DataFrame:
-    leaders = {"region_model": "top_model", "region_fuel_type": "top_fuel", "region_transmission": "top_trans"}
-    order = Window.partitionBy("slice", "set", "item").orderBy(F.desc("units"), "sub")
-    best = (
-        sums.where(F.col("set").isin(*leaders))
-        .withColumn("position", F.row_number().over(order))
-        .where("position = 1")
-        .groupBy("slice", "item")
-        .agg(*[F.max(F.when(F.col("set") == s, F.col("sub"))).alias(name) for s, name in leaders.items()])
-    )
-    regions = _of(sums, "region").join(best, ["slice", "item"], "left")
+def _region_entries() -> list[Column]:
     pieces = (
         F.col("item"),
         thousands(F.col("units")),
         money(F.col("avg_price"), 2, grouped=False),
         fixed(F.col("avg_mileage"), 0, grouped=False),
-        F.col("top_model"),
-        F.col("top_fuel"),
-        F.col("top_trans"),
+        *[F.col(f"top_{s}") for s in LEADERS],
     )
-    lines = [_text(template, piece) for template, piece in zip(PROFILE_LINES, pieces)]
-    section = "REGIONAL_PROFILE"
-    head = _heading(sums, 3, section, [RULE, PROFILE_HEADING, RULE], float("-inf"))
-    return head.unionByName(_lines(regions, 3, section, lines, -F.col("units"), F.col("item")))
-
-
-def _variation_lines(sums: DataFrame) -> DataFrame:
-    section = "REGIONAL_PRICE_VARIATION"
-    line = _text(
-        VARIATION_LINE,
-        F.col("item"),
-        *[money(F.col(c), 2, grouped=False) for c in ("avg_price", "max_price", "min_price")],
-    )
-    return _heading(sums, 4, section, [VARIATION_HEADING], -1.0).unionByName(
-        _lines(_of(sums, "region"), 4, section, [line], name=F.col("item"))
+    profile = [_text(template, piece) for template, piece in zip(PROFILE_LINES, pieces)]
+    prices = [money(F.col(c), 2, grouped=False) for c in ("avg_price", "max_price", "min_price")]
+    variation = _text(VARIATION_LINE, F.col("item"), *prices)
+    return _entries(3, PROFILE, profile, order_1=F.col("position")) + _entries(
+        4, VARIATION, [variation], order_2=F.col("item")
     )
 
 
-def _group_lines(sums: DataFrame, number: int, section: str, headings: Sequence[str], measures: Sequence[str], name: str) -> DataFrame:
-    """A heading and one statistics line per group, for each measure in turn."""
-    out = _heading(sums, number, section, headings, -1.0)
-    for place, measure in enumerate(measures):
-        column, label = ("price", "Price") if measure == "price" else ("units", "Sales Volume")
-        text = money if measure == "price" else fixed
+def _category_entries(number: int, figures: Sequence[str]) -> list[Column]:
+    """One statistics line per figure; the lines of a figure stay together."""
+    entries = []
+    for place, figure in enumerate(figures):
+        text = money if figure == "price" else fixed
+        label = "Price" if figure == "price" else "Sales Volume"
         line = _text(
             GROUP_LINE,
             F.col("item"),
             F.lit(label),
-            *[text(F.col(f"{f}_{column}"), 0) for f in ("avg", "min", "max")],
-            F.col(f"{column}_n").cast("string"),
+            *[text(F.col(f"{f}_{figure}"), 0) for f in ("avg", "min", "max")],
+            F.col(f"{figure}_n").cast("string"),
         )
-        # A measure's lines stay together; bins keep their own order.
-        order = F.lit(place * 1e6) + F.coalesce("item_order", F.lit(0.0))
-        out = out.unionByName(_lines(_of(sums, name), number, section, [line], order, F.col("item")))
-    return out
+        order = F.lit(place * 1e9) + F.coalesce("item_order", F.lit(0.0))
+        entries += _entries(number, CATEGORICAL, [line], order, F.col("item"))
+    return entries
 
 
-def _categorical_lines(sums: DataFrame) -> DataFrame:
-    section = "CATEGORICAL_ANALYSIS"
-    opening = ["", SECTION_LINE % section, RULE]
-    parts = (
-        ([*opening, "### Model Pricing and Sales Volume Summary"], ["price", "units"], "model"),
-        (["", "### Transmission Price Summary"], ["price"], "transmission"),
-        (["", "### Fuel Type Price Summary"], ["price"], "fuel_type"),
-        (["", "### Mileage Bin Price Summary (Depreciation Profile)"], ["price"], "mileage_bin"),
-    )
-    out = None
-    for i, (headings, measures, name) in enumerate(parts):
-        part = _group_lines(sums, 5 + i, section, headings, measures, name)
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _trend_lines(sums: DataFrame, number: int, section: str) -> DataFrame:
-    label, set_name, n = TREND_SECTIONS[section]
-    order = Window.partitionBy("slice").orderBy(F.desc("total_units"), "item_order", "item")
-    items = (
-        _of(sums, set_name)
-        .groupBy("slice", "item", "item_order")
-        .agg(
-            F.sum("units").alias("total_units"),
-            F.sort_array(F.collect_list(F.struct("year", "units", "avg_price"))).alias("series"),
-        )
-        .withColumn("position", F.row_number().over(order))
-        .where(F.col("position") <= n)
-    )
+def _trend_entries(number: int, section: str, label: str) -> list[Column]:
     lines = [
         _text(SUMMARY_LINE, F.lit(label), F.col("item"), F.col("summary")),
         _text(BREAKDOWN_LINE, F.col("item"), F.col("breakdown")),
     ]
-    head = _heading(sums, number, section, ["", SECTION_LINE % section, RULE], 0.0)
-    return head.unionByName(_lines(trend_text(items, "item"), number, section, lines, F.col("position")))
+    return _entries(number, section, lines, order_1=F.col("position"))
 
 
-def _numbered(lines: DataFrame) -> DataFrame:
-    """Lines numbered within their section; one section of one slice per partition."""
-    order = Window.partitionBy("slice", "section_no").orderBy("order_1", "order_2", "line_no")
-    return lines.select("slice", "section_no", "section", F.row_number().over(order).alias("seq"), "line")
+def _all_lines(facts: DataFrame, items: DataFrame, rows: int) -> DataFrame:
+    """Every row of the item table turns into the lines it stands for."""
+    order = Window.partitionBy("slice", "family").orderBy(F.desc("units"), "item_order", "item")
+    ranked = trend_text(
+        items.where("family != 'cell'").withColumn("position", F.row_number().over(order)), "item"
+    )
+    family, position = F.col("family"), F.col("position")
 
+    whole = (
+        ranked.where(family == "total")
+        .join(_top_lists(ranked), "slice", "left")
+        .join(_dynamics(facts, rows), "slice", "left")
+        .select("slice", F.inline(F.array(*_slice_entries())))
+    )
 
-def _all_lines(facts: DataFrame, sums: DataFrame) -> DataFrame:
-    lines = (
-        _summary_lines(sums)
-        .unionByName(_dynamics_lines(facts))
-        .unionByName(_profile_lines(sums))
-        .unionByName(_variation_lines(sums))
-        .unionByName(_categorical_lines(sums))
+    # The lines of an item depend on its family; a trend has its top items only.
+    parts = [F.when(family == "region", F.array(*_region_entries()))]
+    for i, (_heading, name, figures) in enumerate(CATEGORIES):
+        parts.append(F.when(family == name, F.array(*_category_entries(FIRST_CATEGORY_NO + i, figures))))
+    for i, (section, (label, name, n)) in enumerate(TREND_SECTIONS.items()):
+        shown = (family == name) & (position <= n)
+        parts.append(F.when(shown, F.array(*_trend_entries(FIRST_TREND_NO + i, section, label))))
+    entries = F.flatten(F.array_compact(F.array(*parts)))
+    details = ranked.where(family != "total").select("slice", F.inline(entries))
+
+    # One section of one slice per partition: as many lines as it has items.
+    reading = Window.partitionBy("slice", "section_no").orderBy("order_1", "order_2", "line_no")
+    return whole.unionByName(details).select(
+        "slice", "section_no", "section", F.row_number().over(reading).alias("seq"), "line"
     )
-    for i, section in enumerate(TREND_SECTIONS):
-        lines = lines.unionByName(_trend_lines(sums, 9 + i, section))
-    return _numbered(lines)
 
 
 def context_lines(df: DataFrame, slice_col: str | None = None) -> DataFrame:
     """The context as (slice, section_no, section, seq, line), in reading order."""
     facts = _sliced(df, slice_col)
-    sums = materialize(report_sums(facts), "report-sums")
-    return _all_lines(facts, sums).orderBy("slice", "section_no", "seq")
+    items = materialize(report_items(facts), "report-items")
+    return _all_lines(facts, items, facts.count()).orderBy("slice", "section_no", "seq")
 
 
-def _chart_json(sums: DataFrame) -> DataFrame:
+def _chart_json(items: DataFrame) -> DataFrame:
     """Per slice the price-elasticity chart as one JSON array."""
     cells = (
-        _of(sums, "transmission_fuel_type")
+        items.where("family = 'cell'")
         .select(
             "slice",
             F.col("item").alias("transmission"),
-            F.col("sub").alias("fuel_type"),
+            F.col("second").alias("fuel_type"),
             F.col("avg_price").alias("avg_price_usd"),
             F.col("units").alias("total_sales_volume"),
             "avg_engine_size",
@@ -479,17 +483,17 @@ def prompt_rows(
     distinct groups shown in a report, not the rows of the table.
     """
     facts = _sliced(df, slice_col)
-    sums = materialize(report_sums(facts), "report-sums")
+    items = materialize(report_items(facts), "report-items")
     line = F.struct("section_no", "seq", "line")
     texts = (
-        _all_lines(facts, sums)
+        _all_lines(facts, items, facts.count())
         .groupBy("slice")
         .agg(
             F.array_join(
                 F.transform(F.sort_array(F.collect_list(line)), lambda x: x["line"]), "\n"
             ).alias("context")
         )
-        .join(_chart_json(sums), "slice", "left")
+        .join(_chart_json(items), "slice", "left")
     )
     opening = "\n\n".join([directives, DIRECTIVES_END, ROLE_LABEL + role, TASK])
     prompt = F.concat(

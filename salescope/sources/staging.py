@@ -10,7 +10,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # A summary of at most this many rows may be broadcast (a few MB of keys and
 # numbers); larger ones are joined through a shuffle.
@@ -41,9 +40,3 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     path = new_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
-def join_summary(df: DataFrame, summary: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join rows to a materialized summary: broadcast if counted small, else shuffled."""
-    small = summary.count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(summary) if small else summary, keys, how)
