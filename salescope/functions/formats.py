@@ -1,31 +1,44 @@
-"""Number and text formats. Ties round half to even, as in most report tools."""
+"""Number and text formats, as Spark SQL expression text for ``F.expr``.
+
+Report lines are long expressions; as text a whole line reaches the JVM in one
+call. ``format_number`` rounds ties half to even.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def thousands(value: Column) -> Column:
-    """1234567 -> 1,234,567."""
-    return F.format_number(value, 0)
+
+def fixed(value: str, decimals: int, grouped: bool = True) -> str:
+    """1234.5 -> 1,234.50 with two decimals; without the comma if not grouped."""
+    text = f"format_number(CAST({value} AS DOUBLE), {decimals})"
+    return text if grouped else f"replace({text}, ',', '')"
 
 
-def fixed(value: Column, decimals: int, grouped: bool = True) -> Column:
-    text = F.format_number(value.cast("double"), decimals)
-    return text if grouped else F.replace(text, F.lit(","), F.lit(""))
+def thousands(value: str) -> str:
+    """1234567 -> 1,234,567."""
+    return fixed(value, 0)
 
 
-def money(value: Column, decimals: int = 0, grouped: bool = True) -> Column:
-    return F.concat(F.lit("$"), fixed(value, decimals, grouped))
+def money(value: str, decimals: int = 0, grouped: bool = True) -> str:
+    return f"concat('$', {fixed(value, decimals, grouped)})"
 
 
-def percent(value: Column, signed: bool = False) -> Column:
+def percent(value: str, signed: bool = False) -> str:
     """0.1234 -> 12.34%, with a plus sign when asked for."""
-    text = F.concat(fixed(value * 100, 2, grouped=False), F.lit("%"))
-    return F.when(value >= 0, F.concat(F.lit("+"), text)).otherwise(text) if signed else text
+    text = f"concat({fixed(f'({value}) * 100', 2, grouped=False)}, '%')"
+    return f"concat(if({value} >= 0, '+', ''), {text})" if signed else text
+
+
+def text(template: str, *pieces: str) -> str:
+    """The template with its ``%s`` filled in; a missing piece reads N/A."""
+    filled = [f"coalesce({p}, 'N/A')" for p in pieces]
+    return f"format_string({', '.join([literal(template), *filled])})"
 
 
-def or_na(text: Column) -> Column:
-    """A missing piece must not blank the whole line."""
-    return F.coalesce(text, F.lit("N/A"))
+def joined(array: str, element: str, separator: str = ", ") -> str:
+    """The elements of an array as text; ``element`` is an expression over ``x``."""
+    return f"array_join(transform({array}, x -> {element}), {literal(separator)})"

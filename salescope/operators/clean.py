@@ -70,6 +70,25 @@ def group_medians(
     return long.groupBy(*keys).agg(*by_column)
 
 
+def join_group_stat(
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    small_rows: int = SMALL_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Each row with the median of its group as ``median_<column>``."""
+    rows = df.count()
+    medians = describe(df, [column], keys, MEDIAN, rows=rows, small_rows=small_rows).select(
+        *keys, F.col("median").alias(f"median_{column}")
+    )
+    if rows > small_rows:
+        medians = materialize(medians, "group-medians")
+        if medians.count() <= broadcast_rows:
+            medians = F.broadcast(medians)
+    return df.join(medians, list(keys), "left")
+
+
 def impute_group_median(
     df: DataFrame,
     keys: Sequence[str] = IMPUTE_KEYS,

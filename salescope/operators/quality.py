@@ -163,7 +163,10 @@ def _row_counts(df: DataFrame) -> DataFrame:
     cells = []
     for i, (check, column, severity, _value, message) in enumerate(checks):
         observed = F.col(f"check_{i}")
-        text = fixed(observed, 2, grouped=False) if check == "missing" else observed.cast("bigint").cast("string")
+        if check == "missing":
+            text = F.expr(fixed(f"check_{i}", 2, grouped=False))
+        else:
+            text = observed.cast("bigint").cast("string")
         args = [F.lit(column), text] if message.startswith("%s") else [text]
         cells.append(
             F.struct(

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.functions.formats import money, or_na, percent, thousands
+from salescope.functions.formats import joined, money, percent, text, thousands
 from salescope.functions.stats import cagr, change, growth, trend_label
 from salescope.operators.aggregate import units_sum
 from salescope.schema import drop_null_keys
@@ -94,32 +94,23 @@ ENTRY_FORMAT = "Y%s: S%s/P%s"
 ENTRY_SEPARATOR = " | "
 
 
-def trend_text(items: DataFrame, item: str) -> DataFrame:
+def trend_text(items: DataFrame) -> DataFrame:
     """``summary`` and ``breakdown`` text per item, from ``series``."""
-    breakdown = F.array_join(
-        F.transform(
-            "series",
-            lambda e: F.format_string(
-                ENTRY_FORMAT,
-                e["year"].cast("string"),
-                or_na(thousands(e["units"])),
-                or_na(money(e["avg_price"])),
-            ),
-        ),
-        ENTRY_SEPARATOR,
+    entry = text(ENTRY_FORMAT, "CAST(x.year AS STRING)", thousands("x.units"), money("x.avg_price"))
+    summary = text(
+        SUMMARY_FORMAT, percent("growth", signed=True), money("first_price"), money("last_price")
     )
-    summary = F.format_string(
-        SUMMARY_FORMAT,
-        or_na(percent(F.col("growth"), signed=True)),
-        or_na(money(F.col("first_price"))),
-        or_na(money(F.col("last_price"))),
+    return with_summary(items).withColumns(
+        {
+            "summary": F.expr(summary),
+            "breakdown": F.expr(joined("series", entry, ENTRY_SEPARATOR)),
+        }
     )
-    return with_summary(items).withColumns({"summary": summary, "breakdown": breakdown})
 
 
 def trend_breakdown(df: DataFrame, item: str, n: int = 3) -> DataFrame:
     """Per top item its summary line and its yearly breakdown line."""
-    return trend_text(item_series(df, item, n), item).select(item, "summary", "breakdown")
+    return trend_text(item_series(df, item, n)).select(item, "summary", "breakdown")
 
 
 def with_yoy(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

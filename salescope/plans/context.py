@@ -12,7 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.functions.formats import fixed, money, or_na, percent, thousands
+from salescope.functions.formats import (
+    fixed,
+    joined,
+    literal,
+    money,
+    percent,
+    text,
+    thousands,
+)
 from salescope.functions.quantiles import describe
 from salescope.functions.stats import (
     cagr,
@@ -21,7 +29,6 @@ from salescope.functions.stats import (
     safe_corr,
     trend_label,
 )
-from salescope.operators.aggregate import units_sum
 from salescope.operators.trends import trend_text
 from salescope.schema import drop_null_keys
 from salescope.sources.sinks import json_record
@@ -152,12 +159,10 @@ def _set_id(name: str) -> int:
     return int("".join("0" if c in _set_columns(name) else "1" for c in KEYS), 2)
 
 
-def _by_set(values: dict[str, Column]) -> Column:
-    """The value that belongs to the row's set."""
-    out = F.lit(None)
-    for name, value in values.items():
-        out = F.when(F.col("set_id") == _set_id(name), value).otherwise(out)
-    return out
+def _by_set(values: dict[str, str]) -> Column:
+    """The expression that belongs to the row's set."""
+    cases = " ".join(f"WHEN {_set_id(name)} THEN {value}" for name, value in values.items())
+    return F.expr(f"CASE set_id {cases} END")
 
 
 def _set_rows(facts: DataFrame) -> DataFrame:
@@ -165,27 +170,31 @@ def _set_rows(facts: DataFrame) -> DataFrame:
     sets = [["slice", *_set_columns(name)] for name in SETS]
     sums = facts.groupingSets(sets, "slice", *KEYS).agg(
         F.grouping_id().alias("set_id"),
-        units_sum().cast("double").alias("units"),
-        F.sum(F.col("sales_volume") * F.col("price_usd")).alias("revenue"),
-        F.count("price_usd").alias("price_n"),
-        F.avg("price_usd").alias("avg_price"),
-        F.min("price_usd").alias("min_price"),
-        F.max("price_usd").alias("max_price"),
-        F.count("sales_volume").alias("units_n"),
-        F.avg("sales_volume").alias("avg_units"),
-        F.min("sales_volume").cast("double").alias("min_units"),
-        F.max("sales_volume").cast("double").alias("max_units"),
-        F.avg("mileage_km").alias("avg_mileage"),
-        F.avg("engine_size_l").alias("avg_engine_size"),
+        F.expr("CAST(coalesce(sum(sales_volume), 0) AS DOUBLE) AS units"),
+        F.expr("sum(sales_volume * price_usd) AS revenue"),
+        F.expr("count(price_usd) AS price_n"),
+        F.expr("avg(price_usd) AS avg_price"),
+        F.expr("min(price_usd) AS min_price"),
+        F.expr("max(price_usd) AS max_price"),
+        F.expr("count(sales_volume) AS units_n"),
+        F.expr("avg(sales_volume) AS avg_units"),
+        F.expr("CAST(min(sales_volume) AS DOUBLE) AS min_units"),
+        F.expr("CAST(max(sales_volume) AS DOUBLE) AS max_units"),
+        F.expr("avg(mileage_km) AS avg_mileage"),
+        F.expr("avg(engine_size_l) AS avg_engine_size"),
     )
     keyed = sums.withColumns(
         {
-            "set": _by_set({n: F.lit(n) for n in SETS}),
-            "family": _by_set({n: F.lit(f) for n, (f, _i, _s) in SETS.items()}),
-            "item": _by_set({n: F.col(i).cast("string") for n, (_f, i, _s) in SETS.items() if i}),
-            "sub": _by_set({n: F.col(s).cast("string") for n, (_f, _i, s) in SETS.items() if s}),
+            "set": _by_set({n: literal(n) for n in SETS}),
+            "family": _by_set({n: literal(f) for n, (f, _i, _s) in SETS.items()}),
+            "item": _by_set({n: f"CAST({i} AS STRING)" for n, (_f, i, _s) in SETS.items() if i}),
+            "sub": _by_set({n: f"CAST({s} AS STRING)" for n, (_f, _i, s) in SETS.items() if s}),
             "item_order": _by_set(
-                {n: F.col(ITEM_ORDER[f]).cast("double") for n, (f, _i, _s) in SETS.items() if f in ITEM_ORDER}
+                {
+                    n: f"CAST({ITEM_ORDER[f]} AS DOUBLE)"
+                    for n, (f, _i, _s) in SETS.items()
+                    if f in ITEM_ORDER
+                }
             ),
         }
     )
@@ -236,40 +245,35 @@ def report_items(facts: DataFrame) -> DataFrame:
     )
 
 
-def _text(template: str, *pieces: Column) -> Column:
-    return F.format_string(template, *[or_na(p) for p in pieces])
-
-
-def _entries(number: int, section: str, lines: Sequence, order_1=0.0, order_2="") -> list[Column]:
-    """Lines with their place: section, then order_1 and order_2, then line number."""
-    as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
+def _entries(
+    number: int, section: str, lines: Sequence[str], order_1: str = "0.0D", order_2: str = "''"
+) -> list[str]:
+    """Line expressions with their place: section, then order_1, order_2 and line number."""
     return [
-        F.struct(
-            F.lit(number).alias("section_no"),
-            F.lit(section).alias("section"),
-            as_column(order_1).cast("double").alias("order_1"),
-            as_column(order_2).alias("order_2"),
-            F.lit(i).alias("line_no"),
-            as_column(line).alias("line"),
-        )
+        f"struct({number} AS section_no, {literal(section)} AS section, "
+        f"CAST({order_1} AS DOUBLE) AS order_1, {order_2} AS order_2, {i} AS line_no, {line} AS line)"
         for i, line in enumerate(lines)
     ]
 
 
+def _array(entries: Sequence[str]) -> str:
+    return f"array({', '.join(entries)})"
+
+
 def _top_lists(items: DataFrame, n: int = 3) -> DataFrame:
     """Per slice one text column per dimension with its top n items."""
-    family = F.col("family")
-    unit = F.when(family == "engine_size_l", "L").otherwise("")
-    text = F.concat("item", unit, F.lit(" ("), thousands(F.col("units")), F.lit(")"))
-    best = items.where(family.isin(*TOP_LABELS) & (F.col("position") <= n))
-    chosen = F.struct("position", text.alias("text"))
+    shown = (
+        "concat(item, if(family = 'engine_size_l', 'L', ''), ' (', " + thousands("units") + ", ')')"
+    )
+    best = items.where(F.col("family").isin(*TOP_LABELS) & (F.col("position") <= n))
     return best.groupBy("slice").agg(
         *[
-            F.array_join(
-                F.transform(
-                    F.sort_array(F.collect_list(F.when(family == d, chosen))), lambda x: x["text"]
-                ),
-                ", ",
+            F.expr(
+                joined(
+                    f"sort_array(collect_list(CASE WHEN family = '{d}' "
+                    f"THEN struct(position, {shown} AS label) END))",
+                    "x.label",
+                )
             ).alias(f"top_{d}")
             for d in TOP_LABELS
         ]
@@ -282,8 +286,8 @@ def _dynamics(facts: DataFrame, rows: int) -> DataFrame:
     stats = describe(facts, list(measures.values()), by=["slice"], rows=rows)
     wide = stats.groupBy("slice").agg(
         *[
-            F.max(F.when(F.col("column") == column, fixed(F.col(f), 2))).alias(f"{m}_{f}")
-            for m, column in measures.items()
+            F.expr(f"max(CASE WHEN column = '{c}' THEN {fixed(f'`{f}`', 2)} END) AS {m}_{f}")
+            for m, c in measures.items()
             for f in ("mean", "q25", "q50", "q75", "min", "max")
         ]
     )
@@ -291,135 +295,131 @@ def _dynamics(facts: DataFrame, rows: int) -> DataFrame:
     related = facts.groupBy("slice").agg(
         safe_corr(price, units).alias("price_sales"), safe_corr(mileage, price).alias("mileage_price")
     )
-    return wide.join(related, "slice")
+    return wide.join(related, "slice").withColumns(
+        {
+            "price_sales_label": F.upper(price_sales_label(F.col("price_sales"))),
+            "mileage_price_label": F.upper(mileage_price_label(F.col("mileage_price"))),
+        }
+    )
 
 
-def _slice_entries() -> list[Column]:
+def _slice_entries() -> list[str]:
     """The lines that appear once per slice: figures of the whole and headings."""
-    years, count = F.col("series"), F.size("series")
-    first, last = F.get(years, F.lit(0)), F.get(years, count - 1)
-    rate = cagr(first["units"], last["units"], count)
-    yearly = F.array_join(
-        F.transform(years, lambda e: F.concat(e["year"].cast("string"), F.lit(": "), thousands(e["units"]))),
-        ", ",
-    )
-    entries = _entries(
-        1,
-        SUMMARY,
-        [
-            TITLE,
-            "",
-            SUMMARY_HEADING,
-            RULE,
-            _text(REVENUE_LINE, money(F.col("revenue"), 2)),
-            _text(UNITS_LINE, thousands(F.col("units"))),
-            _text(PERIOD_LINE, first["year"].cast("string"), last["year"].cast("string")),
-            _text(TREND_LINE, F.upper(trend_label(rate)), percent(rate)),
-            _text(YEARLY_LINE, yearly),
-            TOP_HEADING,
-            *[_text(TOP_LINE, F.lit(label), F.col(f"top_{d}")) for d, label in TOP_LABELS.items()],
-        ],
-    )
-    entries += _entries(
-        2,
-        DYNAMICS,
-        [
-            RULE,
-            DYNAMICS_HEADING,
-            RULE,
-            STATS_HEADING,
-            _text(PRICE_LINE, *[F.col(f"price_{f}") for f in ("mean", "q50", "min", "max", "q25", "q75")]),
-            _text(MILEAGE_LINE, *[F.col(f"mileage_{f}") for f in ("mean", "q50", "max")]),
-            _text(ENGINE_LINE, *[F.col(f"engine_{f}") for f in ("mean", "q50")]),
-            CORRELATION_HEADING,
-            _text(
-                PRICE_SALES_LINE,
-                F.upper(price_sales_label(F.col("price_sales"))),
-                fixed(F.col("price_sales"), 2),
-            ),
-            _text(
-                MILEAGE_PRICE_LINE,
-                F.upper(mileage_price_label(F.col("mileage_price"))),
-                fixed(F.col("mileage_price"), 2),
-            ),
-        ],
-    )
-    entries += _entries(3, PROFILE, [RULE, PROFILE_HEADING, RULE])
-    entries += _entries(4, VARIATION, [VARIATION_HEADING], order_1=-1.0)
-    for i, (heading, _family, _figures) in enumerate(CATEGORIES):
+    yearly = joined("series", f"concat(CAST(x.year AS STRING), ': ', {thousands('x.units')})")
+    summary = [
+        literal(TITLE),
+        literal(""),
+        literal(SUMMARY_HEADING),
+        literal(RULE),
+        text(REVENUE_LINE, money("revenue", 2)),
+        text(UNITS_LINE, thousands("units")),
+        text(PERIOD_LINE, "CAST(first_year AS STRING)", "CAST(last_year AS STRING)"),
+        text(TREND_LINE, "trend", percent("cagr")),
+        text(YEARLY_LINE, yearly),
+        literal(TOP_HEADING),
+        *[text(TOP_LINE, literal(label), f"top_{d}") for d, label in TOP_LABELS.items()],
+    ]
+    dynamics = [
+        literal(RULE),
+        literal(DYNAMICS_HEADING),
+        literal(RULE),
+        literal(STATS_HEADING),
+        text(PRICE_LINE, *[f"price_{f}" for f in ("mean", "q50", "min", "max", "q25", "q75")]),
+        text(MILEAGE_LINE, *[f"mileage_{f}" for f in ("mean", "q50", "max")]),
+        text(ENGINE_LINE, *[f"engine_{f}" for f in ("mean", "q50")]),
+        literal(CORRELATION_HEADING),
+        text(PRICE_SALES_LINE, "price_sales_label", fixed("price_sales", 2)),
+        text(MILEAGE_PRICE_LINE, "mileage_price_label", fixed("mileage_price", 2)),
+    ]
+
+    def heading(number: int, section: str, *lines: str) -> list[str]:
+        return _entries(number, section, [literal(x) for x in lines], order_1="-1.0D")
+
+    entries = _entries(1, SUMMARY, summary) + _entries(2, DYNAMICS, dynamics)
+    entries += heading(3, PROFILE, RULE, PROFILE_HEADING, RULE)
+    entries += heading(4, VARIATION, VARIATION_HEADING)
+    for i, (title, _family, _figures) in enumerate(CATEGORIES):
         opening = ["", SECTION_LINE % CATEGORICAL, RULE] if i == 0 else [""]
-        entries += _entries(FIRST_CATEGORY_NO + i, CATEGORICAL, [*opening, heading], order_1=-1.0)
+        entries += heading(FIRST_CATEGORY_NO + i, CATEGORICAL, *opening, title)
     for i, section in enumerate(TREND_SECTIONS):
-        entries += _entries(FIRST_TREND_NO + i, section, ["", SECTION_LINE % section, RULE])
+        entries += heading(FIRST_TREND_NO + i, section, "", SECTION_LINE % section, RULE)
     return entries
 
 
-def _region_entries() -> list[Column]:
+def _region_entries() -> list[str]:
     pieces = (
-        F.col("item"),
-        thousands(F.col("units")),
-        money(F.col("avg_price"), 2, grouped=False),
-        fixed(F.col("avg_mileage"), 0, grouped=False),
-        *[F.col(f"top_{s}") for s in LEADERS],
+        "item",
+        thousands("units"),
+        money("avg_price", 2, grouped=False),
+        fixed("avg_mileage", 0, grouped=False),
+        *[f"top_{s}" for s in LEADERS],
     )
-    profile = [_text(template, piece) for template, piece in zip(PROFILE_LINES, pieces)]
-    prices = [money(F.col(c), 2, grouped=False) for c in ("avg_price", "max_price", "min_price")]
-    variation = _text(VARIATION_LINE, F.col("item"), *prices)
-    return _entries(3, PROFILE, profile, order_1=F.col("position")) + _entries(
-        4, VARIATION, [variation], order_2=F.col("item")
+    profile = [text(template, piece) for template, piece in zip(PROFILE_LINES, pieces)]
+    prices = [money(c, 2, grouped=False) for c in ("avg_price", "max_price", "min_price")]
+    variation = text(VARIATION_LINE, "item", *prices)
+    return _entries(3, PROFILE, profile, order_1="position") + _entries(
+        4, VARIATION, [variation], order_2="item"
     )
 
 
-def _category_entries(number: int, figures: Sequence[str]) -> list[Column]:
+def _category_entries(number: int, figures: Sequence[str]) -> list[str]:
     """One statistics line per figure; the lines of a figure stay together."""
     entries = []
     for place, figure in enumerate(figures):
-        text = money if figure == "price" else fixed
-        label = "Price" if figure == "price" else "Sales Volume"
-        line = _text(
+        number_text = money if figure == "price" else fixed
+        line = text(
             GROUP_LINE,
-            F.col("item"),
-            F.lit(label),
-            *[text(F.col(f"{f}_{figure}"), 0) for f in ("avg", "min", "max")],
-            F.col(f"{figure}_n").cast("string"),
+            "item",
+            literal("Price" if figure == "price" else "Sales Volume"),
+            *[number_text(f"{f}_{figure}", 0) for f in ("avg", "min", "max")],
+            f"CAST({figure}_n AS STRING)",
         )
-        order = F.lit(place * 1e9) + F.coalesce("item_order", F.lit(0.0))
-        entries += _entries(number, CATEGORICAL, [line], order, F.col("item"))
+        order = f"{place} * 1e9D + coalesce(item_order, 0)"
+        entries += _entries(number, CATEGORICAL, [line], order, "item")
     return entries
 
 
-def _trend_entries(number: int, section: str, label: str) -> list[Column]:
+def _trend_entries(number: int, section: str, label: str) -> list[str]:
     lines = [
-        _text(SUMMARY_LINE, F.lit(label), F.col("item"), F.col("summary")),
-        _text(BREAKDOWN_LINE, F.col("item"), F.col("breakdown")),
+        text(SUMMARY_LINE, literal(label), "item", "summary"),
+        text(BREAKDOWN_LINE, "item", "breakdown"),
     ]
-    return _entries(number, section, lines, order_1=F.col("position"))
+    return _entries(number, section, lines, order_1="position")
 
 
 def _all_lines(facts: DataFrame, items: DataFrame, rows: int) -> DataFrame:
     """Every row of the item table turns into the lines it stands for."""
     order = Window.partitionBy("slice", "family").orderBy(F.desc("units"), "item_order", "item")
     ranked = trend_text(
-        items.where("family != 'cell'").withColumn("position", F.row_number().over(order)), "item"
+        items.where("family != 'cell'").withColumn("position", F.row_number().over(order))
     )
-    family, position = F.col("family"), F.col("position")
-
+    first, last, years = F.get("series", F.lit(0)), F.get("series", F.size("series") - 1), F.size("series")
     whole = (
-        ranked.where(family == "total")
+        ranked.where("family = 'total'")
         .join(_top_lists(ranked), "slice", "left")
         .join(_dynamics(facts, rows), "slice", "left")
-        .select("slice", F.inline(F.array(*_slice_entries())))
+        .withColumns(
+            {
+                "first_year": first["year"],
+                "last_year": last["year"],
+                "cagr": cagr(first["units"], last["units"], years),
+            }
+        )
+        .withColumn("trend", F.upper(trend_label(F.col("cagr"))))
+        .select("slice", F.expr(f"inline({_array(_slice_entries())})"))
     )
 
-    # The lines of an item depend on its family; a trend has its top items only.
-    parts = [F.when(family == "region", F.array(*_region_entries()))]
-    for i, (_heading, name, figures) in enumerate(CATEGORIES):
-        parts.append(F.when(family == name, F.array(*_category_entries(FIRST_CATEGORY_NO + i, figures))))
+    # The lines of an item depend on its family; a trend shows its top items only.
+    parts = [f"IF(family = 'region', {_array(_region_entries())}, NULL)"]
+    for i, (_title, name, figures) in enumerate(CATEGORIES):
+        lines = _array(_category_entries(FIRST_CATEGORY_NO + i, figures))
+        parts.append(f"IF(family = '{name}', {lines}, NULL)")
     for i, (section, (label, name, n)) in enumerate(TREND_SECTIONS.items()):
-        shown = (family == name) & (position <= n)
-        parts.append(F.when(shown, F.array(*_trend_entries(FIRST_TREND_NO + i, section, label))))
-    entries = F.flatten(F.array_compact(F.array(*parts)))
-    details = ranked.where(family != "total").select("slice", F.inline(entries))
+        lines = _array(_trend_entries(FIRST_TREND_NO + i, section, label))
+        parts.append(f"IF(family = '{name}' AND position <= {n}, {lines}, NULL)")
+    details = ranked.where("family != 'total'").select(
+        "slice", F.expr(f"inline(flatten(array_compact({_array(parts)})))")
+    )
 
     # One section of one slice per partition: as many lines as it has items.
     reading = Window.partitionBy("slice", "section_no").orderBy("order_1", "order_2", "line_no")

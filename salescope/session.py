@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Do not record the Python call site of every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.operators.clean import derive_columns
+from salescope.operators.clean import clean_sales, derive_columns
 from salescope.sources.staging import materialize
 
 FAULT_KEYS = ("o_orderkey", "o_custkey", "l_partkey", "l_linenumber")
@@ -93,3 +93,8 @@ def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stage(spark, sf_dir, "dirty_sales", dirty_sales)
+
+
+def clean_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned dirty table."""
+    return _stage(spark, sf_dir, "clean_sales", lambda s, d: clean_sales(dirty_fact(s, d)))
