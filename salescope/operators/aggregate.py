@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.functions.quantiles import QUARTILES, SMALL_ROWS, describe
+from salescope.functions.quantiles import QUARTILES, GROUP_ROWS, describe
 from salescope.functions.stats import mileage_price_label, price_sales_label, safe_corr
 from salescope.schema import drop_null_keys, require_numeric
 from salescope.sources.staging import BROADCAST_ROWS, materialize
@@ -144,7 +144,7 @@ def box_stats(
     df: DataFrame,
     column: str,
     by: Sequence[str],
-    small_rows: int = SMALL_ROWS,
+    group_rows: int = GROUP_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Quartiles, range, count and whiskers per cell.
@@ -155,11 +155,11 @@ def box_stats(
     by = list(by)
     points = df.dropna(subset=[*by, column]).select(*by, F.col(column).cast("double").alias("value"))
     rows = points.count()
-    boxes = describe(points, ["value"], by=by, rows=rows, small_rows=small_rows).select(
+    boxes = describe(points, ["value"], by=by, rows=rows, group_rows=group_rows).select(
         *by, F.col("n").alias("count"), "min", "q25", F.col("q50").alias("median"), "q75", "max"
     )
     fences = boxes.select(*by, "q25", "q75")
-    if rows > small_rows:
+    if rows > group_rows:
         boxes = materialize(boxes, "boxes")
         fences = boxes.select(*by, "q25", "q75")
         if boxes.count() <= broadcast_rows:

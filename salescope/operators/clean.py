@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.functions.quantiles import SMALL_ROWS, describe
+from salescope.functions.quantiles import GROUP_ROWS, describe
 from salescope.functions.stats import bin_right_closed
 from salescope.schema import (
     IMPUTE_KEYS,
@@ -43,46 +43,47 @@ def group_medians(
     keys: Sequence[str],
     targets: Sequence[str],
     rows: int,
-    small_rows: int = SMALL_ROWS,
+    group_rows: int = GROUP_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Medians of the target columns for the groups that have a gap.
+    """Medians of the target columns for the groups that have a gap, written once.
 
-    Complete groups need no median. In a large table whose groups with gaps
-    are few, all other rows are filtered out map-side; if they are many, every
-    group is summarised, and nothing but combined counts is shuffled.
+    Complete groups need no median. Where the groups with gaps are few, all
+    other rows are filtered out map-side; where they are many, every group is
+    summarised.
     """
     keys, targets = list(keys), list(targets)
     keyed = df.where(_complete(keys))
     open_groups = keyed.where(~_complete(targets)).select(*keys).distinct()
-    if rows <= small_rows:
+    if rows <= group_rows:
         keyed = keyed.join(open_groups, keys, "left_semi")
     else:
         open_groups = materialize(open_groups, "groups-with-gaps")
         if open_groups.count() <= broadcast_rows:
             keyed = keyed.join(F.broadcast(open_groups), keys, "left_semi")
+            rows = None
     long = describe(
-        keyed, targets, keys, MEDIAN, rows=rows, small_rows=small_rows, broadcast_rows=broadcast_rows
+        keyed, targets, keys, MEDIAN, rows=rows, group_rows=group_rows, broadcast_rows=broadcast_rows
     )
     by_column = [
         F.max(F.when(F.col("column") == t, F.col("median"))).alias(f"{t}__median") for t in targets
     ]
-    return long.groupBy(*keys).agg(*by_column)
+    return materialize(long.groupBy(*keys).agg(*by_column), "group-medians")
 
 
 def join_group_stat(
     df: DataFrame,
     keys: Sequence[str],
     column: str,
-    small_rows: int = SMALL_ROWS,
+    group_rows: int = GROUP_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Each row with the median of its group as ``median_<column>``."""
     rows = df.count()
-    medians = describe(df, [column], keys, MEDIAN, rows=rows, small_rows=small_rows).select(
+    medians = describe(df, [column], keys, MEDIAN, rows=rows, group_rows=group_rows).select(
         *keys, F.col("median").alias(f"median_{column}")
     )
-    if rows > small_rows:
+    if rows > group_rows:
         medians = materialize(medians, "group-medians")
         if medians.count() <= broadcast_rows:
             medians = F.broadcast(medians)
@@ -94,7 +95,7 @@ def impute_group_median(
     keys: Sequence[str] = IMPUTE_KEYS,
     columns: Sequence[str] = NUMERIC_COLUMNS,
     rows: int | None = None,
-    small_rows: int = SMALL_ROWS,
+    group_rows: int = GROUP_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Fill gaps with the median of the row's group; rows with a NULL key stay as they are.
@@ -107,7 +108,7 @@ def impute_group_median(
     if not keys or not targets:
         return df
     rows = df.count() if rows is None else rows
-    medians = group_medians(df, keys, targets, rows, small_rows, broadcast_rows)
+    medians = group_medians(df, keys, targets, rows, group_rows, broadcast_rows)
 
     def filled(part: DataFrame, summary: DataFrame) -> DataFrame:
         return (
@@ -116,9 +117,8 @@ def impute_group_median(
             .select(*df.columns)
         )
 
-    if rows <= small_rows:
+    if rows <= group_rows:
         return filled(df, medians)
-    medians = materialize(medians, "group-medians")
     if medians.count() <= broadcast_rows:
         return filled(df, F.broadcast(medians))
     # Only rows with a fillable gap go through the shuffle join.
@@ -131,22 +131,26 @@ def global_medians(
     df: DataFrame,
     columns: Sequence[str] = NUMERIC_COLUMNS,
     rows: int | None = None,
-    small_rows: int = SMALL_ROWS,
+    group_rows: int = GROUP_ROWS,
 ) -> dict[str, float | None]:
     """Exact medians of the columns that have gaps: one number per column."""
     present = [c for c in columns if c in df.columns]
-    found = describe(df, present, probs=MEDIAN, only_incomplete=True, rows=rows, small_rows=small_rows)
-    return {r["column"]: r["median"] for r in found.where("missing > 0").collect()}
+    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present]).first()
+    open_columns = [c for c in present if gaps[c] > 0]
+    if not open_columns:
+        return {}
+    found = describe(df, open_columns, probs=MEDIAN, rows=rows, group_rows=group_rows)
+    return {r["column"]: r["median"] for r in found.collect()}
 
 
 def impute_global_median(
     df: DataFrame,
     columns: Sequence[str] = NUMERIC_COLUMNS,
     rows: int | None = None,
-    small_rows: int = SMALL_ROWS,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Fill the remaining gaps with the column's median, taken from ``df`` as it is."""
-    medians = global_medians(df, columns, rows, small_rows)
+    medians = global_medians(df, columns, rows, group_rows)
     fills = {
         c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items() if m is not None
     }
@@ -162,12 +166,12 @@ def impute(
     df: DataFrame,
     keys: Sequence[str] = IMPUTE_KEYS,
     columns: Sequence[str] = NUMERIC_COLUMNS,
-    small_rows: int = SMALL_ROWS,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Group median, then global median of the result, then 0."""
     rows = df.count()
-    grouped = impute_group_median(df, keys, columns, rows, small_rows)
-    return impute_zero(impute_global_median(grouped, columns, rows, small_rows), columns)
+    grouped = impute_group_median(df, keys, columns, rows, group_rows)
+    return impute_zero(impute_global_median(grouped, columns, rows, group_rows), columns)
 
 
 def truncate_engine(df: DataFrame, source: str = "engine_size_l", target: str = "engine_size") -> DataFrame:
@@ -203,8 +207,8 @@ def derive_columns(df: DataFrame) -> DataFrame:
 
 
 def clean_sales(
-    df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, small_rows: int = SMALL_ROWS
+    df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Headers, required columns, numbers, gaps, derived columns."""
     numbers = coerce_numeric(require_columns(normalize_headers(df), required))
-    return derive_columns(impute(numbers, columns=numeric_columns(numbers), small_rows=small_rows))
+    return derive_columns(impute(numbers, columns=numeric_columns(numbers), group_rows=group_rows))

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescope.functions.formats import fixed
-from salescope.functions.quantiles import SMALL_ROWS
 from salescope.schema import (
     CARDINALITY_SHARE_LIMIT,
     MISSING_PERCENT_LIMIT,
@@ -29,6 +28,10 @@ MISSING_MESSAGE = "%s is %s%% missing"
 CARDINALITY_MESSAGE = "%s has high cardinality (%s unique values) - check for typos"
 
 
+# Up to this many rows are compared in full without hashing them first.
+PLAIN_ROWS = 4_000_000
+
+
 class DataQualityError(ValueError):
     """The table has errors, as opposed to warnings."""
 
@@ -38,7 +41,7 @@ def _outside(column: str, bounds: tuple[float, float]) -> Column:
 
 
 def duplicate_rows(
-    df: DataFrame, small_rows: int = SMALL_ROWS, broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame, plain_rows: int = PLAIN_ROWS, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """How many rows repeat an earlier one in all columns (gaps equal gaps).
 
@@ -47,7 +50,7 @@ def duplicate_rows(
     do no harm; copies of a row combine map-side, however many there are.
     """
     rows = df
-    if df.count() > small_rows:
+    if df.count() > plain_rows:
         hashed = df.withColumn("row_hash", F.xxhash64(*df.columns))
         repeated = hashed.groupBy("row_hash").count().where("count > 1").select("row_hash")
         suspects = materialize(repeated, "repeated-hashes")
