@@ -155,17 +155,17 @@ def box_stats(
     by = list(by)
     points = df.dropna(subset=[*by, column]).select(*by, F.col(column).cast("double").alias("value"))
     rows = points.count()
-    boxes = describe(points, ["value"], by=by, rows=rows, group_rows=group_rows).select(
-        *by, F.col("n").alias("count"), "min", "q25", F.col("q50").alias("median"), "q75", "max"
+    boxes = materialize(
+        describe(points, ["value"], by=by, rows=rows, group_rows=group_rows).select(
+            *by, F.col("n").alias("count"), "min", "q25", F.col("q50").alias("median"), "q75", "max"
+        ),
+        "boxes",
     )
     fences = boxes.select(*by, "q25", "q75")
-    if rows > group_rows:
-        boxes = materialize(boxes, "boxes")
-        fences = boxes.select(*by, "q25", "q75")
-        if boxes.count() <= broadcast_rows:
-            fences = F.broadcast(fences)
-        else:
-            points = points.distinct()  # repeated values do not move a whisker
+    if boxes.count() <= broadcast_rows:
+        fences = F.broadcast(fences)
+    else:
+        points = points.distinct()  # repeated values do not move a whisker
     reach = (F.col("q75") - F.col("q25")) * 1.5
     inside = F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
     whiskers = (

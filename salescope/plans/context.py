@@ -77,26 +77,23 @@ JSON_NAME = "price_elasticity_scatter_json:"
 # The grouping sets of the report: name -> (family, item column, second column).
 # The rows of a family describe the same items and are merged into one per item.
 SETS = {
-    "region": ("region", "region", None),
     "region_model": ("region", "region", "model"),
     "region_fuel_type": ("region", "region", "fuel_type"),
     "region_transmission": ("region", "region", "transmission"),
-    "model": ("model", "model", None),
     "model_year": ("model", "model", "year"),
-    "fuel_type": ("fuel_type", "fuel_type", None),
     "fuel_type_year": ("fuel_type", "fuel_type", "year"),
-    "transmission": ("transmission", "transmission", None),
     "transmission_year": ("transmission", "transmission", "year"),
-    "engine_size": ("engine_size", "engine_size", None),
     "engine_size_year": ("engine_size", "engine_size", "year"),
     "engine_size_l": ("engine_size_l", "engine_size_l", None),
     "color": ("color", "color", None),
     "mileage_bin": ("mileage_bin", "mileage_bin", None),
-    "total": ("total", None, None),
     "year": ("total", None, "year"),
     "transmission_fuel_type": ("cell", "transmission", "fuel_type"),
 }
 LEADERS = ("region_model", "region_fuel_type", "region_transmission")
+# Sets whose rows are left out of their family's figures: each family takes them
+# from one set, whose second key is summed up.
+NOT_SUMMED = ("region_fuel_type", "region_transmission")
 # How an item of a family sorts as a number; the others sort by their text.
 ITEM_ORDER = {
     "engine_size_l": "engine_size_l",
@@ -165,23 +162,28 @@ def _by_set(values: dict[str, str]) -> Column:
     return F.expr(f"CASE set_id {cases} END")
 
 
+# Figures that combine by sum, by minimum or by maximum.
+SUMMED = {
+    "units": "CAST(coalesce(sum(sales_volume), 0) AS DOUBLE)",
+    "units_n": "count(sales_volume)",
+    "revenue": "sum(sales_volume * price_usd)",
+    "price": "sum(price_usd)",
+    "price_n": "count(price_usd)",
+    "mileage": "sum(mileage_km)",
+    "mileage_n": "count(mileage_km)",
+    "engine": "sum(engine_size_l)",
+    "engine_n": "count(engine_size_l)",
+}
+LEAST = {"min_price": "min(price_usd)", "min_units": "CAST(min(sales_volume) AS DOUBLE)"}
+GREATEST = {"max_price": "max(price_usd)", "max_units": "CAST(max(sales_volume) AS DOUBLE)"}
+
+
 def _set_rows(facts: DataFrame) -> DataFrame:
     """The grouping sets in long form: family, item, second key and figures."""
     sets = [["slice", *_set_columns(name)] for name in SETS]
     sums = facts.groupingSets(sets, "slice", *KEYS).agg(
         F.grouping_id().alias("set_id"),
-        F.expr("CAST(coalesce(sum(sales_volume), 0) AS DOUBLE) AS units"),
-        F.expr("sum(sales_volume * price_usd) AS revenue"),
-        F.expr("count(price_usd) AS price_n"),
-        F.expr("avg(price_usd) AS avg_price"),
-        F.expr("min(price_usd) AS min_price"),
-        F.expr("max(price_usd) AS max_price"),
-        F.expr("count(sales_volume) AS units_n"),
-        F.expr("avg(sales_volume) AS avg_units"),
-        F.expr("CAST(min(sales_volume) AS DOUBLE) AS min_units"),
-        F.expr("CAST(max(sales_volume) AS DOUBLE) AS max_units"),
-        F.expr("avg(mileage_km) AS avg_mileage"),
-        F.expr("avg(engine_size_l) AS avg_engine_size"),
+        *[F.expr(e).alias(n) for n, e in (SUMMED | LEAST | GREATEST).items()],
     )
     keyed = sums.withColumns(
         {
@@ -198,50 +200,41 @@ def _set_rows(facts: DataFrame) -> DataFrame:
             ),
         }
     )
-    # A row without its item or second key belongs to no group.
-    no_item = F.col("item").isNull() & (F.col("family") != "total")
-    no_sub = F.col("sub").isNull() & F.col("set").isin(*[n for n, (_f, _i, s) in SETS.items() if s])
-    return keyed.where(~no_item & ~no_sub)
+    # A row without its item belongs to no group.
+    return keyed.where("item IS NOT NULL OR family = 'total'")
 
 
 def report_items(facts: DataFrame) -> DataFrame:
     """One row per (slice, family, item): figures, yearly series and leaders.
 
     A series has one entry per year, and a leader is a minimum over
-    (-units, name), so no group is gathered beyond its years.
+    (-units, name), so no group is gathered beyond its years. Rows without the
+    second key count in the figures only.
     """
-    by_year = F.col("set").isin(*[n for n, (_f, _i, s) in SETS.items() if s == "year"])
-    plain = F.col("set").isin(*[n for n, (_f, _i, s) in SETS.items() if s is None], "transmission_fuel_type")
-    figures = (
-        "units",
-        "revenue",
-        "price_n",
-        "avg_price",
-        "min_price",
-        "max_price",
-        "units_n",
-        "avg_units",
-        "min_units",
-        "max_units",
-        "avg_mileage",
-        "avg_engine_size",
-    )
-    entry = F.struct("year", "units", "avg_price")
-    ranked = F.struct((-F.col("units")).alias("less"), "sub")
+    by_year = F.col("sub").isNotNull() & F.col("set").isin(*[n for n, v in SETS.items() if v[2] == "year"])
+    summed = ~F.col("set").isin(*NOT_SUMMED)
+    entry = F.struct("year", "units", F.try_divide("price", "price_n").alias("avg_price"))
+    ranked = F.when(F.col("sub").isNotNull(), F.struct((-F.col("units")).alias("less"), "sub"))
+    second = F.when(F.col("family") == "cell", F.col("sub")).alias("second")
     return (
         _set_rows(facts)
-        .groupBy(
-            "slice",
-            "family",
-            "item",
-            "item_order",
-            F.when(F.col("family") == "cell", F.col("sub")).alias("second"),
-        )
+        .where("family != 'cell' OR sub IS NOT NULL")
+        .groupBy("slice", "family", "item", "item_order", second)
         .agg(
-            *[F.max(F.when(plain, F.col(f))).alias(f) for f in figures],
+            *[F.sum(F.when(summed, F.col(f))).alias(f) for f in SUMMED],
+            *[F.min(F.when(summed, F.col(f))).alias(f) for f in LEAST],
+            *[F.max(F.when(summed, F.col(f))).alias(f) for f in GREATEST],
             F.sort_array(F.collect_list(F.when(by_year, entry))).alias("series"),
             *[F.min(F.when(F.col("set") == s, ranked))["sub"].alias(f"top_{s}") for s in LEADERS],
         )
+        .withColumns(
+            {
+                "avg_price": F.try_divide("price", "price_n"),
+                "avg_units": F.when(F.col("units_n") > 0, F.try_divide("units", "units_n")),
+                "avg_mileage": F.try_divide("mileage", "mileage_n"),
+                "avg_engine_size": F.try_divide("engine", "engine_n"),
+            }
+        )
     )
 
 
