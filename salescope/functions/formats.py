@@ -2,6 +2,10 @@
 
 Report lines are long expressions; as text a whole line reaches the JVM in one
 call. ``format_number`` rounds ties half to even.
+
+The last bits of a sum depend on the order of its terms. Values are rounded to
+six decimals before they are cut to the shown ones, so that a mean that is a tie
+reads the same in every run.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ def literal(text: str) -> str:
 
 def fixed(value: str, decimals: int, grouped: bool = True) -> str:
     """1234.5 -> 1,234.50 with two decimals; without the comma if not grouped."""
-    text = f"format_number(CAST({value} AS DOUBLE), {decimals})"
+    text = f"format_number(round(CAST({value} AS DOUBLE), 6), {decimals})"
     return text if grouped else f"replace({text}, ',', '')"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from salescope.schema import (
 from salescope.sources.staging import BROADCAST_ROWS, materialize
 
 MEDIAN = {"median": 0.5}
+SIZE = "__group_size"
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
@@ -68,7 +70,8 @@ def group_medians(
     by_column = [
         F.max(F.when(F.col("column") == t, F.col("median"))).alias(f"{t}__median") for t in targets
     ]
-    return materialize(long.groupBy(*keys).agg(*by_column), "group-medians")
+    size = F.max(F.col("n") + F.col("missing")).alias(SIZE)
+    return materialize(long.groupBy(*keys).agg(size, *by_column), "group-medians")
 
 
 def join_group_stat(
@@ -121,10 +124,16 @@ def impute_group_median(
         return filled(df, medians)
     if medians.count() <= broadcast_rows:
         return filled(df, F.broadcast(medians))
-    # Only rows with a fillable gap go through the shuffle join.
+    # Only rows with a fillable gap go through a join by key, and the groups
+    # too large for one task are few enough to be broadcast.
     fillable = _complete(keys) & ~_complete(targets)
-    untouched = df.where(~fillable).withColumns({t: F.col(t).cast("double") for t in targets})
-    return untouched.unionByName(filled(df.where(fillable), medians))
+    parts = [df.where(~fillable).withColumns({t: F.col(t).cast("double") for t in targets})]
+    gaps, large = df.where(fillable), medians.where(F.col(SIZE) > group_rows)
+    if 0 < large.count() <= broadcast_rows:
+        parts.append(filled(gaps.join(F.broadcast(large.select(*keys)), keys, "left_semi"), F.broadcast(large)))
+        gaps = gaps.join(F.broadcast(large.select(*keys)), keys, "left_anti")
+    parts.append(filled(gaps, medians))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def global_medians(

@@ -105,15 +105,23 @@ def group_profile(
     )
 
 
-def category_order(series: DataFrame, group: str = "region") -> DataFrame:
-    """Chart order of a yearly table: by first year and name, global rows last.
+def with_category_order(series: DataFrame, group: str = "region") -> DataFrame:
+    """``series_order`` of a yearly table: by first year and name, global rows last.
 
-    ``series`` has one row per (year, group); the result one row per group.
+    The table has one row per point of a line chart, so one task can order it.
     """
-    groups = series.groupBy(group, "is_global").agg(F.min("year").alias("first_year"))
-    # One row per chart series: the legend of a chart is small by nature.
+    first_year = F.min("year").over(Window.partitionBy(group, "is_global"))
     order = Window.orderBy("is_global", "first_year", group)
-    return groups.select(group, "is_global", F.row_number().over(order).alias("series_order"))
+    return (
+        series.withColumn("first_year", first_year)
+        .withColumn("series_order", F.dense_rank().over(order))
+        .drop("first_year")
+    )
+
+
+def category_order(series: DataFrame, group: str = "region") -> DataFrame:
+    """One row per series of a yearly table, with its place in the chart."""
+    return with_category_order(series, group).select(group, "is_global", "series_order").distinct()
 
 
 def semi_join_top(df: DataFrame, column: str = "model", n: int = 10) -> DataFrame:

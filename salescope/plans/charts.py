@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from salescope.operators.aggregate import chart_box, fuel_transmission, rollup_global
-from salescope.operators.rank import category_order, top_model_fuel_years
+from salescope.operators.rank import top_model_fuel_years, with_category_order
 from salescope.sources.sinks import write_table
 
 
 def sales_trend(df: DataFrame) -> DataFrame:
     """Chart 1: units by year and region with the global line last."""
-    series = rollup_global(df)
-    # Both sides are one row per (year, region) or fewer, off the same exchange.
-    return series.join(category_order(series), ["region", "is_global"]).orderBy("series_order", "year")
+    return with_category_order(rollup_global(df)).orderBy("series_order", "year")
 
 
 def top_models(df: DataFrame, n: int = 10) -> DataFrame:

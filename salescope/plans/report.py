@@ -39,7 +39,7 @@ def prepare(
     as_of_year: int | None = None,
 ) -> DataFrame:
     """Clean once into a written table, stop on errors, keep valid rows."""
-    cleaned = materialize(clean_sales(raw, required), "clean-sales", partition_by=("year",))
+    cleaned = materialize(clean_sales(raw, required), "clean-sales")
     if gate:
         quality_gate(cleaned)
     return enforce_rules(cleaned, as_of_year)

@@ -35,8 +35,13 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` once as Parquet and return a scan of the written table."""
+    """Write ``df`` once as Parquet and return a scan of the written table.
+
+    With ``partition_by`` the rows are first brought together by these columns
+    and split into files of an even size, however skewed the columns are.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from salescope_checks.catalog import add
 from salescope_checks.load_queries import CELLS, table_sink
 from salescope_checks.tables import on_clean, on_dirty, on_sales
-from salescope.functions.stats import change, growth
+from salescope.functions import formats
 from salescope.operators import aggregate, insights, rank, trends
 from salescope.plans import charts
 from salescope.sources.star import clean_fact, dirty_fact, sales_fact
@@ -301,11 +301,11 @@ def summary(item: str, n: int) -> str:
 
 def breakdown(item: str, n: int) -> str:
     return (
-        f"SELECT a.{item} AS {item}, 'Growth: ' || CASE WHEN growth >= 0 THEN '+' ELSE '' END || format('{{:.2f}}', growth * 100) || "
-        "'% | Start_Year_Price: $' || format('{:,.0f}', first_price) || ' | End_Year_Price: $' || "
-        "format('{:,.0f}', last_price) AS summary, b.breakdown AS breakdown "
+        f"SELECT a.{item} AS {item}, 'Growth: ' || CASE WHEN growth >= 0 THEN '+' ELSE '' END || format('{{:.2f}}', round(growth * 100, 6)) || "
+        "'% | Start_Year_Price: $' || format('{:,.0f}', round(first_price, 6)) || ' | End_Year_Price: $' || "
+        "format('{:,.0f}', round(last_price, 6)) AS summary, b.breakdown AS breakdown "
         f"FROM ({summary(item, n)}) a JOIN (SELECT {item}, string_agg('Y' || year || ': S' || "
-        "format('{:,.0f}', units::DOUBLE) || '/P$' || format('{:,.0f}', avg_price), ' | ' ORDER BY year) AS breakdown "
+        "format('{:,.0f}', units::DOUBLE) || '/P$' || format('{:,.0f}', round(avg_price, 6)), ' | ' ORDER BY year) AS breakdown "
         f"FROM ({series(item, n)}) GROUP BY {item}) b ON a.{item} = b.{item}"
     )
 
@@ -330,21 +330,21 @@ for key, item, n in (
 
 fact(
     "fmt_thousands",
-    lambda df: aggregate.units_by(df, ["model"]).select("model", F.expr("format_number(units, 0)").alias("text")),
+    lambda df: aggregate.units_by(df, ["model"]).select("model", F.expr(formats.thousands("units")).alias("text")),
     f"SELECT model, format('{{:,.0f}}', {UNITS}::DOUBLE) AS text FROM fact GROUP BY model",
 )
 fact(
     "fmt_fixed",
-    lambda df: trends.yearly_series(df, ["region"]).select("region", "year", F.expr("format_number(avg_price, 2)").alias("text")),
-    "SELECT region, year, format('{:,.2f}', avg(price_usd)) AS text FROM fact GROUP BY ALL",
+    lambda df: trends.yearly_series(df, ["region"]).select("region", "year", F.expr(formats.fixed("avg_price", 2)).alias("text")),
+    "SELECT region, year, format('{:,.2f}', round(avg(price_usd), 6)) AS text FROM fact GROUP BY ALL",
 )
 YOY = "units::DOUBLE / nullif(lag(units) OVER (ORDER BY year), 0) - 1"
 fact(
     "fmt_percent",
     lambda df: insights.yoy_global(df).select(
-        "year", F.expr(trends.percent("yoy", signed=True)).alias("text")
+        "year", F.expr(formats.percent("yoy", signed=True)).alias("text")
     ),
-    "SELECT year, CASE WHEN yoy >= 0 THEN '+' ELSE '' END || format('{:.2f}', yoy * 100) || '%' AS text "
+    "SELECT year, CASE WHEN yoy >= 0 THEN '+' ELSE '' END || format('{:.2f}', round(yoy * 100, 6)) || '%' AS text "
     f"FROM (SELECT year, {YOY} AS yoy FROM {YEARLY})",
 )
 fact(

@@ -22,10 +22,18 @@ CATALOG: dict[str, Check] = {}
 DIGITS = 4
 
 
+def nudge(digits: int) -> float:
+    """Far above the noise of a sum and far below a digit: a mean that lies exactly
+    half-way between two rounded values must go the same way in both engines."""
+    return 10.0 ** -(digits + 3)
+
+
 def rounded(df: DataFrame, digits: int) -> DataFrame:
     """Doubles rounded, since sums depend on the order of their terms."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)]
-    return df.withColumns({c: F.round(c, digits) for c in doubles}) if doubles else df
+    if not doubles:
+        return df
+    return df.withColumns({c: F.round(F.col(c) + nudge(digits), digits) for c in doubles})
 
 
 def add(
@@ -36,7 +44,9 @@ def add(
         head, _, body = sql.partition("--body--")
         if not body:
             raise ValueError(f"{key}: SQL needs a --body-- mark")
-        cells = ", ".join(f"round({c}, {digits}) AS {c}" for c in doubles.split())
+        cells = ", ".join(
+            f"round({c} + {nudge(digits):.{digits + 3}f}::DOUBLE, {digits}) AS {c}" for c in doubles.split()
+        )
         sql = f"{head} SELECT * REPLACE ({cells}) FROM ({body})"
     elif sql is not None:
         sql = sql.replace("--body--", "")

@@ -15,7 +15,7 @@ from salescope.sources.star import clean_fact, sales_fact
 
 def number(value: str, decimals: int = 0, grouped: bool = True) -> str:
     comma = "," if grouped else ""
-    return f"format('{{:{comma}.{decimals}f}}', CAST({value} AS DOUBLE))"
+    return f"format('{{:{comma}.{decimals}f}}', round(CAST({value} AS DOUBLE), 6))"
 
 
 def quoted(text: str) -> str:

@@ -12,6 +12,7 @@ WAYS = {
     "small": {},
     "large, summaries broadcast": {"group_rows": 0},
     "large, summaries shuffled": {"group_rows": 0, "broadcast_rows": 0},
+    "large, a few hot groups": {"group_rows": 12, "broadcast_rows": 30},
 }
 
 
