@@ -450,18 +450,14 @@ def _chart_json(items: DataFrame) -> DataFrame:
     )
 
 
-# The frame of a prompt.
+# The marks between the parts of a prompt.
 DIRECTIVES_END = "--- END OF ANALYTICAL DIRECTIVES ---"
 ROLE_LABEL = "**Analyst Role & Required Report Structure:** "
-TASK = (
-    "Your report generation task starts now. Generate a complete, professional executive report "
-    "in Markdown format. Use the provided data summary and reference the generated visualizations "
-    "to support your analysis, following the required structural sections."
-)
 DATA_LABEL = "DATA CONTEXT:"
 
 DEFAULT_DIRECTIVES = "Reason step by step, state uncertainty, and support every claim with a figure."
 DEFAULT_ROLE = "You analyse sales data and report trends, models, markets and drivers of sales."
+DEFAULT_TASK = "Write the report now, in Markdown, from the data below and the charts drawn from it."
 
 
 def prompt_rows(
@@ -469,6 +465,7 @@ def prompt_rows(
     slice_col: str | None = None,
     directives: str = DEFAULT_DIRECTIVES,
     role: str = DEFAULT_ROLE,
+    task: str = DEFAULT_TASK,
 ) -> DataFrame:
     """One prompt per slice, for any batch inference job.
 
@@ -488,7 +485,7 @@ def prompt_rows(
         )
         .join(_chart_json(items), "slice", "left")
     )
-    opening = "\n\n".join([directives, DIRECTIVES_END, ROLE_LABEL + role, TASK])
+    opening = "\n\n".join([directives, DIRECTIVES_END, ROLE_LABEL + role, task])
     prompt = F.concat(
         F.lit(f"{opening}\n\n{DATA_LABEL}\n"),
         F.col("context"),

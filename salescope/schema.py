@@ -94,5 +94,10 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows without a group key belong to no group."""
-    return df.dropna(how="any", subset=list(keys)) if keys else df
+    """Rows without a group key belong to no group. IS NOT NULL reaches the file scan."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+        if key in floats:
+            df = df.where(~F.isnan(key))
+    return df

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # A summary of at most this many rows may be broadcast (a few MB of keys and
 # numbers); larger ones are joined through a shuffle.
@@ -34,14 +35,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark).rstrip('/')}/salescope/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` once as Parquet and return a scan of the written table.
+def write_staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
+    """Write ``df`` as Parquet and return the path.
 
     With ``partition_by`` the rows are first brought together by these columns
     and split into files of an even size, however skewed the columns are.
     """
-    spark = df.sparkSession
-    path = new_path(spark, name)
+    path = new_path(df.sparkSession, name)
     rows = df.hint("rebalance", *partition_by) if partition_by else df
     rows.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return path
+
+
+def read_staged(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once and return a scan of the written table."""
+    return read_staged(df.sparkSession, write_staged(df, name), df.schema)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from salescope.operators.clean import clean_sales, derive_columns
-from salescope.sources.staging import materialize
+from salescope.sources.staging import read_staged, write_staged
 
 FAULT_KEYS = ("o_orderkey", "o_custkey", "l_partkey", "l_linenumber")
-_staged: dict[tuple[str, str, str], DataFrame] = {}
+_staged: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,8 +83,9 @@ def _stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Write a derived table once per application and scan it afterwards."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _staged:
-        _staged[key] = materialize(build(spark, sf_dir), name, partition_by=("year",))
-    return _staged[key]
+        df = build(spark, sf_dir)
+        _staged[key] = (write_staged(df, name, partition_by=("year",)), df.schema)
+    return read_staged(spark, *_staged[key])
 
 
 def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -244,7 +244,7 @@ add(
 
 def prompt_sql(slice_expr: str) -> str:
     opening = "\n\n".join(
-        [context.DEFAULT_DIRECTIVES, context.DIRECTIVES_END, context.ROLE_LABEL + context.DEFAULT_ROLE, context.TASK]
+        [context.DEFAULT_DIRECTIVES, context.DIRECTIVES_END, context.ROLE_LABEL + context.DEFAULT_ROLE, context.DEFAULT_TASK]
     )
     head = quoted(f"{opening}\n\n{context.DATA_LABEL}\n")
     return (
