@@ -33,6 +33,11 @@ def test_null_keys_form_no_group_and_empty_sums_are_zero(make):
     assert (row["mean"], row["count"]) == (None, 0)
 
 
+def test_nan_is_no_group_key(make):
+    df = make({"engine_size_l": float("nan")}, {"engine_size_l": 2.0})
+    assert [r["engine_size_l"] for r in aggregate.units_by(df, ["engine_size_l"]).collect()] == [2.0]
+
+
 def test_rollup_equals_union_and_sums_up(make):
     df = make({"region": "Global", "sales_volume": 1.0}, {"region": "South"}, {"region": None, "year": 2021.0}, {"region": "South", "year": 2021.0})
     pairs = lambda d: sorted((r["year"], r["region"], r["units"]) for r in d.collect())
