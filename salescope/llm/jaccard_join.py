@@ -113,15 +113,16 @@ def _sketch(profiles: DataFrame, slots: int) -> np.ndarray:
 
 
 def boundary(sketch: np.ndarray, numerator: int, denominator: int) -> int:
-    """Sets smaller than this enumerate subsets. A list costs its entries and the scan of
-    as many others as a shingle has on average; a subset costs its entry."""
-    total = sketch.sum()
-    length = 1.0 + max(0.0, float((sketch.astype(float) ** 2).sum() / max(total, 1) - total / len(sketch)))
+    """Sets smaller than this enumerate subsets. A subset costs its entry; a list entry
+    costs itself and the scan of its list, whose length is that of the rarest shingles
+    (a set's first elements are its rarest share)."""
+    counts = np.sort(sketch[sketch > 0]).astype(float)
+    mass = np.cumsum(counts)
+    rare = counts[: max(1, int(np.searchsorted(mass, (1 - numerator / denominator) * mass[-1])))] if len(counts) else np.ones(1)
+    by_chance = sketch.sum() / len(sketch)
+    cost = 1 + max(1.0, float((rare**2).sum() / rare.sum()) - by_chance)
     n = 2
-    while n < 4096:
-        first = n - least_overlap(n, numerator, denominator)
-        if (first + 2) * (first + 1) / 2 > (first + 1) * length:
-            break
+    while n < 4096 and n - least_overlap(n, numerator, denominator) + 2 <= 2 * cost:
         n += 1
     return n
 
