@@ -14,7 +14,8 @@ Of two sets that are similar enough, the first elements of each must meet:
 A list is not expanded into all its pairs. Its smallest and largest class are compared
 with every member (two pairs a member); links found are joined to components; then only
 members of one list that are still in different components are compared. Every pair of
-classes that shares a signature is thus compared or known to be connected.
+classes that shares a signature is thus compared or known to be connected. Before two
+whole sets meet, their sizes and a table of parities must allow enough common elements.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ WIDTH, NUMERATOR, DENOMINATOR = 3, 90, 100
 SKETCH_SLOTS = 1 << 20
 SKETCH_PARTS = 64
 FILTER_BITS = 1 << 25
+MOST_BITS = 1 << 14
 SUBSET = 2
 REMEMBERED = 500_000
 LIST_SALT, SUBSET_SALT = np.uint64(0x51ED270B9F3C6A11), np.uint64(0xA24BAED4963EE407)
@@ -57,7 +59,25 @@ def least_overlap(n: int, numerator: int, denominator: int) -> int:
     return -(-numerator * n // denominator)
 
 
-PROFILE = "doc_id long, print long, n long, cls long, part int, counts binary"
+def parity(grams: np.ndarray) -> bytes:
+    """Parities of the elements' counts over about as many slots as elements."""
+    bits = min(max(64, 1 << int(len(grams) - 1).bit_length()), MOST_BITS)
+    counts = np.bincount(((grams >> np.uint64(20)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def most_overlap(na: int, nb: int, x: bytes, y: bytes) -> int:
+    """No more elements than this are common: every differing parity is an element that
+    one of the sets has alone. The longer table folds onto the shorter one."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return (na + nb - int(np.bitwise_count(a ^ b).sum())) // 2
+
+
+PROFILE = "doc_id long, print long, n long, cls long, parity binary, part int, counts binary"
 
 
 def _profiles(rows: DataFrame, width: int, slots: int) -> DataFrame:
@@ -77,6 +97,7 @@ def _profiles(rows: DataFrame, width: int, slots: int) -> DataFrame:
                 batch.column("print"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
+                pa.array([parity(s) if len(s) > 1 else None for s in sets], pa.binary()),
                 pa.nulls(n, pa.int32()),
                 pa.nulls(n, pa.binary()),
             ]
@@ -85,6 +106,7 @@ def _profiles(rows: DataFrame, width: int, slots: int) -> DataFrame:
             parts = np.split(counts, SKETCH_PARTS)
             none = pa.nulls(SKETCH_PARTS, pa.int64())
             arrays = [none] * 4 + [
+                pa.nulls(SKETCH_PARTS, pa.binary()),
                 pa.array(range(SKETCH_PARTS), pa.int32()),
                 pa.array([p.tobytes() for p in parts], pa.binary()),
             ]
@@ -148,7 +170,7 @@ def _signature_rows(rows: DataFrame, width: int, ranks: np.ndarray, small: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, data, offsets in blocks(batches):
-            keys, classes, sizes = [], [], []
+            keys, classes = [], []
             for grams in document_sets(data, offsets, width):
                 if len(grams) < 2 or (own := class_of(grams)) in seen:
                     continue
@@ -157,12 +179,11 @@ def _signature_rows(rows: DataFrame, width: int, ranks: np.ndarray, small: int,
                 found = signatures(grams, ranks, small, *ratio)
                 keys.append(found)
                 classes.append(np.full(len(found), own, np.int64))
-                sizes.append(np.full(len(found), len(grams), np.int64))
             if keys:
-                arrays = [np.concatenate(keys).astype(np.int64), np.concatenate(classes), np.concatenate(sizes)]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["key", "cls", "n"])
+                arrays = [np.concatenate(keys).astype(np.int64), np.concatenate(classes)]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["key", "cls"])
 
-    return rows.select("text").mapInArrow(run, "key long, cls long, n long")
+    return rows.select("text").mapInArrow(run, "key long, cls long")
 
 
 def _bits(classes: DataFrame, bits: int) -> np.ndarray:
@@ -202,7 +223,30 @@ def _set_rows(rows: DataFrame, width: int, bits: np.ndarray) -> DataFrame:
     return rows.select("text").mapInArrow(run, "cls long, grams binary").dropDuplicates(["cls"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, ratio: tuple[int, int]) -> DataFrame:
+def _possible(pairs: DataFrame, classes: DataFrame, ratio: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose sizes and parities leave room for enough common elements."""
+    numerator, denominator = ratio
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for na, nb, x, y in zip(*[batch.column(c).to_pylist() for c in ("na", "nb", "x", "y")]):
+                both = most_overlap(na, nb, x, y)
+                keep.append(denominator * both >= numerator * (na + nb - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    sizes = classes.select("cls", "n")
+    left = sizes.select(F.col("cls").alias("a"), F.col("n").alias("na"))
+    right = sizes.select(F.col("cls").alias("b"), F.col("n").alias("nb"))
+    fits = F.least("na", "nb") * denominator >= F.greatest("na", "nb") * numerator
+    pairs = pairs.join(left, "a").join(right, "b").where(fits)
+    left = classes.select(F.col("cls").alias("a"), F.col("parity").alias("x"))
+    right = classes.select(F.col("cls").alias("b"), F.col("parity").alias("y"))
+    pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "x", "y")
+    return pairs.mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, width: int, ratio: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) that are similar enough, by their whole sets."""
     numerator, denominator = ratio
 
@@ -211,13 +255,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, ratio: tuple[int, int]) -> Data
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y")):
                 r, s = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if min(len(r), len(s)) * denominator < max(len(r), len(s)) * numerator:
-                    keep.append(False)
-                    continue
                 both = len(np.intersect1d(r, s, assume_unique=True))
                 keep.append(denominator * both >= numerator * (len(r) + len(s) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
+    sets = materialize(_set_rows(rows, width, _bits(wanted, FILTER_BITS)), "jaccard-sets")
     left = sets.select(F.col("cls").alias("a"), F.col("grams").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("grams").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
@@ -253,29 +296,29 @@ def linked_classes(rows: DataFrame, profiles: DataFrame, width: int, ratio: tupl
     lists = entries.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
     lists = materialize(lists.where("low <> high"), "jaccard-lists")
     members = materialize(entries.join(lists, "key"), "jaccard-members")
-    sets = materialize(_set_rows(rows, width, _bits(members.select("cls"), FILTER_BITS)), "jaccard-sets")
+    classes = profiles.where("parity IS NOT NULL").groupBy("cls").agg(F.max("n").alias("n"), F.first("parity").alias("parity"))
+    classes = materialize(classes, "jaccard-sizes")
     # Two pairs a member: with the smallest and the largest class of its list.
-    sizes = members.groupBy("cls").agg(F.max("n").alias("n"))
-    sizes = materialize(sizes, "jaccard-sizes")
-    ends = members.select("cls", "n", F.explode(F.array("low", "high")).alias("end")).where("cls <> end")
-    tried = ends.select(F.least("cls", "end").alias("a"), F.greatest("cls", "end").alias("b")).distinct()
-    left = sizes.select(F.col("cls").alias("a"), F.col("n").alias("na"))
-    right = sizes.select(F.col("cls").alias("b"), F.col("n").alias("nb"))
-    fits = F.least("na", "nb") * denominator >= F.greatest("na", "nb") * numerator
-    tried = tried.join(left, "a").join(right, "b").where(fits).select("a", "b")
-    tried = materialize(tried, "jaccard-tried")
-    links = materialize(_verified(tried, sets, ratio), "jaccard-links")
+    ends = members.select("cls", F.explode(F.array("low", "high")).alias("end")).where("cls <> end")
+    ends = ends.select(F.least("cls", "end").alias("a"), F.greatest("cls", "end").alias("b")).distinct()
+    tried = materialize(_possible(ends, classes, ratio), "jaccard-tried")
+    links = materialize(_verified(tried, rows, width, ratio), "jaccard-links")
     roots = components(links)
     # What is left: members of one list in different components, not compared before.
-    marked = members.where("cls <> low AND cls <> high").select("key", "cls", "n")
-    marked = marked.join(roots, "cls", "left").select("key", "cls", "n", F.coalesce("root", "cls").alias("root"))
-    mixed_lists = marked.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
-    marked = materialize(marked.join(mixed_lists, "key"), "jaccard-mixed")
+    marked = members.where("cls <> low AND cls <> high").select("key", "cls")
+    marked = marked.join(roots, "cls", "left").select("key", "cls", F.coalesce("root", "cls").alias("root"))
+    several = marked.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
+    marked = marked.join(several, "key").join(classes.select("cls", "n"), "cls")
+    marked = materialize(marked, "jaccard-mixed")
     one = marked.select("key", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     two = marked.select("key", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    fits = F.least("na", "nb") * denominator >= F.greatest("na", "nb") * numerator
     rest = one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits)
     rest = rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = materialize(_verified(materialize(rest, "jaccard-rest"), sets, ratio), "jaccard-links")
+    rest = materialize(_possible(rest, classes, ratio), "jaccard-rest")
+    if rest.isEmpty():
+        return roots
+    more = materialize(_verified(rest, rows, width, ratio), "jaccard-links")
     return roots if more.isEmpty() else components(links.unionByName(more))
 
 
