@@ -11,8 +11,8 @@ Of two sets that are similar enough, the first elements of each must meet:
 - the size between the two is where, by the sketch's estimate, subsets begin to cost
   more than lists. Sets near it do both, so no pair falls between.
 
-A list is not expanded into all its pairs. Its smallest and largest class are compared
-with every member (two pairs a member); links found are joined to components; then only
+A list is not expanded into all its pairs. Its centre is compared with every member (one
+pair a member); links found are joined to components; then only
 members of one list that are still in different components are compared. Every pair of
 classes that shares a signature is thus compared or known to be connected. Before two
 whole sets meet, their sizes and a table of parities must allow enough common elements.
@@ -149,41 +149,46 @@ def boundary(sketch: np.ndarray, numerator: int, denominator: int) -> int:
     return n
 
 
-def signatures(grams: np.ndarray, ranks: np.ndarray, small: int, numerator: int, denominator: int) -> np.ndarray:
-    """Keys of one set; two sets similar enough share at least one."""
+def signatures(
+    grams: np.ndarray, ranks: np.ndarray, small: int, numerator: int, denominator: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set of two or more, each with the place of its first element in the
+    order; two sets similar enough share at least one. (A single element is only similar
+    to itself.)"""
     n = len(grams)
-    if n < 2:
-        return np.empty(0, np.uint64)  # a single element is only similar to itself
     order = (ranks[(grams & np.uint64(len(ranks) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (grams >> np.uint64(8))
     front = n - least_overlap(n, numerator, denominator) + 1
     lead = grams[np.argsort(order, kind="stable")[: front + 1]]
-    keys = []
+    keys, places = [], []
     if n < small:
         a, b = np.triu_indices(len(lead), 1)
         keys.append(mixed(lead[a] * SUBSET_SALT + lead[b]))
+        places.append(a)
     if n * denominator >= small * numerator:
         keys.append(mixed(lead[:front] ^ LIST_SALT))
-    return np.concatenate(keys)
+        places.append(np.arange(front))
+    return np.concatenate(keys), np.concatenate(places)
 
 
 def _signature_rows(rows: DataFrame, width: int, ranks: np.ndarray, small: int, ratio: tuple[int, int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, data, offsets in blocks(batches):
-            keys, classes = [], []
+            keys, places, classes = [], [], []
             for grams in document_sets(data, offsets, width):
                 if len(grams) < 2 or (own := class_of(grams)) in seen:
                     continue
                 if len(seen) < REMEMBERED:
                     seen.add(own)
-                found = signatures(grams, ranks, small, *ratio)
+                found, place = signatures(grams, ranks, small, *ratio)
                 keys.append(found)
+                places.append(place)
                 classes.append(np.full(len(found), own, np.int64))
             if keys:
-                arrays = [np.concatenate(keys).astype(np.int64), np.concatenate(classes)]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["key", "cls"])
+                arrays = [np.concatenate(keys).astype(np.int64), np.concatenate(classes), np.concatenate(places)]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["key", "cls", "place"])
 
-    return rows.select("text").mapInArrow(run, "key long, cls long")
+    return rows.select("text").mapInArrow(run, "key long, cls long, place long")
 
 
 def _bits(classes: DataFrame, bits: int) -> np.ndarray:
@@ -293,26 +298,37 @@ def linked_classes(rows: DataFrame, profiles: DataFrame, width: int, ratio: tupl
     ranks = np.floor(2 * np.log2(sketch + 1)).astype(np.uint8)
     small = boundary(sketch, numerator, denominator)
     entries = materialize(_signature_rows(rows, width, ranks, small, ratio), "jaccard-keys")
-    lists = entries.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
-    lists = materialize(lists.where("low <> high"), "jaccard-lists")
+    # A list's centre has the fewest rare elements before the shared one: of near copies,
+    # the least edited, which most of the others resemble.
+    rank = F.shiftleft("place", 40) + F.shiftrightunsigned("cls", 24)
+    lists = entries.groupBy("key").agg(
+        F.min("cls").alias("low"), F.max("cls").alias("high"), F.min_by("cls", rank).alias("centre")
+    )
+    lists = materialize(lists.where("low <> high").select("key", "centre"), "jaccard-lists")
     members = materialize(entries.join(lists, "key"), "jaccard-members")
     classes = profiles.where("parity IS NOT NULL").groupBy("cls").agg(F.max("n").alias("n"), F.first("parity").alias("parity"))
     classes = materialize(classes, "jaccard-sizes")
-    # Two pairs a member: with the smallest and the largest class of its list.
-    ends = members.select("cls", F.explode(F.array("low", "high")).alias("end")).where("cls <> end")
-    ends = ends.select(F.least("cls", "end").alias("a"), F.greatest("cls", "end").alias("b")).distinct()
+    # A pair for each member: with the centre of its list.
+    ends = members.where("cls <> centre").select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b"))
+    ends = ends.distinct()
     tried = materialize(_possible(ends, classes, ratio), "jaccard-tried")
     links = materialize(_verified(tried, rows, width, ratio), "jaccard-links")
     roots = components(links)
     # What is left: members of one list in different components, not compared before.
-    marked = members.where("cls <> low AND cls <> high").select("key", "cls")
-    marked = marked.join(roots, "cls", "left").select("key", "cls", F.coalesce("root", "cls").alias("root"))
+    marked = members.where("cls <> centre").select("key", "cls", "place")
+    marked = marked.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     several = marked.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
     marked = marked.join(several, "key").join(classes.select("cls", "n"), "cls")
+    # Behind its first common element, a similar pair must still have its overlap: each
+    # side alone, with the smallest partner, then both together.
+    marked = marked.withColumn("left", F.col("n") - F.col("place"))
+    marked = marked.where(F.col("left") * denominator >= F.col("n") * numerator)
     marked = materialize(marked, "jaccard-mixed")
-    one = marked.select("key", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    two = marked.select("key", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    one = marked.select("key", *[F.col(c).alias(d) for c, d in (("cls", "a"), ("n", "na"), ("root", "ra"), ("left", "la"))])
+    two = marked.select("key", *[F.col(c).alias(d) for c, d in (("cls", "b"), ("n", "nb"), ("root", "rb"), ("left", "lb"))])
+    both = F.least("la", "lb")
     fits = F.least("na", "nb") * denominator >= F.greatest("na", "nb") * numerator
+    fits &= both * denominator >= (F.col("na") + F.col("nb") - both) * numerator
     rest = one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits)
     rest = rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     rest = materialize(_possible(rest, classes, ratio), "jaccard-rest")
