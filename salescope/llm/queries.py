@@ -13,6 +13,7 @@ from salescope.llm.jaccard_join import ORACLE_SQL as JACCARD_SQL
 from salescope.llm.jaccard_join import similar_components
 from salescope.llm.language_crf import identify
 from salescope.llm.license_rules import scan_licenses
+from salescope.llm.line_chunks import drop_repeated_chunks
 from salescope.llm.packing import pack
 from salescope.llm.secret_tokens import find_secrets
 from salescope.llm.sharding import balanced_shards
@@ -30,6 +31,7 @@ def documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSess
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_crf": documents(identify),
     "op2_exact_dedup": documents(exact_groups),
+    "op3_line_chunks": documents(drop_repeated_chunks),
     "op4_secret_scan": documents(find_secrets),
     "op5_toxicity_kn": lambda spark, sf_dir: score_toxicity(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
