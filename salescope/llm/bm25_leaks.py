@@ -4,16 +4,18 @@ The benchmark's items are indexed (in blocks of items, so that the index of one
 has a fixed bound); every passage of every document is a query. A passage is as long
 as two of the longest items and starts every item length, so an item lies whole in
 some passage. Scores are divided by the item's score for itself: all items with at
-least ``threshold`` are found. Upper bounds of a term's scores, first of the whole list
-and then of the list's blocks, skip passages and items that cannot reach it.
+least ``threshold`` are found. Passages whose essential terms leave every item short of
+it are skipped; for the others, upper bounds of a term's scores, first of the whole list
+and then of the list's blocks, skip items that cannot reach it.
 
 A retrieved pair counts if the passage also holds the item's question and its answer.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,18 @@ class Index:
     span: int  # words of the longest item
     question: list[np.ndarray]  # sorted shingles
     answer: list[np.ndarray]
+    unpacked: dict[int, tuple] = field(default_factory=dict)
+
+    def postings(self, term: int) -> tuple:
+        """A term's items, impacts, start, top, block maxima and block ends, as lists."""
+        if term not in self.unpacked:
+            part = slice(self.at[term], self.at[term + 1])
+            docs, impact = self.docs[part].tolist(), self.impact[part].tolist()
+            cuts = range(0, len(docs), POSTING_BLOCK)
+            most = [max(impact[k : k + POSTING_BLOCK]) for k in cuts]
+            last = [docs[min(k + POSTING_BLOCK, len(docs)) - 1] for k in cuts]
+            self.unpacked[term] = (docs, impact, 0, float(self.top[term]), most, last)
+        return self.unpacked[term]
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,10 +113,8 @@ def build(rows: list[tuple[object, str]]) -> Index:
 def block_max_wand(index: Index, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
     """All (item, score) with a score of at least ``threshold`` for distinct ``terms``."""
     limit = threshold - 1e-9
-    lists = []
-    for t in terms:
-        a, b = int(index.at[t]), int(index.at[t + 1])
-        lists.append([index.docs[a:b], index.impact[a:b], 0, float(index.top[t]), {}])
+    # [items, impacts, position, top, block maxima, block ends]
+    lists = [[*index.postings(int(t))] for t in terms]
     out = []
     while True:
         lists = [x for x in lists if x[2] < len(x[0])]
@@ -115,64 +127,97 @@ def block_max_wand(index: Index, terms: np.ndarray, threshold: float) -> list[tu
                 break
         if pivot < 0:
             return out
-        doc = int(lists[pivot][0][lists[pivot][2]])
+        doc = lists[pivot][0][lists[pivot][2]]
         while pivot + 1 < len(lists) and lists[pivot + 1][0][lists[pivot + 1][2]] == doc:
             pivot += 1
+        front = lists[: pivot + 1]
         # The blocks that could hold the pivot item: their maxima, and where they end.
-        bound, border = 0.0, None
-        for x in lists[: pivot + 1]:
-            k = int(np.searchsorted(x[0], doc)) // POSTING_BLOCK
-            if k * POSTING_BLOCK >= len(x[0]):
-                continue
-            if k not in x[4]:
-                part = slice(k * POSTING_BLOCK, (k + 1) * POSTING_BLOCK)
-                x[4][k] = (float(x[1][part].max()), int(x[0][part][-1]))
-            most, last = x[4][k]
-            bound += most
-            border = last if border is None else min(border, last)
+        bound, border = 0.0, doc
+        ends = []
+        for x in front:
+            k = bisect_left(x[5], doc)
+            if k < len(x[5]):
+                bound += x[4][k]
+                ends.append(x[5][k])
         if bound < limit:
             # No item up to the nearest block end can reach the threshold.
-            target = max(doc, border if border is not None else doc) + 1
+            border = min(ends)
+            target = border + 1
             if pivot + 1 < len(lists):
-                target = min(target, max(doc + 1, int(lists[pivot + 1][0][lists[pivot + 1][2]])))
+                target = min(target, lists[pivot + 1][0][lists[pivot + 1][2]])
         else:
             score = 0.0
-            for x in lists[: pivot + 1]:
-                k = int(np.searchsorted(x[0], doc))
+            for x in front:
+                k = bisect_left(x[0], doc, x[2])
                 if k < len(x[0]) and x[0][k] == doc:
-                    score += float(x[1][k])
+                    score += x[1][k]
             if score >= limit:
                 out.append((doc, score))
             target = doc + 1
-        for x in lists[: pivot + 1]:
-            x[2] = max(x[2], int(np.searchsorted(x[0], target)))
+        target = max(target, doc + 1)
+        for x in front:
+            x[2] = bisect_left(x[0], target, x[2])
 
 
-def search(words: np.ndarray, first: np.ndarray, index: Index, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
-    """(row, item, score, passage start, end) for every passage at or above the threshold."""
-    if len(index.terms) == 0 or len(words) == 0:
-        return
+def essential(index: Index, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which terms are essential, and what each item needs from its essential terms.
+
+    The most frequent terms are left out while no item has more than 0.6 of the
+    threshold from them: an item that reaches the threshold has the rest from others.
+    """
+    keep = np.ones(len(index.terms), bool)
+    common = np.zeros(len(index.items))
+    for t in np.argsort(-np.diff(index.at), kind="stable"):
+        part = slice(index.at[t], index.at[t + 1])
+        more = common[index.docs[part]] + index.impact[part]
+        if more.max() > 0.6 * threshold:
+            break
+        common[index.docs[part]] = more
+        keep[t] = False
+    return keep, threshold - common - 1e-9
+
+
+def candidates(
+    words: np.ndarray, first: np.ndarray, index: Index, threshold: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Passages (row, first word, end) that may reach the threshold for some item, by
+    the postings of essential terms alone; and the term of every word (-1: none)."""
     span = index.span
     at = np.minimum(np.searchsorted(index.terms, words), len(index.terms) - 1)
-    known = np.flatnonzero(index.terms[at] == words)
-    term = at[known]
+    term = np.where(index.terms[at] == words, at, -1)
+    keep, need = essential(index, threshold)
+    known = np.flatnonzero((term >= 0) & keep[term])
     owner = np.searchsorted(first, known, side="right") - 1
-    # Distinct terms of each stretch of `span` words; a passage is two stretches.
-    pieces = np.diff(first) // span + 1
-    base = np.concatenate([[0], np.cumsum(pieces)])
+    # Distinct essential terms of each stretch of `span` words; a passage is two stretches.
+    base = np.concatenate([[0], np.cumsum(np.diff(first) // span + 1)])
     stretch = base[owner] + (known - first[owner]) // span
-    code = np.unique(stretch * len(index.terms) + term)
-    weight = np.bincount(code // len(index.terms), index.top[code % len(index.terms)], minlength=base[-1] + 1)
-    bound = weight[:-1] + weight[1:]
-    last = np.zeros(len(bound), bool)
-    last[base[1:] - 1] = True
-    bound = np.where(last, weight[:-1], bound)
-    for s in np.flatnonzero(bound >= threshold - 1e-9):
-        row = int(np.searchsorted(base, s, side="right")) - 1
-        a = int(first[row] + (s - base[row]) * span)
-        b = int(min(a + 2 * span, first[row + 1]))
-        lo, hi = np.searchsorted(known, (a, b))
-        for item, score in block_max_wand(index, np.unique(term[lo:hi]), threshold):
+    code = np.unique(stretch * len(index.terms) + term[known])
+    place, t = code // len(index.terms), code % len(index.terms)
+    n = np.diff(index.at)[t]
+    posting = np.repeat(index.at[t] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(t) else t
+    place = np.repeat(place, n)
+    starts_row = np.zeros(base[-1] + 1, bool)
+    starts_row[base] = True
+    earlier = ~starts_row[place]
+    pair = np.concatenate([place, place[earlier] - 1]) * len(index.items) + np.concatenate([index.docs[posting], index.docs[posting[earlier]]])
+    value = np.concatenate([index.impact[posting], index.impact[posting[earlier]]])
+    pair, inverse = np.unique(pair, return_inverse=True)
+    total = np.bincount(inverse, value, minlength=len(pair))
+    enough = total >= need[pair % len(index.items)]
+    passage = np.unique(pair[enough] // len(index.items))
+    row = np.searchsorted(base, passage, side="right") - 1
+    begin = first[row] + (passage - base[row]) * span
+    return row, begin, np.minimum(begin + 2 * span, first[row + 1]), term
+
+
+def search(words: np.ndarray, first: np.ndarray, index: Index, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
+    """(row, item, score, passage start, end) for every passage at or above the threshold."""
+    if len(index.terms) == 0 or len(words) == 0:
+        return
+    rows, begins, ends, term = candidates(words, first, index, threshold)
+    for row, a, b in zip(rows.tolist(), begins.tolist(), ends.tolist()):
+        own = np.unique(term[a:b])
+        for item, score in block_max_wand(index, own[own >= 0], threshold):
             yield row, item, score, a, b
 
 

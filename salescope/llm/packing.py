@@ -27,7 +27,7 @@ from salescope.llm.textops import blocks, materialize, running_total, slim
 SEQUENCE = 4096
 END_OF_DOCUMENT = 2
 TOKEN_BLOCK = 8 << 20
-CACHED_PARTS = 900_000  # parts of texts that a worker remembers, some 150 MB
+CACHED_PARTS = 350_000  # parts of texts that a worker remembers, some 70 MB
 
 
 @lru_cache(maxsize=2)
