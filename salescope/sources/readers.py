@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from salescope.schema import (
@@ -36,6 +37,27 @@ def _declared(names: Sequence[str], schema: StructType) -> StructType:
     return StructType([StructField(n, types.get(normalize_name(n), StringType())) for n in names])
 
 
+def _json_keys(spark: SparkSession, path: str) -> list[str]:
+    """The top-level keys of JSON lines, counted map-side in one pass."""
+    keys = F.explode(F.json_object_keys("value")).alias("key")
+    return sorted(r.key for r in spark.read.text(path).select(keys).distinct().collect())
+
+
+def _numeric_extras(df: DataFrame, schema: StructType) -> DataFrame:
+    """Text columns outside ``schema`` whose every filled cell is a number, as numbers."""
+    extras = [c for c in df.columns if normalize_name(c) not in schema.names]
+    if not extras:
+        return df
+    cells = {c: F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")) for c in extras}
+    number = {c: cells[c].try_cast("double") for c in extras}
+    seen = df.agg(
+        *[F.count(cells[c]).alias(f"cells{i}") for i, c in enumerate(extras)],
+        *[F.count(number[c]).alias(f"numbers{i}") for i, c in enumerate(extras)],
+    ).first()
+    found = [c for i, c in enumerate(extras) if 0 < seen[f"cells{i}"] == seen[f"numbers{i}"]]
+    return df.withColumns({c: number[c] for c in found}) if found else df
+
+
 def scan_sales(
     spark: SparkSession,
     path: str,
@@ -46,9 +68,11 @@ def scan_sales(
 ) -> DataFrame:
     """Read a sales table with normalised headers, typed numbers and NULL gaps.
 
-    Text formats get declared types, so only the header (csv) is looked at in
-    advance and no inference pass reads the data. Cells that do not parse
-    become NULL. ``infer=True`` lets Spark infer the types instead.
+    Text formats get declared types by the real names: the header of a csv, the keys of
+    JSON lines (one pass over them). Cells that do not parse become NULL. A csv folder
+    whose files order their columns differently is refused when it is read. Columns that
+    are not declared are numbers if every filled cell is one (one more pass over those
+    columns, only if there are any), else text. ``infer=True`` lets Spark infer instead.
     """
     fmt = fmt or source_format(path)
     reader = spark.read.format(fmt)
@@ -58,7 +82,10 @@ def scan_sales(
             reader = reader.option("inferSchema", True)
         else:
             header = spark.read.option("header", True).csv(path).columns
-            reader = reader.schema(_declared(header, schema))
+            reader = reader.schema(_declared(header, schema)).option("enforceSchema", False)
     elif fmt == "json" and not infer:
-        reader = reader.schema(schema)
-    return nan_to_null(require_columns(normalize_headers(reader.load(path)), required))
+        reader = reader.schema(_declared(_json_keys(spark, path), schema))
+    df = require_columns(normalize_headers(reader.load(path)), required)
+    if fmt in ("csv", "json") and not infer:
+        df = _numeric_extras(df, schema)
+    return nan_to_null(df)
