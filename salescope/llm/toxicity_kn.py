@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from salescope.llm.textops import LETTER_WORD, LOWER, SpanHash, blocks, fold, mixed, sampled, slim, word_spans
 
-SAMPLE_DOCS = 3000  # labelled documents of each class, at most about this many
+SAMPLE_DOCS = 1200  # labelled documents of each class, at most about this many
 DISCOUNT = 0.75
 WINDOWS = (1, 3, 8)
 STRONG = 1.5
@@ -177,10 +177,11 @@ def train(rows: list[tuple[str, int]], weights: tuple[float, float] = (1.0, 1.0)
     for side in (0, 1):
         use = half[owner] != side
         ratio = fit_ratio(words[use], before[use], y[owner[use]])
-        mine = np.flatnonzero(half == side)
-        at = np.concatenate([[0], np.cumsum(counts[mine])])
-        pick = half[owner] == side
-        x[mine] = features(words[pick], before[pick], at, ratio)
+        # A few documents at a time: the driver's memory is small.
+        for mine in np.array_split(np.flatnonzero(half == side), max(1, len(y) // 100)):
+            at = np.concatenate([[0], np.cumsum(counts[mine])])
+            pick = np.concatenate([np.arange(first[d], first[d + 1]) for d in mine] or [np.empty(0, np.int64)])
+            x[mine] = features(words[pick], before[pick], at, ratio)
     center, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     curve = logistic((x - center) / scale, y, np.where(y == 1, weights[1], weights[0]))
     return Model(fit_ratio(words, before, y[owner]), center, scale, curve)
