@@ -32,8 +32,11 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 KNOWN_DIGEST = re.compile(r"[0-9a-fA-F]+\Z")
 DIGEST_LENGTHS = frozenset({32, 40, 48, 56, 64, 96, 128})
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z")
-# Pieces of an identifier: words with an optional number, or numbers.
-IDENTIFIER = re.compile(r"(?:(?:[A-Z]?[a-z]+|[A-Z]+)\d{0,4}|\d+)(?:[_/+=-]+(?:(?:[A-Z]?[a-z]+|[A-Z]+)\d{0,4}|\d+)?)*[_/+=-]*\Z")
+# Pieces of an identifier: words with an optional number, or numbers. Separators are
+# taken possessively, so a long row of them cannot be split in many ways.
+IDENTIFIER = re.compile(
+    r"(?:(?:[A-Z]?[a-z]+|[A-Z]+)\d{0,4}|\d+)(?:[_/+=-]++(?:(?:[A-Z]?[a-z]+|[A-Z]+)\d{0,4}|\d+)?)*\Z"
+)
 CHARACTERS_PER_TOKEN = 2.2
 # The tokenizer's work grows with the square of a piece: longer runs are cut.
 PIECE = 512

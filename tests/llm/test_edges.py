@@ -16,7 +16,7 @@ from salescope.llm.language_crf import identify, keep_identified
 from salescope.llm.license_rules import scan_licenses
 from salescope.llm.line_chunks import drop_repeated_chunks
 from salescope.llm.packing import pack
-from salescope.llm.secret_tokens import find_secrets
+from salescope.llm.secret_tokens import IDENTIFIER, find_secrets
 from salescope.llm.sharding import balanced_shards
 from salescope.llm.toxicity_kn import score_toxicity
 
@@ -124,3 +124,9 @@ def test_two_groups_of_repeats_never_share_a_key(spark):
     assert jaccard_join.keep_one(docs).count() == 2
     assert drop_copies(docs).count() == 2
     assert exact_groups(docs).agg(F.sum(F.col("kept").cast("int"))).first()[0] == 2
+
+
+def test_long_separator_rows_are_no_trap():
+    """A row of separators before a piece that fails is matched in linear time."""
+    assert not IDENTIFIER.match("abc1" + "-" * 5000 + "a1b2")
+    assert IDENTIFIER.match("abc1" + "-=/" * 2000 + "Word22__")
