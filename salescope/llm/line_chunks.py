@@ -146,4 +146,6 @@ def drop_repeated_chunks(docs: DataFrame) -> DataFrame:
         F.collect_set(F.when(F.col("own"), F.col("hash"))).alias("once"),
     )
     lists = materialize(lists, "chunk-lists")
-    return rows.join(lists, "key", "left").select("doc_id", "text", "drop", "once").mapInArrow(_rebuild, RESULT)
+    # The lists grow with the corpus: joined by shuffling at every size, never broadcast.
+    joined = rows.join(lists.hint("merge"), "key", "left")
+    return joined.select("doc_id", "text", "drop", "once").mapInArrow(_rebuild, RESULT)
