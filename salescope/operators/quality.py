@@ -17,7 +17,7 @@ from salescope.schema import (
     numeric_columns,
     string_columns,
 )
-from salescope.sources.staging import BROADCAST_ROWS, materialize
+from salescope.sources.staging import materialize
 
 # The messages of the quality report.
 DUPLICATES_MESSAGE = "Found %s duplicate rows"
@@ -28,10 +28,6 @@ MISSING_MESSAGE = "%s is %s%% missing"
 CARDINALITY_MESSAGE = "%s has high cardinality (%s unique values) - check for typos"
 
 
-# Up to this many rows are compared in full without hashing them first.
-PLAIN_ROWS = 4_000_000
-
-
 class DataQualityError(ValueError):
     """The table has errors, as opposed to warnings."""
 
@@ -40,25 +36,29 @@ def _outside(column: str, bounds: tuple[float, float]) -> Column:
     return (F.col(column) < bounds[0]) | (F.col(column) > bounds[1])
 
 
-def duplicate_rows(
-    df: DataFrame, plain_rows: int = PLAIN_ROWS, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def data_columns(df: DataFrame) -> list[str]:
+    """The columns without the helpers that number a binned column's bins."""
+    return [c for c in df.columns if not (c.endswith("_ord") and c.removesuffix("_ord") in df.columns)]
+
+
+def free_texts(df: DataFrame) -> list[str]:
+    """The text columns that are read, not derived: a binned column's labels are fixed."""
+    return [c for c in string_columns(df) if f"{c}_ord" not in df.columns]
+
+
+def duplicate_rows(df: DataFrame) -> DataFrame:
     """How many rows repeat an earlier one in all columns (gaps equal gaps).
 
-    In a large table only 8-byte row hashes are shuffled at first. Rows whose
-    hash occurs more than once are then compared in full, so colliding hashes
-    do no harm; copies of a row combine map-side, however many there are.
+    Only 8-byte row hashes are shuffled at first. Rows whose hash occurs more than
+    once are then compared in full, so colliding hashes do no harm; copies of a row
+    combine map-side, however many there are. The repeated hashes are a written
+    table of known size, so Catalyst picks the join.
     """
-    rows = df
-    if df.count() > plain_rows:
-        hashed = df.withColumn("row_hash", F.xxhash64(*df.columns))
-        repeated = hashed.groupBy("row_hash").count().where("count > 1").select("row_hash")
-        suspects = materialize(repeated, "repeated-hashes")
-        # With very many suspects the filter would not pay: count all rows in full.
-        if suspects.count() <= broadcast_rows:
-            rows = hashed.join(F.broadcast(suspects), "row_hash", "left_semi")
+    hashed = df.withColumn("row_hash", F.xxhash64(*df.columns))
+    repeated = hashed.groupBy("row_hash").count().where("count > 1").select("row_hash")
+    suspects = hashed.join(materialize(repeated, "repeated-hashes"), "row_hash", "left_semi")
     return (
-        rows.groupBy(*df.columns)
+        suspects.groupBy(*df.columns)
         .agg(F.count(F.lit(1)).alias("copies"))
         .agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
     )
@@ -92,11 +92,11 @@ def missing_share(df: DataFrame) -> DataFrame:
     """Per column the missing cells, their percentage, and whether it is over the limit."""
     total = "__rows"
     counts = df.agg(
-        F.count(F.lit(1)).alias(total), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
+        F.count(F.lit(1)).alias(total), *[F.count_if(F.col(c).isNull()).alias(c) for c in data_columns(df)]
     )
     cells = [
         F.struct(F.lit(c).alias("column"), F.col(c).alias("missing"), F.col(total).alias("rows"))
-        for c in df.columns
+        for c in data_columns(df)
     ]
     share = _missing_percent(F.col("missing"), F.col("rows"))
     return (
@@ -117,7 +117,7 @@ def cardinality(df: DataFrame) -> DataFrame:
     One pass counts (column, value) pairs; the second grouping sees only
     distinct values, so no task gathers all values of a column at once.
     """
-    columns = string_columns(df)
+    columns = free_texts(df)
     pairs = df.select(*columns).unpivot([], columns, "column", "value")
     counted = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
     per_column = counted.groupBy("column").agg(
@@ -131,13 +131,14 @@ def cardinality(df: DataFrame) -> DataFrame:
 
 
 def table_stats(df: DataFrame) -> DataFrame:
-    """Rows, columns, missing cells and duplicate rows."""
+    """Rows, columns, missing cells and duplicate rows; bin numbers are no data."""
     missing = F.lit(0).cast("bigint")
-    for c in df.columns:
+    columns = data_columns(df)
+    for c in columns:
         missing = missing + F.count_if(F.col(c).isNull())
     sizes = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.lit(len(df.columns)).cast("bigint").alias("total_columns"),
+        F.lit(len(columns)).cast("bigint").alias("total_columns"),
         missing.alias("missing_values"),
     )
     return sizes.withColumn("duplicate_rows", duplicate_rows(df).scalar())
@@ -157,7 +158,7 @@ def _row_counts(df: DataFrame) -> DataFrame:
     if "price_usd" in numeric:
         out = F.count_if(_outside("price_usd", PLAUSIBLE_PRICES))
         checks.append(("price_range", "price_usd", "warning", out, PRICES_MESSAGE))
-    for c in df.columns:
+    for c in data_columns(df):
         share = _missing_percent(F.count_if(F.col(c).isNull()), total)
         over = F.when(share > MISSING_PERCENT_LIMIT, share).otherwise(0.0)
         checks.append(("missing", c, "warning", over, MISSING_MESSAGE))
@@ -193,7 +194,7 @@ def quality_report(df: DataFrame) -> DataFrame:
         F.format_string(DUPLICATES_MESSAGE, F.col("duplicate_rows").cast("string")).alias("message"),
     )
     findings = duplicates.unionByName(_row_counts(df)).where("observed > 0")
-    if string_columns(df):
+    if free_texts(df):
         crowded = cardinality(df).where("flagged")
         findings = findings.unionByName(
             crowded.select(

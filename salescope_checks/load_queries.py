@@ -312,7 +312,7 @@ add(
     lambda s, d: quality.price_range(clean_fact(s, d)),
     on_clean("SELECT count(*) FILTER (WHERE price_usd < 10000 OR price_usd > 800000) AS unusual_prices FROM clean"),
 )
-ALL_COLUMNS = (*REQUIRED_COLUMNS, "engine_size", "mileage_bin", "mileage_bin_ord")
+DATA_COLUMNS = (*REQUIRED_COLUMNS, "engine_size", "mileage_bin")
 add(
     "dq_missing_pct",
     lambda s, d: quality.missing_share(dirty_fact(s, d)),
@@ -327,7 +327,7 @@ add(
     ),
     "missing_pct",
 )
-TEXTS = ("model", "region", "color", "fuel_type", "transmission", "mileage_bin")
+TEXTS = ("model", "region", "color", "fuel_type", "transmission")
 add(
     "dq_cardinality",
     lambda s, d: quality.cardinality(clean_fact(s, d)),
@@ -343,8 +343,8 @@ add(
     "dq_stats",
     lambda s, d: quality.table_stats(clean_fact(s, d)),
     on_clean(
-        f"SELECT count(*) AS total_rows, CAST({len(ALL_COLUMNS)} AS BIGINT) AS total_columns, "
-        + " + ".join(f"(count(*) - count({c}))" for c in ALL_COLUMNS)
+        f"SELECT count(*) AS total_rows, CAST({len(DATA_COLUMNS)} AS BIGINT) AS total_columns, "
+        + " + ".join(f"(count(*) - count({c}))" for c in DATA_COLUMNS)
         + " AS missing_values, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM clean)) AS duplicate_rows "
         "FROM clean"
     ),

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import Observation
 
-from salescope.operators import quality, rules
+from salescope.operators import clean, quality, rules
 from tests.conftest import records
 
 
@@ -24,10 +24,27 @@ def test_clean_table_passes(make):
     ]
 
 
-@pytest.mark.parametrize("way", [{}, {"plain_rows": 0}, {"plain_rows": 0, "broadcast_rows": 0}])
-def test_duplicates_count_repeats_and_gaps_are_equal(make, way):
+def test_duplicates_count_repeats_and_gaps_are_equal(make):
     rows = varied(make, 3) + [{"region": None}] * 2 + [{"color": None}] * 3
-    assert quality.duplicate_rows(make(*rows), **way).first()[0] == 3
+    assert quality.duplicate_rows(make(*rows)).first()[0] == 3
+
+
+def test_very_many_repeated_hashes(spark):
+    df = spark.range(180_000).selectExpr("id div 3 AS a", "if(id % 7 = 0, null, 'x') AS b")
+    want = df.count() - df.distinct().count()
+    assert want > 50_000
+    assert quality.duplicate_rows(df).first()[0] == want
+
+
+def test_bin_numbers_are_no_data(make):
+    """A gap in a binned column is one gap; its labels are not checked for typos."""
+    df = clean.derive_columns(make(*[{"mileage_km": -1.0 - i} for i in range(10)]))
+    stats = records(quality.table_stats(df))[0]
+    assert (stats["total_columns"], stats["missing_values"]) == (12, 10)
+    missing = [k for k in findings(df) if k[0] == "missing"]
+    assert missing == [("missing", "mileage_bin")]
+    assert "mileage_bin" not in {r["column"] for r in quality.cardinality(df).collect()}
+    assert "mileage_bin_ord" not in {r["column"] for r in quality.missing_share(df).collect()}
 
 
 def test_duplicate_is_a_warning(make):
