@@ -16,6 +16,7 @@ from salescope.operators.aggregate import (
 from salescope.operators.rank import top_model_fuel_years, top_n
 from salescope.operators.trends import item_series, trend_summary, with_yoy, yearly_series
 from salescope.schema import drop_null_keys
+from salescope.sources.staging import materialize
 
 
 def yoy_global(df: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def segment_underperformer(
     df: DataFrame, segment: str = "fuel_type", years: int = 2, n: int = 1
 ) -> DataFrame:
     """The segments with the weakest unit growth over the last ``years`` years."""
-    series = units_by(df, [segment, "year"])
+    series = materialize(units_by(df, [segment, "year"]), "segment-years")
     last_year = series.agg(F.max("year")).scalar()
     return (
         series.withColumn("last_year", last_year)
@@ -105,7 +106,7 @@ def fuel_distribution(df: DataFrame, column: str = "fuel_type") -> DataFrame:
 
 def fuel_momentum(df: DataFrame, column: str = "fuel_type", n: int = 1) -> DataFrame:
     """The fuel type that grew most in the latest year."""
-    series = units_by(df, [column, "year"])
+    series = materialize(units_by(df, [column, "year"]), "fuel-years")
     return (
         with_yoy(series, [column])
         .where((F.col("year") == series.agg(F.max("year")).scalar()) & F.col("yoy").isNotNull())
@@ -120,8 +121,14 @@ def transmission_growth(df: DataFrame, column: str = "transmission", n: int = 2)
 
 
 def region_price_premium(df: DataFrame, group: str = "region") -> DataFrame:
-    """Mean price per region against the mean of all rows, in percent."""
-    sums = df.groupBy(group).agg(F.sum("price_usd").alias("total"), F.count("price_usd").alias("n"))
+    """Mean price per region against the mean of all rows, in percent.
+
+    The sums per region are written, so the table is read once for both means.
+    """
+    sums = materialize(
+        df.groupBy(group).agg(F.sum("price_usd").alias("total"), F.count("price_usd").alias("n")),
+        "price-sums",
+    )
     overall = sums.agg(F.try_divide(F.sum("total"), F.sum("n"))).scalar()
     priced = sums.where(F.col(group).isNotNull()).select(
         group, F.try_divide("total", "n").alias("avg_price"), overall.alias("global_price")
@@ -144,6 +151,7 @@ def niche_pricing_power(df: DataFrame) -> DataFrame:
             F.count("price_usd").alias("n"),
         )
     )
+    cells = materialize(cells, "model-regions")
     model = Window.partitionBy("model")
     model_price = F.try_divide(F.sum("total").over(model), F.sum("n").over(model))
     return (
