@@ -44,6 +44,7 @@ class Index:
     question: list[np.ndarray]  # sorted shingles
     answer: list[np.ndarray]
     unpacked: dict[int, tuple] = field(default_factory=dict)
+    needs: dict[float, tuple] = field(default_factory=dict)  # of each threshold, see essential()
 
     def postings(self, term: int) -> tuple:
         """A term's items, impacts, start, top, block maxima and block ends, as lists."""
@@ -185,7 +186,9 @@ def candidates(
     span = index.span
     at = np.minimum(np.searchsorted(index.terms, words), len(index.terms) - 1)
     term = np.where(index.terms[at] == words, at, -1)
-    keep, need = essential(index, threshold)
+    if threshold not in index.needs:
+        index.needs[threshold] = essential(index, threshold)
+    keep, need = index.needs[threshold]
     known = np.flatnonzero((term >= 0) & keep[term])
     owner = np.searchsorted(first, known, side="right") - 1
     # Distinct essential terms of each stretch of `span` words; a passage is two stretches.

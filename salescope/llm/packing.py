@@ -26,7 +26,7 @@ from salescope.llm.textops import blocks, materialize, running_total, slim
 
 SEQUENCE = 4096
 END_OF_DOCUMENT = 2
-TOKEN_BLOCK = 8 << 20
+TOKEN_BLOCK = 2 << 20
 CACHED_PARTS = 350_000  # parts of texts that a worker remembers, some 70 MB
 
 

@@ -20,7 +20,7 @@ from salescope.sources.staging import materialize
 __all__ = ["materialize"]
 
 # Bytes of text handled at once in a task; eight-byte arrays over them stay small.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 # Rows of one window task when ranks are dealt out over buckets.
 BUCKET_ROWS = 20_000
 
@@ -105,6 +105,8 @@ def blocks(
         for a, b in zip(cuts, cuts[1:]):
             piece = batch.slice(a, b - a)
             yield (piece, *utf8(piece.column(column)))
+    # A worker outlives its task; what the task's batches took goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def byte_table(characters: str, outside_ascii: bool) -> np.ndarray:
