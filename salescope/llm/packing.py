@@ -27,7 +27,8 @@ from salescope.llm.textops import blocks, materialize, running_total, slim
 SEQUENCE = 4096
 END_OF_DOCUMENT = 2
 TOKEN_BLOCK = 2 << 20
-CACHED_PARTS = 350_000  # parts of texts that a worker remembers, some 70 MB
+CACHED_PARTS = 100_000  # parts of texts that a worker remembers, some 20 MB
+ENCODED_AT_ONCE = 2048
 
 
 @lru_cache(maxsize=2)
@@ -68,9 +69,12 @@ class Ids:
                 self.parts[raw] = pack_ids(ids)
             else:
                 rest.append(raw)
-        coded = self.tokenizer.encode_batch_fast([r.decode() for r in rest], add_special_tokens=False)
-        for raw, one in zip(rest, coded):
-            self.parts[raw] = pack_ids(one.ids)
+        # An encoding is a large object; a few thousand at a time are enough.
+        for k in range(0, len(rest), ENCODED_AT_ONCE):
+            some = rest[k : k + ENCODED_AT_ONCE]
+            coded = self.tokenizer.encode_batch_fast([r.decode() for r in some], add_special_tokens=False)
+            for raw, one in zip(some, coded):
+                self.parts[raw] = pack_ids(one.ids)
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [spaced(t).split() for t in texts]
