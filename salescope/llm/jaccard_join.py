@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from salescope.llm.textops import LOWER, SPACE_WORD, SpanHash, blocks, materialize, mixed, shingles, slim, word_spans
 
 WIDTH, NUMERATOR, DENOMINATOR = 3, 90, 100
-SKETCH_SLOTS = 1 << 20
+SKETCH_SLOTS = 1 << 22
 SKETCH_PARTS = 64
+MOST_COUNTED = 255  # of a counter in one task; beyond it a shingle is common anyway
 FILTER_BITS = 1 << 25
 MOST_BITS = 1 << 14
 SUBSET = 2
@@ -85,12 +86,14 @@ def _profiles(rows: DataFrame, width: int, slots: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in PROFILE.split(", ")]
-        counts = np.zeros(slots, np.int32)
+        counts = np.zeros(slots, np.uint16)
         for batch, data, offsets in blocks(batches):
             sets = list(document_sets(data, offsets, width))
             every = np.concatenate(sets)
             if len(every):
-                counts += np.bincount((every & np.uint64(slots - 1)).astype(np.int64), minlength=slots).astype(np.int32)
+                slot, more = np.unique(every & np.uint64(slots - 1), return_counts=True)
+                slot = slot.astype(np.int64)
+                counts[slot] = np.minimum(counts[slot] + more, MOST_COUNTED)
             n = batch.num_rows
             arrays = [
                 batch.column("doc_id"),
@@ -103,7 +106,7 @@ def _profiles(rows: DataFrame, width: int, slots: int) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(arrays, names)
         if counts.any():
-            parts = np.split(counts, SKETCH_PARTS)
+            parts = np.split(counts.astype(np.uint8), SKETCH_PARTS)
             none = pa.nulls(SKETCH_PARTS, pa.int64())
             arrays = [none] * 4 + [
                 pa.nulls(SKETCH_PARTS, pa.binary()),
@@ -122,7 +125,7 @@ def _sketch(profiles: DataFrame, slots: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, raw in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
-                sums[part] = sums.get(part, 0) + np.frombuffer(raw, np.int32).astype(np.int64)
+                sums[part] = sums.get(part, 0) + np.frombuffer(raw, np.uint8).astype(np.int64)
         if sums:
             arrays = [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["part", "counts"])
