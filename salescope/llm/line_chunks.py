@@ -1,10 +1,13 @@
 """Line dedup by content-defined chunks.
 
-A rolling hash over the hashes of the last lines decides where a chunk ends, so equal
-runs of lines are cut alike wherever they stand. Chunks of several lines that repeat
-anywhere in the corpus are removed, all but the first, after their bytes were compared:
-the texts behind a repeated hash are grouped by hash and bytes, with map-side counts,
-and a hash that stands for different texts removes nothing.
+A line of ``LINE_WORDS`` words or more is a chunk of its own, so a repeated passage loses
+all such lines, the first and the last included, whatever stands around it. Shorter lines
+between them are joined: a hash of the line decides where a chunk of short lines ends, so
+equal runs are cut alike wherever they stand. Long lines and chunks of several lines that
+repeat anywhere in the corpus are removed, all but the first, after their bytes were
+compared: the texts behind a repeated hash are grouped by hash and bytes, with map-side
+counts, and a hash that stands for different texts removes nothing. A short line alone
+stays.
 """
 
 from __future__ import annotations
@@ -18,16 +21,17 @@ from pyspark.sql import functions as F
 
 from salescope.llm.textops import SPACE_WORD, SpanHash, blocks, materialize, mixed, slim, word_spans
 
-WINDOW = 2  # lines under the rolling hash
-DIVISOR = 4  # lines of a chunk, on average
+LINE_WORDS = 4  # a line of so many words is a chunk of its own
+DIVISOR = 4  # short lines of a chunk, on average
+HOT_HASHES = 1000  # most frequent chunks, joined by broadcast
 FILTER_BITS = 1 << 25
 NO_ID = (1 << 63) - 1
-_LANES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+_LANE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def chunk_table(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of each chunk: row, start, end of its content, start of what follows, lines, hash,
-    and whether it may be removed (several lines, not all blank)."""
+    and whether it may be removed (a long line, or several short ones that are not all blank)."""
     sizes = np.diff(offsets)
     breaks = np.flatnonzero(data == 10) + 1
     row = np.searchsorted(offsets, breaks - 1, side="right") - 1
@@ -41,17 +45,22 @@ def chunk_table(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
     ends = follow - (data[follow - 1] == 10)
     spans = SpanHash(data)
     own = spans.of(starts, np.maximum(ends, starts))
-    rolling = own * _LANES[0]
-    for k in range(1, WINDOW):
-        there = np.flatnonzero(owner[k:] == owner[:-k]) + k if len(own) > k else np.empty(0, np.int64)
-        rolling[there] += own[there - k] * _LANES[k]
-    cut = last | (mixed(rolling) % np.uint64(DIVISOR) == 0)
+    inside = SPACE_WORD[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    words = np.concatenate([[0], np.cumsum(first)])
+    ends = np.maximum(ends, starts)
+    # A word that starts at the line's first byte counts even if the row before ends in one.
+    joined = inside[starts] & ~first[starts]
+    long = words[ends] - words[starts] + joined >= LINE_WORDS
+    cut = last | long | (mixed(own * _LANE) % np.uint64(DIVISOR) == 0)
+    cut[:-1] |= long[1:]
     closing = np.flatnonzero(cut)
     opening = np.concatenate([[0], closing[:-1] + 1]) if len(closing) else closing
     a, b = starts[opening], np.maximum(ends[closing], starts[opening])
     lines = closing - opening + 1
-    words = np.concatenate([[0], np.cumsum(SPACE_WORD[data])])
-    removable = (lines > 1) & (words[b] > words[a])
+    filled = np.concatenate([[0], np.cumsum(inside)])
+    removable = (long[closing] | (lines > 1)) & (filled[b] > filled[a])
     return owner[opening], a, b, follow[closing], lines, spans.of(a, b).astype(np.int64), removable
 
 
@@ -129,18 +138,23 @@ def drop_repeated_chunks(docs: DataFrame) -> DataFrame:
 
     The first occurrence, by smallest id (null last) and then by place, stays. Rows that
     share an id count as one document: none loses its first occurrence to another. Null
-    texts stay null; empty and blank ones stay as they are; chunks of one line stay. A
+    texts stay null; empty and blank ones stay as they are; a short line alone stays. A
     trailing line end does not open another line.
     """
     rows = slim(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(NO_ID)))
     chunks = materialize(_chunk_rows(rows.select("key", "text")), "chunk-hashes")
     repeated = chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first"))
-    repeated = materialize(repeated.where("n > 1").select("hash", "first"), "chunk-repeated")
+    repeated = materialize(repeated.where("n > 1"), "chunk-repeated")
     texts = _chunk_texts(rows, hash_bits(repeated)).groupBy("hash", "chunk").agg(F.count(F.lit(1)).alias("n"))
     same = texts.groupBy("hash").agg(F.count(F.lit(1)).alias("texts")).where("texts = 1").select("hash")
     verified = materialize(repeated.join(same, "hash"), "chunk-verified")
-    hits = chunks.join(verified, "hash").select("key", "hash", (F.col("first") == F.col("key")).alias("own"))
+    # A line of very many documents would meet in one task: the most frequent are broadcast.
+    hot = materialize(verified.orderBy(F.desc("n"), "hash").limit(HOT_HASHES), "chunk-hot")
+    often = chunks.join(F.broadcast(hot), "hash")
+    rest = chunks.join(F.broadcast(hot.select("hash")), "hash", "left_anti")
+    often = often.unionByName(rest.join(verified.hint("merge"), "hash"))
+    hits = often.select("key", "hash", (F.col("first") == F.col("key")).alias("own"))
     lists = hits.groupBy("key").agg(
         F.collect_set(F.when(~F.col("own"), F.col("hash"))).alias("drop"),
         F.collect_set(F.when(F.col("own"), F.col("hash"))).alias("once"),
