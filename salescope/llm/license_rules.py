@@ -1,8 +1,9 @@
 """License scan by ordered signature rules.
 
 Each rule is a regular expression over lower-cased text with a label, a priority and
-a keyword without which it cannot match. One Aho-Corasick pass finds the keywords that
-a text holds; only their rules run. Detections then suppress each other: one that lies
+keywords (divided by bars) without any of which it cannot match. One Aho-Corasick pass
+finds the keywords in a copy of the text with white space folded to single blanks and
+licence spelt license; only their rules run, over the text itself. Detections then suppress each other: one that lies
 inside a detection of higher priority, or of equal priority and greater length, goes.
 """
 
@@ -84,7 +85,7 @@ NAMED: tuple[tuple[str, str, str, tuple[str, str] | None], ...] = (
     ("zlib", "zlib", r"\bzlib(?:/libpng)?\s+licen[sc]e", ("zlib.net", r"zlib\.net/zlib_license")),
     ("libpng", "libpng", r"\blibpng\s+licen[sc]e", ("libpng.org", r"libpng\.org/pub/png/src/libpng-license")),
     ("openssl", "openssl", r"\bopenssl\s+licen[sc]e", ("openssl.org", r"openssl\.org/source/license")),
-    ("psf-2.0", "python software", r"\bpython\s+software\s+foundation\s+licen[sc]e|\bpsf\s+licen[sc]e", ("python.org", r"python\.org/\S*license")),
+    ("psf-2.0", "python software|psf", r"\bpython\s+software\s+foundation\s+licen[sc]e|\bpsf\s+licen[sc]e", ("python.org", r"python\.org/\S*license")),
     ("cnri-python", "cnri", r"\bcnri\s+(?:open\s+source\s+)?licen[sc]e", None),
     ("php-3.01", "php", r"\bphp\s+licen[sc]e", ("php.net", r"php\.net/license")),
     ("ruby", "ruby", r"\bruby(?:'s)?\s+licen[sc]e", ("ruby-lang", r"ruby-lang\.org/\S*license")),
@@ -92,9 +93,9 @@ NAMED: tuple[tuple[str, str, str, tuple[str, str] | None], ...] = (
     ("w3c", "w3c", r"\bw3c\s+(?:software\s+)?(?:notice\s+and\s+)?licen[sc]e", ("w3.org", r"w3\.org/consortium/legal/copyright-software")),
     ("icu", "icu", r"\bicu\s+licen[sc]e", ("unicode.org", r"unicode\.org/copyright")),
     ("ncsa", "ncsa", r"\b(?:university\s+of\s+illinois/)?ncsa\s+open\s+source\s+licen[sc]e", ("opensource.org", r"opensource\.org/licenses?/(?:ncsa|uoi-ncsa)")),
-    ("ms-pl", "microsoft", r"\bmicrosoft\s+public\s+licen[sc]e|\bms-pl\b", ("opensource.org", r"opensource\.org/licenses?/ms-pl")),
-    ("ms-rl", "microsoft", r"\bmicrosoft\s+reciprocal\s+licen[sc]e|\bms-rl\b", ("opensource.org", r"opensource\.org/licenses?/ms-rl")),
-    ("eupl-1.2", "european union", r"\beuropean\s+union\s+public\s+licen[sc]e|\beupl\b", ("joinup", r"joinup\.ec\.europa\.eu/\S*eupl")),
+    ("ms-pl", "microsoft|ms-pl", r"\bmicrosoft\s+public\s+licen[sc]e|\bms-pl\b", ("opensource.org", r"opensource\.org/licenses?/ms-pl")),
+    ("ms-rl", "microsoft|ms-rl", r"\bmicrosoft\s+reciprocal\s+licen[sc]e|\bms-rl\b", ("opensource.org", r"opensource\.org/licenses?/ms-rl")),
+    ("eupl-1.2", "european union|eupl", r"\beuropean\s+union\s+public\s+licen[sc]e|\beupl\b", ("joinup", r"joinup\.ec\.europa\.eu/\S*eupl")),
     ("cecill-2.1", "cecill", r"\bcecill(?:-[abc])?\b", ("cecill.info", r"cecill\.info/licences")),
     ("osl-3.0", "open software", r"\bopen\s+software\s+licen[sc]e", ("opensource.org", r"opensource\.org/licenses?/osl-3")),
     ("afl-3.0", "academic free", r"\bacademic\s+free\s+licen[sc]e", ("opensource.org", r"opensource\.org/licenses?/afl-3")),
@@ -110,7 +111,7 @@ NAMED: tuple[tuple[str, str, str, tuple[str, str] | None], ...] = (
     ("curl", "curl", r"\bcurl\s+licen[sc]e", ("curl.haxx", r"curl\.haxx\.se/docs/copyright")),
     ("json", "json", r"\bjson\s+licen[sc]e", ("json.org", r"json\.org/license")),
     ("beerware", "beer", r"\bbeer-?ware\b", None),
-    ("odbl-1.0", "open database", r"\bopen\s+database\s+licen[sc]e|\bodbl\b", ("opendatacommons", r"opendatacommons\.org/licenses/odbl")),
+    ("odbl-1.0", "open database|odbl", r"\bopen\s+database\s+licen[sc]e|\bodbl\b", ("opendatacommons", r"opendatacommons\.org/licenses/odbl")),
     ("odc-by-1.0", "attribution", r"\bopen\s+data\s+commons\s+attribution", ("opendatacommons", r"opendatacommons\.org/licenses/by")),
     ("pddl-1.0", "public domain dedication", r"\bopen\s+data\s+commons\s+public\s+domain\s+dedication", ("opendatacommons", r"opendatacommons\.org/licenses/pddl")),
     ("cdla-permissive-2.0", "community data", r"\bcommunity\s+data\s+licen[sc]e\s+agreement\s*[-–]?\s*permissive", ("cdla.dev", r"cdla\.dev/permissive")),
@@ -123,9 +124,9 @@ NAMED: tuple[tuple[str, str, str, tuple[str, str] | None], ...] = (
     ("cc-by-nd", "by-nd", r"\b" + CC + r"by-nd(?:[\s-]*[1-4]\.0)?", ("creativecommons.org", r"creativecommons\.org/licenses/by-nd")),
     ("cc-by-sa", "by-sa", r"\b" + CC + r"by-sa(?:[\s-]*[1-4]\.0)?", ("creativecommons.org", r"creativecommons\.org/licenses/by-sa")),
     ("cc-by", "cc", r"\bcc[\s-]+by(?:[\s-]*[1-4]\.0)?\b(?!-)", ("creativecommons.org", r"creativecommons\.org/licenses/by/")),
-    ("cc-by-nc-sa", "noncommercial", r"\bcreative\s+commons\s+attribution-non-?commercial-share-?alike", None),
-    ("cc-by-nc-nd", "noncommercial", r"\bcreative\s+commons\s+attribution-non-?commercial-no-?deriv\w*", None),
-    ("cc-by-nc", "noncommercial", r"\bcreative\s+commons\s+attribution-non-?commercial", None),
+    ("cc-by-nc-sa", "noncommercial|non-commercial", r"\bcreative\s+commons\s+attribution-non-?commercial-share-?alike", None),
+    ("cc-by-nc-nd", "noncommercial|non-commercial", r"\bcreative\s+commons\s+attribution-non-?commercial-no-?deriv\w*", None),
+    ("cc-by-nc", "noncommercial|non-commercial", r"\bcreative\s+commons\s+attribution-non-?commercial", None),
     ("cc-by-sa", "creative commons", r"\bcreative\s+commons\s+attribution[\s-]share-?alike", None),
     ("cc-by", "creative commons", r"\bcreative\s+commons\s+attribution", None),
     ("public-domain", "public domain", r"\b(?:placed\s+in(?:to)?|dedicated\s+to|released\s+in(?:to)?)\s+the\s+public\s+domain", None),
@@ -174,6 +175,7 @@ class Rule:
     priority: int
 
 
+SPACES = re.compile(r"\s+")
 SIGNATURE, TAG, ADDRESS, GRANT, NAME, FAMILY = 100, 95, 90, 85, 70, 40
 GRANTS = r"(?:licen[sc]ed|released|distributed|available|published|provided|covered)\s+(?:to\s+\w+\s+)?under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?"
 
@@ -199,7 +201,8 @@ class Scanner:
 
         self.by_keyword: dict[str, list[Rule]] = {}
         for rule in rules():
-            self.by_keyword.setdefault(rule.keyword, []).append(rule)
+            for keyword in rule.keyword.split("|"):
+                self.by_keyword.setdefault(keyword, []).append(rule)
         self.automaton = ahocorasick.Automaton()
         for keyword in self.by_keyword:
             self.automaton.add_word(keyword, keyword)
@@ -207,10 +210,9 @@ class Scanner:
 
     def detections(self, lower: str) -> list[tuple[int, int, Rule]]:
         """Kept detections (start, end, rule) in the order of the text."""
-        found: list[tuple[int, int, Rule]] = []
-        for keyword in sorted({k for _, k in self.automaton.iter(lower)}):
-            for rule in self.by_keyword[keyword]:
-                found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(lower)]
+        folded = SPACES.sub(" ", lower).replace("licence", "license")
+        near = [r for k in sorted({k for _, k in self.automaton.iter(folded)}) for r in self.by_keyword[k]]
+        found = [(m.start(), m.end(), rule) for rule in dict.fromkeys(near) for m in rule.pattern.finditer(lower)]
         return suppressed(found)
 
 

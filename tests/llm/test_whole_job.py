@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+from re import _parser
 
+from salescope.llm.license_rules import Scanner, rules, suppressed
 from salescope.llm.line_chunks import LINE_WORDS, drop_repeated_chunks
 
 
@@ -25,3 +27,49 @@ def test_passages_of_few_lines_are_removed_whole(spark):
         assert found[i].text.rstrip("\n") == "\n".join(kept)
         assert found[i].removed_lines == len(lines) - len(kept)
     assert sum(r.removed_lines for r in found.values()) >= 60
+
+
+def written(tree, rng, space, c):
+    """A text that the parsed pattern matches, with the given white space and c or s in licen[sc]e."""
+    out = []
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            out.append(chr(arg))
+        elif name in ("ANY", "NOT_LITERAL"):
+            out.append("x")
+        elif name == "IN":
+            kinds = [(str(k), v) for k, v in arg]
+            if ("CATEGORY", _parser.CATEGORY_SPACE) in kinds:
+                out.append(space)
+            elif kinds[0][0] == "LITERAL":
+                out.append(c if {("LITERAL", 99), ("LITERAL", 115)} == set(kinds) else chr(rng.choice([v for k, v in kinds if k == "LITERAL"])))
+            elif kinds[0][0] == "RANGE":
+                out.append(chr(kinds[0][1][0]))
+            else:
+                out.append("1" if kinds[0] == ("CATEGORY", _parser.CATEGORY_DIGIT) else "x")
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, inner = arg
+            out += [written(inner, rng, space, c) for _ in range(rng.randint(low, max(low, min(int(high), low + 1))))]
+        elif name == "SUBPATTERN":
+            out.append(written(arg[3], rng, space, c))
+        elif name == "BRANCH":
+            out.append(written(rng.choice(arg[1]), rng, space, c))
+    return "".join(out)
+
+
+def test_keywords_leave_out_no_rule_that_matches():
+    """Filtered and unfiltered scans agree on every rule's texts: wrapped, doubly spaced, both spellings."""
+    rng, scanner, every, matched = random.Random(8), Scanner(), rules(), set()
+    for rule in every:
+        tree = _parser.parse(rule.pattern.pattern)
+        for space in (" ", "\n", "  ", "\n    ", "\u00a0", "\t"):
+            for c in "cs":
+                text = f"({written(tree, rng, space, c)}) "
+                plain = [(m.start(), m.end(), r) for r in every for m in r.pattern.finditer(text)]
+                matched |= {r for *_, r in plain}
+                assert scanner.detections(text) == suppressed(plain), text
+    assert matched == set(every)
+    labels = lambda t: {r.label for *_, r in scanner.detections(t)}
+    assert labels("the gnu general\n    public licence, version 2") == {"gpl-2.0"}
+    assert labels("creative commons attribution-non-commercial") == {"cc-by-nc"}
