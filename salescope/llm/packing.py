@@ -41,15 +41,16 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-# Runs of ASCII punctuation: the tokenizer cuts before and after them.
-PUNCTUATION = re.compile(rb"[!-&(-/:-@\[-`{-~]+")
+# Whole runs of ASCII punctuation between ASCII letters, digits, white space or the text's
+# ends: the tokenizer cuts before and after them. Other neighbours may belong to the run.
+PUNCTUATION = re.compile(rb"(?<![^A-Za-z0-9\s])[!-&(-/:-@\[-`{-~]++(?![^A-Za-z0-9\s])")
 
 
 class Ids:
     """Token ids of texts as little-endian 32-bit integers.
 
-    The tokenizer splits at white space before all else, and between letters or digits
-    and punctuation, so the ids of a text are those of its parts in turn. Parts seen
+    The tokenizer splits at white space before all else, and between ASCII letters or
+    digits and ASCII punctuation, so the ids of a text are those of its parts in turn. Parts seen
     before come from a bounded cache. A new part of ASCII letters is one word to the
     tokenizer and goes to its merges directly; other parts go through all of it.
     """
@@ -96,8 +97,8 @@ def pack_ids(ids: list[int]) -> bytes:
 
 
 def spaced(text: bytes) -> bytes:
-    """The text with blanks around punctuation, unless an apostrophe or a special
-    token's mark makes that unsafe."""
+    """The text with blanks around ASCII punctuation, unless an apostrophe, a special
+    token's mark or a neighbour outside ASCII makes that unsafe."""
     if b"<|" in text or b"'" in text:
         return text
     return PUNCTUATION.sub(rb" \g<0> ", text)

@@ -7,6 +7,7 @@ from re import _parser
 
 from salescope.llm.license_rules import Scanner, rules, suppressed
 from salescope.llm.line_chunks import LINE_WORDS, drop_repeated_chunks
+from salescope.llm.packing import Ids, pack_ids
 
 
 def test_passages_of_few_lines_are_removed_whole(spark):
@@ -73,3 +74,16 @@ def test_keywords_leave_out_no_rule_that_matches():
     labels = lambda t: {r.label for *_, r in scanner.detections(t)}
     assert labels("the gnu general\n    public licence, version 2") == {"gpl-2.0"}
     assert labels("creative commons attribution-non-commercial") == {"cc-by-nc"}
+
+
+def test_ids_of_texts_with_other_punctuation_are_the_tokenizers():
+    import public_tokenizers
+
+    ids = Ids(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["\u201cHello,\u201d she said", "done!\U0001f389 yes", "price (\u20ac5)", "wait.\u2026", "a \u2014, b", "x =\u0338 y", "a=\u0338b", "e\u0301. \u00e9.x", "", " . ", "a\x00.b", "a\x1c.\x1cb", "a\x85.b"]
+    rng = random.Random(6)
+    signs = [*"abZ09 .,!?=()-<|>\n\t", *"\u201c\u201d\u2026\u2014\u20ac\u00e9\u0338\u0301\u00a0\u3000\u200d\U0001f389\u4e2d", "\x00", "\x0b", "\x1f", "\x85", "the ", "don't "]
+    texts += ["".join(rng.choices(signs, k=rng.randint(1, 14))) for _ in range(20_000)]
+    plain = ids.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    for text, found, one in zip(texts, ids.of([t.encode() for t in texts]), plain):
+        assert found == pack_ids(one.ids), repr(text)
