@@ -1,8 +1,10 @@
 """Secret scan: fixed patterns, and runs that a public tokenizer finds hard to compress.
 
 A byte-pair vocabulary spends few tokens on words and many on random strings. Runs of
-key characters with few characters per token are reported, unless they are known
-digests (hexadecimal of a usual length) or identifiers (words, numbers, UUIDs, paths).
+key characters with few characters per token are reported, with letters, digits or both,
+unless they are known digests (hexadecimal of a usual length), UUIDs, or identifiers and
+paths made of numbers and of words that the vocabulary knows: a word of several letters
+needs enough characters per token itself.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z")
 IDENTIFIER = re.compile(
     r"(?:(?:[A-Z]?[a-z]+|[A-Z]+)\d{0,4}|\d+)(?:[_/+=-]++(?:(?:[A-Z]?[a-z]+|[A-Z]+)\d{0,4}|\d+)?)*\Z"
 )
+# What of an identifier may be random: letters beyond the shortest words, long numbers.
+JUDGED = re.compile(r"[A-Za-z]{4,}|\d{20,}")
 CHARACTERS_PER_TOKEN = 2.2
 # The tokenizer's work grows with the square of a piece: longer runs are cut.
 PIECE = 512
@@ -53,15 +57,17 @@ def load_encoder(path: str) -> Callable[[str], int]:
     return lambda run: sum(len(encoding.encode_ordinary(run[i : i + PIECE])) for i in range(0, len(run), PIECE))
 
 
-def is_known(run: str) -> bool:
-    """A digest of a usual length, a UUID, or an identifier made of words and numbers."""
-    if KNOWN_DIGEST.match(run) and len(run) in DIGEST_LENGTHS:
+def is_known(run: str, tokens: Callable[[str], int], ratio: float = CHARACTERS_PER_TOKEN) -> bool:
+    """A digest of a usual length, a UUID, a rule of signs, or an identifier made of
+    numbers and words that the vocabulary knows."""
+    if not any(c.isalnum() for c in run) or UUID.match(run):
         return True
-    has_letter = any(c.isalpha() for c in run)
-    has_digit = any(c.isdigit() for c in run)
-    if not (has_letter and has_digit):
+    # A row of digits alone is judged by its tokens, like a row of letters.
+    if KNOWN_DIGEST.match(run) and len(run) in DIGEST_LENGTHS and not run.isdigit():
         return True
-    return bool(UUID.match(run) or IDENTIFIER.match(run))
+    if not IDENTIFIER.match(run):
+        return False
+    return all(len(piece) >= ratio * tokens(piece) for piece in JUDGED.findall(run))
 
 
 def scan(text: str, tokens: Callable[[str], int], ratio: float = CHARACTERS_PER_TOKEN) -> list[tuple[int, int, int]]:
@@ -76,7 +82,7 @@ def scan(text: str, tokens: Callable[[str], int], ratio: float = CHARACTERS_PER_
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     for m in RUN.finditer(text):
         run = m.group()
-        if not is_known(run) and len(run) < ratio * tokens(run):
+        if len(run) < ratio * tokens(run) and not is_known(run, tokens, ratio):
             found.append((m.start(), 3, m.end()))
     found.sort()
     return found

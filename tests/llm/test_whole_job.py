@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import string
 from re import _parser
 
 from salescope.llm.license_rules import Scanner, rules, suppressed
 from salescope.llm.line_chunks import LINE_WORDS, drop_repeated_chunks
 from salescope.llm.packing import Ids, pack_ids
+from salescope.llm.secret_tokens import load_encoder, scan
 
 
 def test_passages_of_few_lines_are_removed_whole(spark):
@@ -87,3 +89,22 @@ def test_ids_of_texts_with_other_punctuation_are_the_tokenizers():
     plain = ids.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
     for text, found, one in zip(texts, ids.of([t.encode() for t in texts]), plain):
         assert found == pack_ids(one.ids), repr(text)
+
+
+def test_random_keys_of_letters_are_dense_and_words_are_not():
+    import public_tokenizers
+
+    tokens = load_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    dense = lambda run: [(a, b) for a, k, b in scan(f"see {run} here", tokens) if k == 3]
+    assert dense("qZkVbNmLpWqRtYsDfGhJkXcV") == [(4, 28)]
+    rng = random.Random(4)
+    for letters in (string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase):
+        keys = ["".join(rng.choices(letters, k=28)) for _ in range(200)]
+        assert sum(dense(k) == [(4, 32)] for k in keys) >= 198
+        assert sum(dense(k + "4711") == [(4, 36)] for k in keys) >= 198
+        assert sum(bool(dense("-".join(k[i : i + 7] for i in range(0, 28, 7)))) for k in keys) >= 190
+    plain = "antidisestablishmentarianism Rechtsschutzversicherungsgesellschaften anticonstitutionnellement"
+    plain += " getUserAccountByIdentifier get_id_of_user_in_db_2 2024-01-02-03-04-05 a-b-c-d-e-f-g-h-i-j-k"
+    plain += " ------------------------ =_=-=_=-=_=-=_=-=_=-=_= 123e4567-e89b-12d3-a456-426614174000"
+    plain += " d41d8cd98f00b204e9800998ecf8427e src/main/resources/config_v2/README"
+    assert not [w for w in plain.split() if dense(w)]
