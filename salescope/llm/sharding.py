@@ -1,13 +1,15 @@
 """Balanced label propagation over linked documents.
 
 Documents with equal texts are linked. Every linked document starts in a shard by its
-hash; in each round a group's members move to the shard where most of them are, as far
-as the quota of that shard has room, groups with most to gain first. Rounds are joins
+hash; in each round a group's members move to the shard that can hold most of them, and
+of equals the one where most of them are, as far as the quota of that shard has room:
+a part of them if not all fit. Groups with most members in place come first. Rounds are joins
 and aggregations of small rows (group, shard, count), not of documents. Documents
 without links, and members that no quota could take, then fill the shards up, so that
 the counts are at most one apart (the ``rows`` law).
 
-A group larger than a shard is split into blocks first: it has to be cut anyway.
+A group larger than a shard is split into blocks first: it has to be cut anyway. Blocks
+are as large as the room that smaller groups leave in a shard.
 """
 
 from __future__ import annotations
@@ -35,25 +37,45 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def _round(state: DataFrame, quota: DataFrame, rows: int, turn: int) -> DataFrame:
-    """One round over (block, shard, n): the minority of each block moves if there is room."""
+def _moves(state: DataFrame, quota: DataFrame, rows: int, turn: int) -> DataFrame:
+    """One round over (block, shard, n): (block, to, amount), what of each block's minority has room."""
     load = state.groupBy("shard").agg(F.sum("n").alias("load"))
     room = quota.join(F.broadcast(load), "shard", "left")
-    room = room.select(F.col("shard").alias("to"), (F.col("quota") - F.coalesce("load", F.lit(0))).alias("room"))
-    goal = state.groupBy("block").agg(
-        F.sum("n").alias("members"),
-        F.max(F.struct("n", F.xxhash64("block", "shard", F.lit(turn)).alias("tie"), F.col("shard").alias("to"))).alias("best"),
+    room = room.select("shard", F.greatest(F.col("quota") - F.coalesce("load", F.lit(0)), F.lit(0)).alias("room"))
+    room = materialize(room, "shard-room")
+    members = state.groupBy("block").agg(F.sum("n").alias("members"), F.count(F.lit(1)).alias("pieces"))
+    open_state = state.join(members.where(F.col("pieces") > 1), "block").join(F.broadcast(room), "shard")
+    # Eighths, so that the roomiest shard does not draw every block of a round.
+    holds = F.floor(8 * F.least(F.col("members"), F.col("n") + F.col("room")) / F.col("members"))
+    tie = F.xxhash64("block", "shard", F.lit(turn))
+    goal = open_state.groupBy("block").agg(
+        F.max("members").alias("members"),
+        F.max(F.struct(holds.alias("holds"), "n", tie.alias("tie"), F.col("shard").alias("to"))).alias("best"),
     )
     goal = goal.select("block", "best.to", (F.col("members") - F.col("best.n")).alias("moving"), F.col("best.n").alias("there"))
-    moving = materialize(goal.where(F.col("moving") > 0), "shard-moves")
+    moving = materialize(goal, "shard-moves")
     # Blocks with most members in place come first; inside equals, by hash.
     order = [F.col("there").desc(), F.xxhash64("block"), F.col("block")]
     spread = F.when(F.col("there") > 3, F.lit(0)).otherwise(F.xxhash64("block"))
     queued = running_total(moving, ["to"], F.col("moving"), spread, order, rows, "before")
-    allowed = queued.join(F.broadcast(room), "to")
-    allowed = allowed.where(F.col("before") + F.col("moving") <= F.col("room")).select("block", "to")
-    moved = state.join(allowed, "block", "left").withColumn("shard", F.coalesce("to", "shard"))
-    return moved.groupBy("block", "shard").agg(F.sum("n").alias("n"))
+    allowed = queued.join(F.broadcast(room.withColumnRenamed("shard", "to")), "to")
+    allowed = allowed.withColumn("amount", F.least(F.col("moving"), F.col("room") - F.col("before")))
+    return allowed.where(F.col("amount") > 0).select("block", "to", "amount")
+
+
+def _moved(state: DataFrame, moves: DataFrame) -> DataFrame:
+    """The state after the moves; of a block's pieces the smallest leave first."""
+    state = state.join(moves, "block", "left")
+    source = F.when(F.col("shard") == F.col("to"), F.lit(0)).otherwise(F.col("n"))
+    before = Window.partitionBy("block").orderBy("n", "shard").rowsBetween(Window.unboundedPreceding, -1)
+    state = state.withColumn("before", F.coalesce(F.sum(source).over(before), F.lit(0)))
+    leaves = F.least(source, F.greatest(F.coalesce("amount", F.lit(0)) - F.col("before"), F.lit(0)))
+    parts = F.array(
+        F.struct(F.col("shard").alias("shard"), (F.col("n") - leaves).alias("n")),
+        F.struct(F.col("to").alias("shard"), leaves.alias("n")),
+    )
+    parts = state.select("block", F.explode(parts).alias("part")).select("block", "part.shard", "part.n")
+    return parts.where(F.col("n") > 0).groupBy("block", "shard").agg(F.sum("n").alias("n"))
 
 
 def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
@@ -74,8 +96,10 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     tagged = base.join(linked_groups, "group", "left")
     tagged = materialize(tagged, "shard-tagged")
     linked, free = tagged.where("members IS NOT NULL"), tagged.where("members IS NULL")
-    # Blocks: ranks in the group, cut where a shard would be full.
-    block_rows = max(1, (total // shards) * 9 // 10)
+    # Blocks: ranks in the group, cut where a shard would be full beside the smaller groups.
+    whole = max(1, (total // shards) * 9 // 10)
+    small = linked_groups.where(F.col("members") <= whole).agg(F.sum("members")).first()[0] or 0
+    block_rows = max(1, min(whole, (total - small) // shards))
     ranked = running_total(linked, ["group"], F.lit(1), F.xxhash64("row"), [F.col("row")], total, "rank")
     ranked = ranked.select(
         "doc_id", "size", "text_crc32", "row",
@@ -86,13 +110,11 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     start = F.pmod(F.xxhash64("row", "block"), F.lit(shards)).cast("int")
     state = ranked.groupBy("block", start.alias("shard")).agg(F.count(F.lit(1)).alias("n"))
     state = materialize(state, "shard-state")
-    blocks_in_pieces = None
     for turn in range(rounds):
-        pieces = state.groupBy("block").count().where("count > 1").count()
-        if pieces == 0 or pieces == blocks_in_pieces:
+        moves = materialize(_moves(state, quota, total, turn), "shard-allowed")
+        if moves.isEmpty():
             break
-        blocks_in_pieces = pieces
-        state = materialize(_round(state, quota, total, turn), "shard-state")
+        state = materialize(_moved(state, moves), "shard-state")
     # Back to documents: each block's places are dealt out by the counts.
     before = Window.partitionBy("block").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     dealt = state.withColumn("low", F.coalesce(F.sum("n").over(before), F.lit(0)))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import random
 import string
+from collections import Counter
 from re import _parser
 
 from salescope.llm.license_rules import Scanner, rules, suppressed
 from salescope.llm.line_chunks import LINE_WORDS, drop_repeated_chunks
 from salescope.llm.packing import Ids, pack_ids
 from salescope.llm.secret_tokens import load_encoder, scan
+from salescope.llm.sharding import balanced_shards
 
 
 def test_passages_of_few_lines_are_removed_whole(spark):
@@ -108,3 +110,13 @@ def test_random_keys_of_letters_are_dense_and_words_are_not():
     plain += " ------------------------ =_=-=_=-=_=-=_=-=_=-=_= 123e4567-e89b-12d3-a456-426614174000"
     plain += " d41d8cd98f00b204e9800998ecf8427e src/main/resources/config_v2/README"
     assert not [w for w in plain.split() if dense(w)]
+
+
+def test_a_group_of_a_third_of_all_rows_fills_few_shards(spark):
+    """Its 1000 rows need 7 of 20 shards of 150; by hash all 20 hold about 50 of them."""
+    rows = [(i, "hot" if i % 3 == 0 else f"pair {i // 6}" if i % 3 == 1 and i < 1200 else f"one {i}") for i in range(3000)]
+    found = balanced_shards(spark.createDataFrame(rows, "doc_id long, text string"), 20).collect()
+    assert set(Counter(r.shard for r in found).values()) == {150}
+    hot = Counter(r.shard for r in found if r.doc_id % 3 == 0)
+    # Rows of the group that an average row of it meets in its shard.
+    assert sum(n * n for n in hot.values()) / 1000 >= 100
