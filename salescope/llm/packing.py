@@ -16,6 +16,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +28,8 @@ from salescope.llm.textops import blocks, materialize, running_total, slim
 SEQUENCE = 4096
 END_OF_DOCUMENT = 2
 TOKEN_BLOCK = 2 << 20
-CACHED_PARTS = 100_000  # parts of texts that a worker remembers, some 20 MB
+KNOWN_PARTS = 160_000  # in each of two generations of a worker's memory, some 30 MB
+LONGEST_KNOWN = 64
 ENCODED_AT_ONCE = 2048
 
 
@@ -43,53 +45,67 @@ def _tokenizer(path: str):
 
 # Whole runs of ASCII punctuation between ASCII letters, digits, white space or the text's
 # ends: the tokenizer cuts before and after them. Other neighbours may belong to the run.
-PUNCTUATION = re.compile(rb"(?<![^A-Za-z0-9\s])[!-&(-/:-@\[-`{-~]++(?![^A-Za-z0-9\s])")
+MARK = rb"[!-&(-/:-@\[-`{-~]"
+PUNCTUATION = re.compile(MARK + rb"(?<![^A-Za-z0-9\s]" + MARK + rb")" + MARK + rb"*+(?![^A-Za-z0-9\s])")
+# Letters whose lower case is one letter, in normal form by themselves; the vocabulary
+# writes bytes over 0x7E as other letters, those from 0x7F to 0xA0 and 0xAD in their order.
+LATIN = re.compile(r"(?:(?![×÷İŉ])[A-Za-z\u00c0-\u017e])++\Z")
+SHIFTED = {b: 0x121 + k for k, b in enumerate([*range(0x7F, 0xA1), 0xAD])}
 
 
 class Ids:
     """Token ids of texts as little-endian 32-bit integers.
 
     The tokenizer splits at white space before all else, and between ASCII letters or
-    digits and ASCII punctuation, so the ids of a text are those of its parts in turn. Parts seen
-    before come from a bounded cache. A new part of ASCII letters is one word to the
-    tokenizer and goes to its merges directly; other parts go through all of it.
+    digits and ASCII punctuation, so the ids of a text are those of its parts in turn.
+    Every different part of a block is looked up once among those met lately: a full
+    generation becomes the earlier one, and what is met again moves to the new one. A new
+    part of Latin letters is one word to the tokenizer and goes to its merges directly;
+    other parts go through all of it.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.model = self.tokenizer.model
-        self.parts: dict[bytes, bytes] = {}
+        self.merges = self.tokenizer.model.tokenize
+        self.recent: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
 
-    def _learn(self, new: set[bytes]) -> None:
-        if len(self.parts) + len(new) > CACHED_PARTS:
-            self.parts.clear()
-        rest = []
+    def _learned(self, new: list[bytes]) -> dict[bytes, bytes]:
+        found, rest = {}, []
         for raw in new:
-            if raw.isalpha():  # of bytes: ASCII letters
-                ids = [t.id for t in self.model.tokenize(raw.decode().lower())]
-                self.parts[raw] = pack_ids(ids)
+            text = raw.decode()
+            if LATIN.match(text):
+                letters = text.lower()
+                if not raw.isascii():
+                    letters = letters.encode().decode("latin-1").translate(SHIFTED)
+                found[raw] = pack_ids([t.id for t in self.merges(letters)])
             else:
-                rest.append(raw)
+                rest.append((raw, text))
         # An encoding is a large object; a few thousand at a time are enough.
         for k in range(0, len(rest), ENCODED_AT_ONCE):
             some = rest[k : k + ENCODED_AT_ONCE]
-            coded = self.tokenizer.encode_batch_fast([r.decode() for r in some], add_special_tokens=False)
-            for raw, one in zip(some, coded):
-                self.parts[raw] = pack_ids(one.ids)
+            coded = self.tokenizer.encode_batch_fast([text for _, text in some], add_special_tokens=False)
+            found.update((raw, pack_ids(one.ids)) for (raw, _), one in zip(some, coded))
+        return found
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [spaced(t).split() for t in texts]
-        known = self.parts.get
-        found = [[known(w) for w in words] for words in split]
-        holes = [i for i, ids in enumerate(found) if None in ids]
-        new = {w for i in holes for w, ids in zip(split[i], found[i]) if ids is None}
-        self._learn(new)
-        for i in holes:
-            ids = found[i]
-            for k in [k for k, x in enumerate(ids) if x is None]:
-                ids[k] = self.parts[split[i][k]]
-        for ids in found:
-            yield b"".join(ids)
+        parts = list(dict.fromkeys(chain.from_iterable(split)))
+        table = dict(zip(parts, map(self.recent.get, parts)))
+        new = []
+        for part in [part for part, ids in table.items() if ids is None]:
+            ids = self.earlier.get(part)
+            if ids is None:
+                new.append(part)
+            else:
+                table[part] = self.recent[part] = ids
+        found = self._learned(new)
+        table.update(found)
+        self.recent.update((part, ids) for part, ids in found.items() if len(part) <= LONGEST_KNOWN)
+        if len(self.recent) > KNOWN_PARTS:
+            self.earlier, self.recent = self.recent, {}
+        for words in split:
+            yield b"".join(map(table.__getitem__, words))
 
 
 def pack_ids(ids: list[int]) -> bytes:
