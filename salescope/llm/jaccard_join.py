@@ -118,34 +118,50 @@ def _profiles(rows: DataFrame, width: int, slots: int) -> DataFrame:
     return rows.mapInArrow(run, PROFILE)
 
 
-def _sketch(profiles: DataFrame, slots: int) -> np.ndarray:
-    """The summed counts: a table of fixed size, whatever the corpus."""
+LEVELS = 128
+
+
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """A counter's place in the order, one byte: two levels for each doubling."""
+    return np.floor(2 * np.log2(counts + 1)).astype(np.uint8)
+
+
+def _sketch(profiles: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """The level of every counter, and per level the number of counters, their sum and
+    the sum of their squares. Counters are summed and levelled in the tasks; a byte for
+    each reaches the driver, whatever the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, raw in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
                 sums[part] = sums.get(part, 0) + np.frombuffer(raw, np.uint8).astype(np.int64)
-        if sums:
-            arrays = [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["part", "counts"])
-
+        for part, counts in sums.items():
+            level = levels_of(counts)
+            value = counts.astype(float)
+            sizes = [np.bincount(level, w, LEVELS) for w in (None, value, value * value)]
+            row = [part], [level.tobytes()], [np.stack(sizes).astype(float).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.binary(), pa.binary()))], names)
+
+    names = ["part", "levels", "sizes"]
     rows = profiles.where("part IS NOT NULL").select("part", "counts").repartition(SKETCH_PARTS, "part")
-    total = np.zeros((SKETCH_PARTS, slots // SKETCH_PARTS), np.int64)
-    for row in rows.mapInArrow(run, "part int, counts binary").collect():
-        total[row.part] += np.frombuffer(row.counts, np.int64)
-    return total.ravel()
+    levels = np.zeros((SKETCH_PARTS, slots // SKETCH_PARTS), np.uint8)
+    sizes = np.zeros((3, LEVELS))
+    for row in rows.mapInArrow(run, "part int, levels binary, sizes binary").collect():
+        levels[row.part] = np.frombuffer(row.levels, np.uint8)
+        sizes += np.frombuffer(row.sizes, float).reshape(3, LEVELS)
+    return levels.ravel(), sizes
 
 
-def boundary(sketch: np.ndarray, numerator: int, denominator: int) -> int:
+def boundary(sizes: np.ndarray, slots: int, numerator: int, denominator: int) -> int:
     """Sets smaller than this enumerate subsets. A subset costs its entry; a list entry
     costs itself and the scan of its list, whose length is that of the rarest shingles
-    (a set's first elements are its rarest share)."""
-    counts = np.sort(sketch[sketch > 0]).astype(float)
-    mass = np.cumsum(counts)
-    rare = counts[: max(1, int(np.searchsorted(mass, (1 - numerator / denominator) * mass[-1])))] if len(counts) else np.ones(1)
-    by_chance = sketch.sum() / len(sketch)
-    cost = 1 + max(1.0, float((rare**2).sum() / rare.sum()) - by_chance)
+    (a set's first elements are its rarest share). ``sizes``: see :func:`_sketch`."""
+    _, sums, squares = sizes[:, 1:]
+    total = sums.sum()
+    rare = int(np.searchsorted(np.cumsum(sums), (1 - numerator / denominator) * total)) + 1
+    length = squares[:rare].sum() / max(sums[:rare].sum(), 1)
+    cost = 1 + max(1.0, length - total / slots)
     n = 2
     while n < 4096 and n - least_overlap(n, numerator, denominator) + 2 <= 2 * cost:
         n += 1
@@ -297,9 +313,8 @@ def components(edges: DataFrame) -> DataFrame:
 def linked_classes(rows: DataFrame, profiles: DataFrame, width: int, ratio: tuple[int, int], slots: int) -> DataFrame:
     """(cls, root) of all classes that have a similar one."""
     numerator, denominator = ratio
-    sketch = _sketch(profiles, slots)
-    ranks = np.floor(2 * np.log2(sketch + 1)).astype(np.uint8)
-    small = boundary(sketch, numerator, denominator)
+    ranks, sizes = _sketch(profiles, slots)
+    small = boundary(sizes, slots, numerator, denominator)
     entries = materialize(_signature_rows(rows, width, ranks, small, ratio), "jaccard-keys")
     # A list's centre has the fewest rare elements before the shared one: of near copies,
     # the least edited, which most of the others resemble.
