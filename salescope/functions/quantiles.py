@@ -1,9 +1,11 @@
 """Exact statistics and quantiles of groups of any size.
 
 A group counted to be of ordinary size is sorted by one task, among many others.
-A larger group is split: its values are first counted in narrow buckets, which
-combines map-side and leaves a small histogram; the histogram tells which bucket
-holds each wanted rank, and a second pass sorts only the values of those buckets.
+A larger group is selected from: its values are first counted in coarse buckets, which
+combines map-side and leaves a small histogram with the moments and the range of every
+bucket; it tells which bucket holds each wanted rank, and a second scan reads the values
+of those buckets only. A bucket with too many different values for one task is cut again,
+at splitters taken from its observed range, until every wanted rank lies in a small one.
 Both ways give the same exact order statistics.
 """
 
@@ -18,15 +20,17 @@ from pyspark.sql import functions as F
 from salescope.schema import drop_null_keys, require_numeric
 from salescope.sources.staging import BROADCAST_ROWS, materialize
 
-# Buckets per factor e of magnitude: a bucket spans 0.006% of its value, so
-# prices within a factor of four fall into some 22,000 buckets.
-BUCKETS_PER_E = 16384
+# Buckets per factor e of magnitude: a bucket spans 0.4 % of its value, so prices within
+# a factor of four fall into some 350 buckets.
+BUCKETS_PER_E = 256
+# A bucket with more different values than this is cut into so many parts.
+BUCKET_VALUES = 50_000
+PARTS = 1024
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-STATISTICS = ("n", "missing", "mean", "std", "min", "max")
-
 # A group of at most this many rows is sorted by one task: 8 MB of doubles, some
 # 25 MB while it is gathered.
 GROUP_ROWS = 1_000_000
+STATISTICS = ("n", "missing", "mean", "std", "min", "max")
 
 
 def value_bucket(value: Column) -> Column:
@@ -35,14 +39,47 @@ def value_bucket(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log1p(magnitude) * BUCKETS_PER_E)
 
 
-def _long_values(df: DataFrame, values: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """One row per (row, value column), with gaps kept as NULL."""
+def long_values(df: DataFrame, values: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """One row per (row, value column) with its bucket; gaps are kept as NULL."""
     doubles = df.select(*by, *[F.col(v).cast("double").alias(v) for v in values])
     if len(values) == 1:
         long = doubles.select(*by, F.lit(values[0]).alias("column"), F.col(values[0]).alias("value"))
     else:
         long = doubles.unpivot(list(by), list(values), "column", "value")
-    return long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
+    long = long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
+    return long.withColumn("bucket", value_bucket(F.col("value")))
+
+
+def histogram(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per group and bucket (NULL for gaps): rows, moments and range."""
+    return long.groupBy(*keys, "bucket").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("value").alias("total"),
+        F.var_pop("value").alias("spread"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+    )
+
+
+def summary(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The statistics of each group, merged from its buckets' moments."""
+    valid = F.col("bucket").isNotNull()
+    totals = counted.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(valid, F.col("rows"))), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.when(~valid, F.col("rows"))), F.lit(0)).alias("missing"),
+        F.try_divide(F.sum("total"), F.sum(F.when(valid, F.col("rows")))).alias("mean"),
+        F.min("low").alias("min"),
+        F.max("high").alias("max"),
+    )
+    offset = F.try_divide(F.col("total"), F.col("rows")) - F.col("mean")
+    squares = (
+        counted.where(valid)
+        .join(totals.select(*keys, "mean"), list(keys))
+        .groupBy(*keys)
+        .agg(F.sum(F.col("rows") * (F.col("spread") + offset * offset)).alias("squares"))
+    )
+    std = F.when(F.col("n") > 1, F.sqrt(F.try_divide(F.col("squares"), F.col("n") - 1)))
+    return totals.join(squares, list(keys), "left").withColumn("std", std).select(*keys, *STATISTICS)
 
 
 def _position(prob: float) -> Column:
@@ -55,6 +92,89 @@ def _holds(position: Column) -> Column:
     return (F.col("rank_from") <= position) & (position < F.col("rank_to"))
 
 
+def _wanted(probs: Mapping[str, float]) -> Column:
+    wanted = F.lit(False)
+    for prob in probs.values():
+        wanted = wanted | _holds(F.floor(_position(prob))) | _holds(F.ceil(_position(prob)))
+    return wanted
+
+
+def _ranked(df: DataFrame, keys: Sequence[str], order: str, rows: str, start: Column) -> DataFrame:
+    """Adds the ranks ``rank_from`` to ``rank_to`` - 1 that a row covers in its group."""
+    over = Window.partitionBy(*keys).orderBy(order)
+    upto = F.sum(rows).over(over.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return df.withColumn("rank_to", start + upto).withColumn("rank_from", F.col("rank_to") - F.col(rows))
+
+
+def wanted_buckets(counted: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """(keys, bucket, bucket_from, n, rows) of the buckets that hold a wanted rank."""
+    valued = counted.where(F.col("bucket").isNotNull())
+    sizes = valued.withColumn("n", F.sum("rows").over(Window.partitionBy(*keys)))
+    ranked = _ranked(sizes, keys, "bucket", "rows", F.lit(0)).where(_wanted(probs))
+    return ranked.select(*keys, "bucket", F.col("rank_from").alias("bucket_from"), "n", "rows")
+
+
+def cut_buckets(
+    points: DataFrame, keys: Sequence[str], probs: Mapping[str, float], bucket_values: int, parts: int = PARTS
+) -> DataFrame:
+    """Points (keys, bucket_from, n, value, copies) of smaller buckets, written.
+
+    A bucket is known by its group and the rank it starts at. One of more than
+    ``bucket_values`` different values is cut into parts of its own range, of equal width
+    and, in every other round, of widths that grow from its low end (values may crowd
+    there over many magnitudes); only parts that hold a wanted rank stay.
+    """
+    cell, wide = [*keys, "bucket_from", "n"], True
+    while True:
+        points = materialize(points, "bucket-values")
+        cells = points.groupBy(*cell).agg(
+            F.count(F.lit(1)).alias("different"), F.min("value").alias("low"), F.max("value").alias("high")
+        )
+        cells = materialize(cells.where(F.col("different") > bucket_values).drop("different"), "large-buckets")
+        if cells.isEmpty():
+            return points
+        share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
+        part = F.least(F.floor((share if wide else F.pow(share, F.lit(1 / 16))) * parts), F.lit(parts - 1))
+        cut = points.join(cells, cell).withColumn("part", part)
+        sizes = cut.groupBy(*cell, "part").agg(F.sum("copies").alias("rows"))
+        kept = _ranked(sizes, cell, "part", "rows", F.col("bucket_from")).where(_wanted(probs))
+        kept = kept.select(*cell, "part", F.col("rank_from").alias("starts"))
+        smaller = cut.join(kept, [*cell, "part"]).withColumn("bucket_from", F.col("starts"))
+        whole = points.join(cells, cell, "left_anti")
+        points, wide = whole.unionByName(smaller.select(*points.columns)), not wide
+
+
+def order_statistics(points: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """The quantiles, from the values of the buckets that hold their ranks."""
+    runs = _ranked(points, [*keys, "bucket_from"], "value", "copies", F.col("bucket_from"))
+    found = []
+    for name, prob in probs.items():
+        position = _position(prob)
+        lower = F.max(F.when(_holds(F.floor(position)), F.col("value")))
+        upper = F.max(F.when(_holds(F.ceil(position)), F.col("value")))
+        share = F.max(position - F.floor(position))
+        found.append((lower + (upper - lower) * share).alias(name))
+    return runs.groupBy(*keys).agg(*found)
+
+
+def cut_quantiles(
+    long: DataFrame,
+    counted: DataFrame,
+    keys: Sequence[str],
+    probs: Mapping[str, float],
+    bucket_values: int = BUCKET_VALUES,
+) -> DataFrame:
+    """(keys, quantiles) of the groups with values, of any size. ``counted`` is their
+    written histogram. Joins carry no hint: written tables have a real size."""
+    targets = materialize(wanted_buckets(counted, keys, probs), "wanted-buckets")
+    match, cell = [*keys, "bucket"], [*keys, "bucket_from", "n", "value"]
+    points = long.join(targets.drop("rows"), match).groupBy(*cell).agg(F.count(F.lit(1)).alias("copies"))
+    # Rows are at least as many as different values: nothing to cut if they are few.
+    if not targets.where(F.col("rows") > bucket_values).isEmpty():
+        points = cut_buckets(points, keys, probs, bucket_values)
+    return order_statistics(points, keys, probs)
+
+
 def describe(
     df: DataFrame,
     values: Sequence[str],
@@ -63,6 +183,7 @@ def describe(
     rows: int | None = None,
     group_rows: int = GROUP_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
+    bucket_values: int = BUCKET_VALUES,
 ) -> DataFrame:
     """Per group and value column: n, missing, mean, std, min, max and quantiles.
 
@@ -79,7 +200,7 @@ def describe(
     if rows <= group_rows:
         return _describe_sorted(keyed, values, by, probs)
     if not by:
-        return _describe_bucketed(keyed, values, by, probs, broadcast_rows)
+        return _describe_bucketed(keyed, values, by, probs, bucket_values)
 
     sizes = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("size"))
     large = materialize(sizes.where(F.col("size") > group_rows), "large-groups")
@@ -87,10 +208,10 @@ def describe(
     if found["groups"] == 0:
         return _describe_sorted(keyed, values, by, probs)
     if found["groups"] > broadcast_rows or found["rows"] == rows:
-        return _describe_bucketed(keyed, values, by, probs, broadcast_rows)
+        return _describe_bucketed(keyed, values, by, probs, bucket_values)
     keys = F.broadcast(large.select(*by))
     return _describe_sorted(keyed.join(keys, by, "left_anti"), values, by, probs).unionByName(
-        _describe_bucketed(keyed.join(keys, by, "left_semi"), values, by, probs, broadcast_rows)
+        _describe_bucketed(keyed.join(keys, by, "left_semi"), values, by, probs, bucket_values)
     )
 
 
@@ -104,7 +225,7 @@ def _describe_sorted(
     """
     keys, value = [*by, "column"], F.col("value")
     gathered = (
-        _long_values(df, values, by)
+        long_values(df, values, by)
         .groupBy(*keys)
         .agg(
             F.count(value).alias("n"),
@@ -126,103 +247,14 @@ def _describe_sorted(
 
 
 def _describe_bucketed(
-    df: DataFrame,
-    values: Sequence[str],
-    by: Sequence[str],
-    probs: Mapping[str, float],
-    broadcast_rows: int,
+    df: DataFrame, values: Sequence[str], by: Sequence[str], probs: Mapping[str, float], bucket_values: int
 ) -> DataFrame:
-    """Two scans, small shuffles. The first scan runs at once, so that its
-    small result can be counted before it is broadcast.
-    """
-    by = list(by)
+    """Two scans and small shuffles; the first scan runs at once."""
     keys = [*by, "column"]
-    long = _long_values(df, values, by).withColumn(
-        "bucket", value_bucket(F.col("value"))
-    )
-
-    valid = F.col("bucket").isNotNull()
-    group = Window.partitionBy(*keys)
-    running = group.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    histogram = long.groupBy(*keys, "bucket").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("value").alias("total"),
-        F.var_pop("value").alias("spread"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-    )
-    counted = histogram.withColumn("bucket_n", F.when(valid, F.col("rows")).otherwise(0)).select(
-        *keys,
-        "bucket",
-        "bucket_n",
-        F.col("total"),
-        F.col("spread"),
-        F.sum("bucket_n").over(group).alias("n"),
-        F.sum(F.when(~valid, F.col("rows")).otherwise(0)).over(group).alias("missing"),
-        F.try_divide(F.sum("total").over(group), F.sum("bucket_n").over(group)).alias("mean"),
-        F.min("low").over(group).alias("min"),
-        F.max("high").over(group).alias("max"),
-        F.sum("bucket_n").over(running).alias("rank_to"),
-    )
-    offset = F.try_divide(F.col("total"), F.col("bucket_n")) - F.col("mean")
-    squares = F.sum(F.col("bucket_n") * (F.col("spread") + offset * offset)).over(group)
-    ranked = counted.withColumns(
-        {
-            "std": F.when(F.col("n") > 1, F.sqrt(F.try_divide(squares, F.col("n") - 1))),
-            "rank_from": F.col("rank_to") - F.col("bucket_n"),
-        }
-    )
-    wanted = F.lit(False)
-    for prob in probs.values():
-        wanted = wanted | _holds(F.floor(_position(prob))) | _holds(F.ceil(_position(prob)))
-    # One marker row per group carries its statistics even if no bucket is wanted.
-    first_row = F.row_number().over(group.orderBy(F.col("bucket").asc_nulls_first())) == 1
-    picked = materialize(
-        ranked.withColumns({"wanted": wanted & valid, "marker": first_row})
-        .where("wanted or marker")
-        .select(*keys, "bucket", "wanted", "marker", "rank_from", *STATISTICS),
-        "buckets",
-    )
-    summary = picked.where("marker").select(*keys, *STATISTICS)
+    long = long_values(df, values, by)
+    counted = materialize(histogram(long, keys), "histogram")
+    statistics = summary(counted, keys)
     if not probs:
-        return summary
-
-    targets = picked.where("wanted").select(
-        *keys, "bucket", F.col("rank_from").alias("bucket_from"), "n"
-    )
-    match = [*keys, "bucket"]
-    if picked.count() <= broadcast_rows:
-        hits = (
-            long.where(valid)
-            .join(F.broadcast(targets), match)
-            .groupBy(*match, "value", "bucket_from", "n")
-            .agg(F.count(F.lit(1)).alias("copies"))
-        )
-    else:
-        # Too many groups to broadcast: collapse equal values before the shuffle.
-        hits = (
-            long.where(valid)
-            .groupBy(*match, "value")
-            .agg(F.count(F.lit(1)).alias("copies"))
-            .join(targets, match)
-        )
-    within = (
-        Window.partitionBy(*match)
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    runs = hits.withColumn(
-        "rank_to", F.col("bucket_from") + F.sum("copies").over(within)
-    ).withColumn("rank_from", F.col("rank_to") - F.col("copies"))
-
-    found = []
-    for name, prob in probs.items():
-        position = _position(prob)
-        lower = F.max(F.when(_holds(F.floor(position)), F.col("value")))
-        upper = F.max(F.when(_holds(F.ceil(position)), F.col("value")))
-        share = F.max(position - F.floor(position))
-        found.append((lower + (upper - lower) * share).alias(name))
-    quantiles = runs.groupBy(*keys).agg(*found)
-    return summary.join(quantiles, keys, "left").select(*keys, *STATISTICS, *probs)
+        return statistics
+    found = cut_quantiles(long, counted, keys, probs, bucket_values)
+    return statistics.join(found, keys, "left").select(*keys, *STATISTICS, *probs)

@@ -11,10 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.functions.quantiles import QUARTILES, GROUP_ROWS, describe
+from salescope.functions.quantiles import BUCKET_VALUES, GROUP_ROWS, QUARTILES, describe
 from salescope.functions.stats import mileage_price_label, price_sales_label, safe_corr
 from salescope.schema import drop_null_keys, require_numeric
-from salescope.sources.staging import BROADCAST_ROWS, materialize
+from salescope.sources.staging import materialize
 
 GLOBAL_LABEL = "Global"
 
@@ -82,9 +82,15 @@ def stats_column(df: DataFrame, column: str) -> DataFrame:
     return stats_columns(df, [column]).drop("column")
 
 
-def stats_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The same for several columns in one go, one row each."""
-    return describe(df, columns, probs=QUARTILES).select(
+def stats_columns(
+    df: DataFrame,
+    columns: Sequence[str],
+    group_rows: int = GROUP_ROWS,
+    bucket_values: int = BUCKET_VALUES,
+) -> DataFrame:
+    """The same for several columns in one go, one row each. What is larger than
+    ``group_rows`` is selected from buckets (see :mod:`salescope.functions.quantiles`)."""
+    return describe(df, columns, group_rows=group_rows, bucket_values=bucket_values).select(
         "column",
         "mean",
         F.col("q50").alias("median"),
@@ -99,7 +105,14 @@ def stats_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def stats_grouped(df: DataFrame, column: str, by: Sequence[str], order_by: str | None = None) -> DataFrame:
+def stats_grouped(
+    df: DataFrame,
+    column: str,
+    by: Sequence[str],
+    order_by: str | None = None,
+    group_rows: int = GROUP_ROWS,
+    bucket_values: int = BUCKET_VALUES,
+) -> DataFrame:
     """Mean, median, std, min, max and count of a column per group.
 
     ``order_by`` names a column that sorts the groups (such as a bin's
@@ -107,7 +120,7 @@ def stats_grouped(df: DataFrame, column: str, by: Sequence[str], order_by: str |
     """
     keys = [*by, order_by] if order_by else list(by)
     return (
-        describe(df, [column], by=keys, probs={"median": 0.5})
+        describe(df, [column], keys, {"median": 0.5}, group_rows=group_rows, bucket_values=bucket_values)
         .select(*keys, "mean", "median", "std", "min", "max", F.col("n").alias("count"))
         .orderBy(order_by or list(by))
     )
@@ -145,27 +158,24 @@ def box_stats(
     column: str,
     by: Sequence[str],
     group_rows: int = GROUP_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    bucket_values: int = BUCKET_VALUES,
 ) -> DataFrame:
     """Quartiles, range, count and whiskers per cell.
 
-    A whisker ends at the last value within 1.5 interquartile ranges of the box.
+    A whisker ends at the last value within 1.5 interquartile ranges of the box: the
+    least and the greatest value between the fences, which combine map-side.
     """
     require_numeric(df, column)
     by = list(by)
     points = df.dropna(subset=[*by, column]).select(*by, F.col(column).cast("double").alias("value"))
     rows = points.count()
     boxes = materialize(
-        describe(points, ["value"], by=by, rows=rows, group_rows=group_rows).select(
+        describe(points, ["value"], by, rows=rows, group_rows=group_rows, bucket_values=bucket_values).select(
             *by, F.col("n").alias("count"), "min", "q25", F.col("q50").alias("median"), "q75", "max"
         ),
         "boxes",
     )
-    fences = boxes.select(*by, "q25", "q75")
-    if boxes.count() <= broadcast_rows:
-        fences = F.broadcast(fences)
-    else:
-        points = points.distinct()  # repeated values do not move a whisker
+    fences = boxes.select(*by, "q25", "q75")  # a written table of small rows: no hint needed
     reach = (F.col("q75") - F.col("q25")) * 1.5
     inside = F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
     whiskers = (
@@ -179,7 +189,9 @@ def box_stats(
     return boxes.join(whiskers, by)
 
 
-def chart_box(df: DataFrame) -> DataFrame:
+def chart_box(
+    df: DataFrame, group_rows: int = GROUP_ROWS, bucket_values: int = BUCKET_VALUES
+) -> DataFrame:
     """Price boxes by whole engine size and fuel."""
     complete = df.dropna(subset=["engine_size_l", "price_usd", "fuel_type"])
-    return box_stats(complete, "price_usd", ["engine_size", "fuel_type"])
+    return box_stats(complete, "price_usd", ["engine_size", "fuel_type"], group_rows, bucket_values)

@@ -54,16 +54,20 @@ def stats(column: str, by: str = "", order: str = "") -> str:
 
 
 STATS = "mean median std min max"
-add(
-    "stats_column",
-    lambda s, d: aggregate.stats_columns(sales_fact(s, d), ["price_usd", "mileage_km", "engine_size_l"]),
-    on_sales(
-        " UNION ALL BY NAME ".join(
-            f"SELECT '{c}' AS \"column\", * FROM ({stats(c)})" for c in ("price_usd", "mileage_km", "engine_size_l")
-        )
-    ),
-    f"{STATS} q25 q50 q75",
-)
+MEASURES = ["price_usd", "mileage_km", "engine_size_l"]
+STATS_COLUMN = on_sales(
+    " UNION ALL BY NAME ".join(f"SELECT '{c}' AS \"column\", * FROM ({stats(c)})" for c in MEASURES)
+)
+# The way of groups too large for one task, whatever the size of the data: buckets that
+# are cut again and again until they hold few values.
+SPLIT = {"group_rows": 0, "bucket_values": 50}
+for key, way in (("stats_column", {}), ("stats_column_split", SPLIT)):
+    add(
+        key,
+        lambda s, d, way=way: aggregate.stats_columns(sales_fact(s, d), MEASURES, **way),
+        STATS_COLUMN,
+        f"{STATS} q25 q50 q75",
+    )
 add(
     "stats_grouped",
     lambda s, d: aggregate.stats_grouped(sales_fact(s, d), "mileage_km", ["region", "fuel_type"]),
@@ -89,6 +93,13 @@ for key, column, by, order in (
         STATS,
     )
 
+fact(
+    "stats_price_by_model_split",
+    lambda df: aggregate.stats_grouped(df, "price_usd", ["model"], **SPLIT),
+    stats("price_usd", "model"),
+    STATS,
+)
+
 fact("agg_fuel_trans", aggregate.fuel_transmission, CELLS, "avg_price_usd avg_engine_size")
 
 TOP_MODEL_YEARS = f"""
@@ -139,6 +150,7 @@ FROM fact f JOIN (
 GROUP BY b.engine_size, b.fuel_type"""
 BOX_DOUBLES = "min q25 median q75 max whisker_low whisker_high"
 fact("agg_box", aggregate.chart_box, BOX, BOX_DOUBLES)
+fact("agg_box_split", lambda df: aggregate.chart_box(df, **SPLIT), BOX, BOX_DOUBLES)
 
 # ---------------------------------------------------------------- rankings
 

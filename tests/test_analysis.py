@@ -116,7 +116,7 @@ def test_correlation_uses_complete_pairs(spark):
     assert got == pytest.approx(np.corrcoef([1, 3, 5], [2, 1, 7])[0, 1])
 
 
-@pytest.mark.parametrize("way", [{}, {"group_rows": 0}, {"group_rows": 0, "broadcast_rows": 0}])
+@pytest.mark.parametrize("way", [{}, {"group_rows": 0}, {"group_rows": 0, "bucket_values": 1}])
 def test_box_whiskers_end_at_data(make, way):
     prices = [1.0, 10.0, 11.0, 12.0, 13.0, 14.0, 100.0]
     df = make(*[{"price_usd": p} for p in prices])

@@ -5,6 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from salescope.functions import quantiles as Q
 from salescope.functions.quantiles import QUARTILES, describe
 
 WAYS = {
@@ -13,6 +14,8 @@ WAYS = {
     "bucketed and shuffled": {"group_rows": 0, "broadcast_rows": 0},
     "mixed": {"group_rows": 400},
     "mixed, many large groups": {"group_rows": 400, "broadcast_rows": 0},
+    "buckets cut": {"group_rows": 0, "bucket_values": 20},
+    "buckets cut to single values": {"group_rows": 0, "bucket_values": 1},
 }
 
 
@@ -72,7 +75,7 @@ def test_several_columns_without_groups(spark, way):
 
 def test_nan_counts_as_missing(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "v double")
-    for way in ({}, {"group_rows": 0}):
+    for way in ({}, {"group_rows": 0}, {"group_rows": 0, "bucket_values": 1}):
         row = describe(df, ["v"], **way).first()
         assert (row["n"], row["missing"], row["q50"]) == (2, 1, 2.0)
 
@@ -96,9 +99,31 @@ def test_unknown_or_text_column_fails_at_once(spark):
 def test_any_values(spark, data):
     rows = [(k, v) for k, vs in data.items() for v in vs]
     df = spark.createDataFrame(rows, "k string, v double")
-    for way in ({}, {"group_rows": 0}):
+    for way in ({}, {"group_rows": 0}, {"group_rows": 0, "bucket_values": 1}):
         got = {r["k"]: r["q50"] for r in describe(df, ["v"], by=["k"], **way).collect()}
         for key, values in data.items():
             present = [v for v in values if v is not None]
             want = np.quantile(present, 0.5) if present else None
             assert got[key] == (None if want is None else pytest.approx(want, rel=1e-9, abs=1e-9))
+
+
+def test_crowded_values_spread_over_small_buckets(spark, monkeypatch):
+    """100,000 different values within 0.006 %, and as many over 200 magnitudes."""
+    rng = np.random.default_rng(9)
+    close = 30_000 * (1 + 6e-5 * rng.random(100_000))
+    far = 10.0 ** -rng.uniform(3, 200, 100_000)
+    df = spark.createDataFrame([("close", float(v)) for v in close] + [("far", float(v)) for v in far], "k string, v double")
+    largest = []
+    found = Q.order_statistics
+
+    def watch(points, keys, probs):
+        cells = points.groupBy(*keys, "bucket_from").count()
+        largest.extend(r["count"] for r in cells.collect())
+        return found(points, keys, probs)
+
+    monkeypatch.setattr(Q, "order_statistics", watch)
+    got = {r["k"]: r for r in describe(df, ["v"], by=["k"], group_rows=0, bucket_values=5_000).collect()}
+    for key, values in (("close", close), ("far", far)):
+        for name, p in QUARTILES.items():
+            assert got[key][name] == pytest.approx(np.quantile(values, p), rel=1e-12)
+    assert largest and max(largest) <= 5_000
