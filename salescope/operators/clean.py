@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from salescope.functions.quantiles import GROUP_ROWS, describe
 from salescope.functions.stats import bin_right_closed
 from salescope.schema import (
+    BINS_OF,
     IMPUTE_KEYS,
     MILEAGE_EDGES,
     MILEAGE_LABELS,
@@ -191,14 +192,16 @@ def truncate_engine(df: DataFrame, source: str = "engine_size_l", target: str =
 def bin_column(
     df: DataFrame, source: str, target: str, edges: Sequence[float], labels: Sequence[str]
 ) -> DataFrame:
-    """Right-closed bins with a label and, for ordering, the bin's number."""
+    """Right-closed bins with a label and, for ordering, the bin's number, which its
+    column's metadata mark as a helper."""
     value = F.col(source)
+    number = f"{target}_ord"
     return df.withColumns(
         {
             target: bin_right_closed(value, edges, list(labels)),
-            f"{target}_ord": bin_right_closed(value, edges, list(range(1, len(labels) + 1))),
+            number: bin_right_closed(value, edges, list(range(1, len(labels) + 1))),
         }
-    )
+    ).withMetadata(number, {BINS_OF: target})
 
 
 def bin_mileage(df: DataFrame, source: str = "mileage_km", target: str = "mileage_bin") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salescope.functions.formats import fixed
 from salescope.schema import (
+    BINS_OF,
     CARDINALITY_SHARE_LIMIT,
     MISSING_PERCENT_LIMIT,
     NON_NEGATIVE_COLUMNS,
@@ -37,13 +38,15 @@ def _outside(column: str, bounds: tuple[float, float]) -> Column:
 
 
 def data_columns(df: DataFrame) -> list[str]:
-    """The columns without the helpers that number a binned column's bins."""
-    return [c for c in df.columns if not (c.endswith("_ord") and c.removesuffix("_ord") in df.columns)]
+    """The columns without the helpers that number a binned column's bins, known by
+    their metadata: a table's own columns count, whatever their names."""
+    return [f.name for f in df.schema.fields if BINS_OF not in (f.metadata or {})]
 
 
 def free_texts(df: DataFrame) -> list[str]:
     """The text columns that are read, not derived: a binned column's labels are fixed."""
-    return [c for c in string_columns(df) if f"{c}_ord" not in df.columns]
+    binned = {(f.metadata or {}).get(BINS_OF) for f in df.schema.fields}
+    return [c for c in string_columns(df) if c not in binned]
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:

@@ -52,6 +52,10 @@ SALES_SCHEMA = StructType(
 )
 
 
+# The metadata key of a column that numbers the bins of another one.
+BINS_OF = "bins_of"
+
+
 def normalize_name(name: str) -> str:
     return name.lower().replace(" ", "_")
 

@@ -43,19 +43,33 @@ def _json_keys(spark: SparkSession, path: str) -> list[str]:
     return sorted(r.key for r in spark.read.text(path).select(keys).distinct().collect())
 
 
+# What a cell is read as, the first that all filled cells of a column allow: whole numbers
+# of up to 18 and up to 38 digits keep every digit. Leading zeros make a code, not a number.
+WHOLE = r"^[+-]?[0-9]{{1,{0}}}$"
+CODE = r"^[+-]?0[0-9]"
+EXTRA_TYPES = {"bigint": WHOLE.format(18), "decimal(38,0)": WHOLE.format(38), "double": None}
+
+
 def _numeric_extras(df: DataFrame, schema: StructType) -> DataFrame:
     """Text columns outside ``schema`` whose every filled cell is a number, as numbers."""
     extras = [c for c in df.columns if normalize_name(c) not in schema.names]
     if not extras:
         return df
     cells = {c: F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")) for c in extras}
-    number = {c: cells[c].try_cast("double") for c in extras}
-    seen = df.agg(
-        *[F.count(cells[c]).alias(f"cells{i}") for i, c in enumerate(extras)],
-        *[F.count(number[c]).alias(f"numbers{i}") for i, c in enumerate(extras)],
-    ).first()
-    found = [c for i, c in enumerate(extras) if 0 < seen[f"cells{i}"] == seen[f"numbers{i}"]]
-    return df.withColumns({c: number[c] for c in found}) if found else df
+    counts = []
+    for i, c in enumerate(extras):
+        counts.append(F.count(cells[c]).alias(f"cells{i}"))
+        for kind, pattern in EXTRA_TYPES.items():
+            fits = cells[c].try_cast(kind).isNotNull() & ~cells[c].rlike(CODE)
+            fits = fits & cells[c].rlike(pattern) if pattern else fits
+            counts.append(F.count_if(fits).alias(f"{kind}{i}"))
+    seen = df.agg(*counts).first()
+    found = {}
+    for i, c in enumerate(extras):
+        kinds = [k for k in EXTRA_TYPES if 0 < seen[f"cells{i}"] == seen[f"{k}{i}"]]
+        if kinds:
+            found[c] = cells[c].try_cast(kinds[0])
+    return df.withColumns(found) if found else df
 
 
 def scan_sales(
@@ -72,7 +86,8 @@ def scan_sales(
     JSON lines (one pass over them). Cells that do not parse become NULL. A csv folder
     whose files order their columns differently is refused when it is read. Columns that
     are not declared are numbers if every filled cell is one (one more pass over those
-    columns, only if there are any), else text. ``infer=True`` lets Spark infer instead.
+    columns, only if there are any), else text; whole numbers keep every digit, and cells
+    with leading zeros stay text. ``infer=True`` lets Spark infer instead.
     """
     fmt = fmt or source_format(path)
     reader = spark.read.format(fmt)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from salescope.operators import clean, quality, rules
 from tests.conftest import records
@@ -128,3 +129,11 @@ def test_observation_counts_removed_rows(make):
     rules.enforce_rules(df, observation=seen).collect()
     assert seen.get == {"rows_before": 3, "rows_after": 1}
     assert records(rules.removed_rows(df)) == [{"rows_before": 3, "rows_after": 1, "removed": 2}]
+
+
+def test_own_columns_count_whatever_their_names(spark, make):
+    df = clean.bin_mileage(make({}, {}))
+    df = df.withColumns({"batch": F.lit("a"), "batch_ord": F.lit(None).cast("int")})
+    share = {r["column"]: r for r in quality.missing_share(df).collect()}
+    assert "batch_ord" in share and "mileage_bin" in share and "mileage_bin_ord" not in share
+    assert "batch" in quality.free_texts(df) and "mileage_bin" not in quality.free_texts(df)

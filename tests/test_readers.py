@@ -54,3 +54,20 @@ def test_undeclared_numbers_are_numbers(spark, tmp_path):
     csv(folder / "2.csv", [*HEADERS, "Extra", "Note"], [*VALUES, None, "2"])
     types = dict(scan_sales(spark, str(folder)).dtypes)
     assert types["extra"] == "double" and types["note"] == "string"
+
+
+def test_undeclared_numbers_keep_every_digit(spark, tmp_path):
+    folder = tmp_path / "sales.csv"
+    folder.mkdir()
+    names = [*HEADERS, "Serial", "Huge", "Code", "Share", "Mixed"]
+    csv(folder / "1.csv", names, [*VALUES, 9007199254740993, 10**25 + 1, "007", "0.5", 4])
+    csv(folder / "2.csv", names, [*VALUES, -1, 3, "12", "1e3", "0.25"])
+    df = scan_sales(spark, str(folder))
+    types = dict(df.dtypes)
+    assert [types[c] for c in ("serial", "huge", "code", "share", "mixed")] == [
+        "bigint", "decimal(38,0)", "string", "double", "double"
+    ]
+    assert {r.serial for r in df.collect()} == {9007199254740993, -1}
+    assert {int(r.huge) for r in df.collect()} == {10**25 + 1, 3}
+    lines(tmp_path / "a.json", {**dict(zip(HEADERS, VALUES)), "Serial": 9007199254740993})
+    assert scan_sales(spark, str(tmp_path / "a.json")).first().serial == 9007199254740993
