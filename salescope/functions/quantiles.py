@@ -14,7 +14,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from salescope.schema import drop_null_keys, require_numeric
@@ -165,16 +165,35 @@ def cut_quantiles(
     bucket_values: int = BUCKET_VALUES,
 ) -> DataFrame:
     """(keys, quantiles) of the groups with values, of any size. ``counted`` is their
-    written histogram. Joins carry no hint: written tables have a real size."""
-    targets = materialize(wanted_buckets(counted, keys, probs), "wanted-buckets")
+    written histogram; ``long`` may count equal values as ``copies``. Joins carry no hint:
+    written tables have a real size."""
+    seen = Observation()
+    largest = F.coalesce(F.max("rows"), F.lit(0)).alias("rows")
+    targets = materialize(wanted_buckets(counted, keys, probs).observe(seen, largest), "wanted-buckets")
     match, cell = [*keys, "bucket"], [*keys, "bucket_from", "n", "value"]
-    points = long.join(targets.drop("rows"), match).groupBy(*cell).agg(F.count(F.lit(1)).alias("copies"))
+    copies = F.sum("copies") if "copies" in long.columns else F.count(F.lit(1))
+    points = long.join(targets.drop("rows"), match).groupBy(*cell).agg(copies.alias("copies"))
     # Rows are at least as many as different values: nothing to cut if they are few.
-    if not targets.where(F.col("rows") > bucket_values).isEmpty():
+    if seen.get["rows"] > bucket_values:
         points = cut_buckets(points, keys, probs, bucket_values)
     return order_statistics(points, keys, probs)
 
 
+def value_counts(df: DataFrame, values: Sequence[str]) -> DataFrame:
+    """(column, value, copies) of the values that are there: histograms that merge by union."""
+    long = long_values(df, values, []).where(F.col("value").isNotNull())
+    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def counted_quantiles(
+    counted: DataFrame, keys: Sequence[str], probs: Mapping[str, float], bucket_values: int = BUCKET_VALUES
+) -> DataFrame:
+    """(keys, quantiles) of a written table (keys, value, copies); values may repeat."""
+    long = counted.withColumn("bucket", value_bucket(F.col("value")))
+    sizes = long.groupBy(*keys, "bucket").agg(F.sum("copies").alias("rows"))
+    return cut_quantiles(long, sizes, keys, probs, bucket_values)
+
+
 def describe(
     df: DataFrame,
     values: Sequence[str],

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
-from salescope.functions.quantiles import GROUP_ROWS, describe
+from salescope.functions.quantiles import GROUP_ROWS, counted_quantiles, describe, value_counts
 from salescope.functions.stats import bin_right_closed
 from salescope.schema import (
     BINS_OF,
@@ -25,7 +26,7 @@ from salescope.schema import (
 from salescope.sources.staging import BROADCAST_ROWS, materialize
 
 MEDIAN = {"median": 0.5}
-SIZE = "__group_size"
+SIZE, PARTS, PART = "__group_size", "__parts", "__part"
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
@@ -41,38 +42,71 @@ def _complete(columns: Sequence[str]) -> Column:
     return out
 
 
-def group_medians(
-    df: DataFrame,
-    keys: Sequence[str],
-    targets: Sequence[str],
-    rows: int,
-    group_rows: int = GROUP_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+def join_groups(
+    df: DataFrame, summary: DataFrame, keys: Sequence[str], rows: int, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Medians of the target columns for the groups that have a gap, written once.
+    """``df`` left joined to the one row that a written summary has for its group.
 
-    Complete groups need no median. Where the groups with gaps are few, all
-    other rows are filtered out map-side; where they are many, every group is
-    summarised.
+    ``rows`` is at least the sum of the summary's sizes, so fewer than ``broadcast_rows``
+    groups hold more than that part of them. These hot groups' names are broadcast, their
+    rows dealt out by a hash of the row, and their summary rows copied as often.
     """
-    keys, targets = list(keys), list(targets)
-    keyed = df.where(_complete(keys))
-    open_groups = keyed.where(~_complete(targets)).select(*keys).distinct()
-    if rows <= group_rows:
-        keyed = keyed.join(open_groups, keys, "left_semi")
-    else:
-        open_groups = materialize(open_groups, "groups-with-gaps")
-        if open_groups.count() <= broadcast_rows:
-            keyed = keyed.join(F.broadcast(open_groups), keys, "left_semi")
-            rows = None
-    long = describe(
-        keyed, targets, keys, MEDIAN, rows=rows, group_rows=group_rows, broadcast_rows=broadcast_rows
+    parts = F.greatest(F.ceil(F.col(SIZE) * broadcast_rows / max(rows, 1)), F.lit(1)).cast("int")
+    summary = summary.withColumn(PARTS, parts)
+    hot = summary.where(F.col(PARTS) > 1).select(*keys, PARTS)
+    plain = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
+    part = F.coalesce(F.pmod(F.xxhash64(*plain), F.col(PARTS)).cast("int"), F.lit(0))
+    dealt = df.join(F.broadcast(hot), list(keys), "left").withColumn(PART, part).drop(PARTS)
+    copies = summary.withColumn(PART, F.explode(F.sequence(F.lit(0), F.col(PARTS) - 1)))
+    return dealt.join(copies.drop(PARTS), [*keys, PART], "left").drop(PART)
+
+
+def _medians(rows: DataFrame, keys: Sequence[str], targets: Sequence[str]) -> DataFrame:
+    """One row per group of ordinary size, from a sorted array per target."""
+    values = {t: F.col(t).cast("double") for t in targets}
+    arrays = [F.sort_array(F.collect_list(F.when(~F.isnan(v), v))).alias(t) for t, v in values.items()]
+    gaps = [F.count_if(F.col(t).isNull()).alias(f"{t}__gaps") for t in targets]
+    grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE), *gaps, *arrays)
+
+    def middle(t: str) -> Column:
+        n = F.size(t)
+        return ((F.get(t, F.floor((n - 1) / 2).cast("int")) + F.get(t, F.floor(n / 2).cast("int"))) / 2).alias(f"{t}__median")
+
+    return grouped.select(*keys, SIZE, *[f"{t}__gaps" for t in targets], *[middle(t) for t in targets])
+
+
+def _large_medians(rows: DataFrame, keys: Sequence[str], targets: Sequence[str]) -> DataFrame:
+    """The same of groups too large for one task, selected from their histograms."""
+    long = describe(rows, targets, keys, MEDIAN, group_rows=0)
+    total = F.max(F.col("n") + F.col("missing")).alias(SIZE)
+    of = {t: F.col("column") == t for t in targets}
+    gaps = rows.groupBy(*keys).agg(*[F.count_if(F.col(t).isNull()).alias(f"{t}__gaps") for t in targets])
+    found = long.groupBy(*keys).agg(total, *[F.max(F.when(of[t], F.col("median"))).alias(f"{t}__median") for t in targets])
+    return found.join(gaps, list(keys)).select(
+        *keys, SIZE, *[f"{t}__gaps" for t in targets], *[f"{t}__median" for t in targets]
     )
-    by_column = [
-        F.max(F.when(F.col("column") == t, F.col("median"))).alias(f"{t}__median") for t in targets
-    ]
-    size = F.max(F.col("n") + F.col("missing")).alias(SIZE)
-    return materialize(long.groupBy(*keys).agg(size, *by_column), "group-medians")
+
+
+def group_medians(
+    df: DataFrame, gap_rows: DataFrame, keys: Sequence[str], targets: Sequence[str], group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """Size, gaps and median of each target for the groups of the written rows with gaps.
+
+    The keys and targets of these groups' rows are written by one scan of ``df``; sizes
+    and medians come from that table. Complete groups are never summarised.
+    """
+    rows = df.join(gap_rows.select(*keys).distinct(), list(keys), "left_semi").select(*keys, *targets)
+    seen = Observation()
+    rows = materialize(rows.observe(seen, F.count(F.lit(1)).alias("rows")), "rows-of-open-groups")
+    if seen.get["rows"] <= group_rows:  # so no group has more
+        return materialize(_medians(rows, keys, targets), "group-medians")
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
+    large = materialize(sizes.where(F.col("size") > group_rows).select(*keys), "large-groups")
+    ordinary = _medians(rows.join(large, list(keys), "left_anti"), keys, targets)
+    if not large.isEmpty():
+        large_rows = rows.join(large, list(keys), "left_semi")
+        ordinary = ordinary.unionByName(_large_medians(large_rows, keys, targets))
+    return materialize(ordinary, "group-medians")
 
 
 def join_group_stat(
@@ -84,21 +118,51 @@ def join_group_stat(
 ) -> DataFrame:
     """Each row with the median of its group as ``median_<column>``."""
     rows = df.count()
-    medians = describe(df, [column], keys, MEDIAN, rows=rows, group_rows=group_rows).select(
-        *keys, F.col("median").alias(f"median_{column}")
-    )
-    if rows > group_rows:
-        medians = materialize(medians, "group-medians")
-        if medians.count() <= broadcast_rows:
-            medians = F.broadcast(medians)
-    return df.join(medians, list(keys), "left")
+    medians = describe(df, [column], keys, MEDIAN, rows=rows, group_rows=group_rows)
+    size = (F.col("n") + F.col("missing")).alias(SIZE)
+    medians = materialize(medians.select(*keys, size, F.col("median").alias(f"median_{column}")), "group-medians")
+    return join_groups(df, medians, keys, rows, broadcast_rows).drop(SIZE)
+
+
+class _GroupFill(NamedTuple):
+    filled: DataFrame
+    medians: DataFrame | None  # size, gaps and medians of the groups with gaps
+    targets: list[str]
+    gaps: dict[str, int]  # missing values before the fill, by column, and all rows as SIZE
+
+
+def _fill_groups(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], group_rows: int, broadcast_rows: int
+) -> _GroupFill:
+    """The group fill with what its writing pass observed.
+
+    Rows with a gap that may be filled are written, the only ones that travel; the other
+    rows stay where they are read. Observed counts may be too high after a lost executor,
+    never too low, so they serve as bounds only.
+    """
+    keys = [k for k in keys if k in df.columns]
+    present = [c for c in columns if c in df.columns]
+    targets = [c for c in present if c not in keys]
+    counts = [F.count_if(F.col(c).isNull()).alias(c) for c in present]
+    if not keys or not targets:
+        return _GroupFill(df, None, [], df.agg(F.count(F.lit(1)).alias(SIZE), *counts).first().asDict())
+    seen = Observation()
+    fillable = _complete(keys) & ~_complete(targets)
+    gap_rows = df.observe(seen, F.count(F.lit(1)).alias(SIZE), *counts).where(fillable)
+    gap_rows = materialize(gap_rows, "rows-with-gaps")
+    gaps = seen.get
+    medians = group_medians(df, gap_rows, keys, targets, group_rows)
+    joined = join_groups(gap_rows, medians, keys, gaps[SIZE], broadcast_rows)
+    fills = {t: F.coalesce(F.col(t).cast("double"), F.col(f"{t}__median")) for t in targets}
+    joined = joined.withColumns(fills).select(*df.columns)
+    others = df.where(~fillable).withColumns({t: F.col(t).cast("double") for t in targets})
+    return _GroupFill(others.unionByName(joined), medians, targets, gaps)
 
 
 def impute_group_median(
     df: DataFrame,
     keys: Sequence[str] = IMPUTE_KEYS,
     columns: Sequence[str] = NUMERIC_COLUMNS,
-    rows: int | None = None,
     group_rows: int = GROUP_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
@@ -107,66 +171,36 @@ def impute_group_median(
     A key column never changes here: within its group it is constant, and
     without a value there is no group.
     """
-    keys = [k for k in keys if k in df.columns]
-    targets = [c for c in columns if c in df.columns and c not in keys]
-    if not keys or not targets:
+    if not set(keys) & set(df.columns) or not (set(columns) - set(keys)) & set(df.columns):
         return df
-    rows = df.count() if rows is None else rows
-    medians = group_medians(df, keys, targets, rows, group_rows, broadcast_rows)
-
-    def filled(part: DataFrame, summary: DataFrame) -> DataFrame:
-        return (
-            part.join(summary, keys, "left")
-            .withColumns({t: F.coalesce(F.col(t).cast("double"), F.col(f"{t}__median")) for t in targets})
-            .select(*df.columns)
-        )
-
-    if rows <= group_rows:
-        return filled(df, medians)
-    if medians.count() <= broadcast_rows:
-        return filled(df, F.broadcast(medians))
-    # Only rows with a fillable gap go through a join by key, and the groups
-    # too large for one task are few enough to be broadcast.
-    fillable = _complete(keys) & ~_complete(targets)
-    parts = [df.where(~fillable).withColumns({t: F.col(t).cast("double") for t in targets})]
-    gaps, large = df.where(fillable), medians.where(F.col(SIZE) > group_rows)
-    if 0 < large.count() <= broadcast_rows:
-        parts.append(filled(gaps.join(F.broadcast(large.select(*keys)), keys, "left_semi"), F.broadcast(large)))
-        gaps = gaps.join(F.broadcast(large.select(*keys)), keys, "left_anti")
-    parts.append(filled(gaps, medians))
-    return reduce(DataFrame.unionByName, parts)
+    return _fill_groups(df, keys, columns, group_rows, broadcast_rows).filled
 
 
-def global_medians(
-    df: DataFrame,
-    columns: Sequence[str] = NUMERIC_COLUMNS,
-    rows: int | None = None,
-    group_rows: int = GROUP_ROWS,
-) -> dict[str, float | None]:
-    """Exact medians of the columns that have gaps: one number per column."""
-    present = [c for c in columns if c in df.columns]
-    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present]).first()
-    open_columns = [c for c in present if gaps[c] > 0]
-    if not open_columns:
-        return {}
-    found = describe(df, open_columns, probs=MEDIAN, rows=rows, group_rows=group_rows)
-    return {r["column"]: r["median"] for r in found.collect()}
-
-
-def impute_global_median(
-    df: DataFrame,
-    columns: Sequence[str] = NUMERIC_COLUMNS,
-    rows: int | None = None,
-    group_rows: int = GROUP_ROWS,
-) -> DataFrame:
-    """Fill the remaining gaps with the column's median, taken from ``df`` as it is."""
-    medians = global_medians(df, columns, rows, group_rows)
+def _fill_with(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
     fills = {
         c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items() if m is not None
     }
     return df.withColumns(fills) if fills else df
 
 
+def global_medians(
+    df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, more: DataFrame | None = None
+) -> dict[str, float]:
+    """Exact medians of whole columns, by one scan that leaves a histogram of their values.
+
+    ``more`` adds (column, value, copies) rows to it. A column without values has none.
+    """
+    counted = value_counts(df, columns)
+    counted = materialize(counted if more is None else counted.unionByName(more), "value-counts")
+    return {r["column"]: r["median"] for r in counted_quantiles(counted, ["column"], MEDIAN).collect()}
+
+
+def impute_global_median(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
+    """Fill the remaining gaps with the column's median, taken from ``df`` as it is."""
+    present = [c for c in columns if c in df.columns]
+    return _fill_with(df, global_medians(df, present)) if present else df
+
+
 def impute_zero(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
     """What is still missing (a column without any value) becomes 0."""
     return df.fillna(0.0, subset=[c for c in columns if c in df.columns])
@@ -177,11 +211,27 @@ def impute(
     keys: Sequence[str] = IMPUTE_KEYS,
     columns: Sequence[str] = NUMERIC_COLUMNS,
     group_rows: int = GROUP_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Group median, then global median of the result, then 0."""
-    rows = df.count()
-    grouped = impute_group_median(df, keys, columns, rows, group_rows)
-    return impute_zero(impute_global_median(grouped, columns, rows, group_rows), columns)
+    """Group median, then global median of the result, then 0.
+
+    The values that the group fill puts in are known from its summary, so the global
+    medians need the table's own values only: the fill is not run for them. Reads ``df``
+    four times at most (rows with gaps, rows of their groups, values, result).
+    """
+    fill = _fill_groups(df, keys, columns, group_rows, broadcast_rows)
+    left, more = {c: fill.gaps[c] for c in columns if c in df.columns}, None
+    if fill.targets:
+        closed = [F.sum(F.when(F.col(f"{t}__median").isNotNull(), F.col(f"{t}__gaps"))).alias(t) for t in fill.targets]
+        closed = fill.medians.agg(*closed).first()
+        left |= {t: fill.gaps[t] - (closed[t] or 0) for t in fill.targets}
+    open_columns = [c for c, n in left.items() if n > 0]
+    for t in set(open_columns) & set(fill.targets):
+        filled = fill.medians.where(F.col(f"{t}__median").isNotNull() & (F.col(f"{t}__gaps") > 0))
+        filled = filled.select(F.lit(t).alias("column"), F.col(f"{t}__median").alias("value"), F.col(f"{t}__gaps").alias("copies"))
+        more = filled if more is None else more.unionByName(filled)
+    medians = global_medians(df, open_columns, more) if open_columns else {}
+    return impute_zero(_fill_with(fill.filled, medians), columns)
 
 
 def truncate_engine(df: DataFrame, source: str = "engine_size_l", target: str = "engine_size") -> DataFrame:

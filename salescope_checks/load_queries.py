@@ -253,6 +253,12 @@ def _numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 GROUPED = f"SELECT {COLUMNS} FROM grouped"
 add("impute_group_median", lambda s, d: clean.impute_group_median(_numbers(s, d)), on_clean(GROUPED), "price_usd sales_volume")
+add(
+    "impute_group_median_split",  # every group of over five rows counts as large, a few as hot
+    lambda s, d: clean.impute_group_median(_numbers(s, d), group_rows=5, broadcast_rows=200),
+    on_clean(GROUPED),
+    "price_usd sales_volume",
+)
 add(
     "impute_global_median",
     lambda s, d: clean.impute_global_median(clean.impute_group_median(_numbers(s, d))),

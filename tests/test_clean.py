@@ -4,8 +4,11 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from salescope.operators import clean
 from salescope.schema import IMPUTE_KEYS, NUMERIC_COLUMNS
+from salescope.sources import staging
 from tests.conftest import records
 
 WAYS = {
@@ -76,6 +79,46 @@ def test_global_fill_uses_medians_after_the_group_fill(spark, group_rows):
     assert before != brute_force_group_fill(frame)["price_usd"].median()
 
 
+def test_fill_of_an_empty_table_and_of_unusual_columns(spark, make):
+    empty = make({}).where("false")
+    assert clean.impute(empty).collect() == []
+    odd = make({"price_usd": None}, {"price_usd": 4.0}, {"price_usd": 4.0}).withColumn("extra", F.create_map(F.lit("a"), F.lit(1)))
+    assert [(r["price_usd"], r["extra"]) for r in clean.impute(odd, broadcast_rows=2).collect()] == [(4.0, {"a": 1})] * 3
+    without_keys = clean.impute(make({"price_usd": None}, {"price_usd": 6.0}).select("price_usd")).collect()
+    assert [r["price_usd"] for r in without_keys] == [6.0, 6.0]
+
+
+def test_imputation_reads_the_table_four_times_at_most(spark, monkeypatch):
+    size, plans, write = 5431, [], staging.write_staged
+
+    def noted(df, *rest):
+        plans.append(df)
+        return write(df, *rest)
+
+    monkeypatch.setattr(staging, "write_staged", noted)
+    # Columns of a range: each read of the table is one range in a plan.
+    i = F.col("id")
+    table = spark.range(size).select(
+        F.when(i % 3 > 0, (i % 7).cast("string")).alias("model"),
+        F.when(i % 50 > 0, 2000.0 + i % 5).alias("year"),
+        F.when(i % 4 > 0, i % 97 * 1.5).alias("price_usd"),
+    )
+    plans.append(clean.impute(table, keys=("model", "year"), columns=("year", "price_usd")))
+    reads = [p._jdf.queryExecution().optimizedPlan().toString().count(f"Range (0, {size}") for p in plans]
+    assert sum(reads) == 4
+    assert plans[-1].where("price_usd IS NULL OR year IS NULL").isEmpty()
+
+
+def test_a_hot_group_is_dealt_out(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(-1).alias("k"), F.col("id").alias("v"))
+    sizes = staging.materialize(df.groupBy("k").agg(F.count("v").alias(clean.SIZE), F.max("v").alias("top")), "sizes")
+    joined = clean.join_groups(df, sizes, ["k"], 9000, broadcast_rows=30)
+    assert joined.columns == ["k", "v", clean.SIZE, "top"]
+    assert joined.where("k = -1 AND top = 8997 OR k = v AND top = v").count() == 9000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(k") == 1 and clean.PART in plan
+
+
 def test_column_without_values_becomes_zero(make):
     rows = records(clean.impute(make({"price_usd": None}, {"price_usd": None})))
     assert [r["price_usd"] for r in rows] == [0.0, 0.0]
