@@ -8,7 +8,11 @@ least ``threshold`` are found. Passages whose essential terms leave every item s
 it are skipped; for the others, upper bounds of a term's scores, first of the whole list
 and then of the list's blocks, skip items that cannot reach it.
 
-A retrieved pair counts if the passage also holds the item's question and its answer.
+A retrieved pair counts if the passage also holds the item's question and its answer. An
+item of one or two words has no answer part: its question alone decides.
+
+Document frequencies, the mean and the greatest length are counted once by Spark over all
+items and are the same for every block of items, so the blocks change no result.
 """
 
 from __future__ import annotations
@@ -16,13 +20,14 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.textops import ALNUM_WORD, LOWER, SpanHash, blocks, shingles, slim, word_spans
+from salescope.llm.textops import ALNUM_WORD, LOWER, SpanHash, blocks, materialize, shingles, slim, word_spans
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
@@ -30,6 +35,17 @@ QUESTION, ANSWER = 0.8, 0.5
 WIDTH = 5
 POSTING_BLOCK = 32
 ITEMS_PER_PASS = 20_000
+WORDS_PER_PASS = 2_000_000
+
+
+class Counts(NamedTuple):
+    """What BM25 needs to know of all items."""
+
+    items: int
+    mean: float  # words of an item
+    span: int  # words of the longest item
+    terms: np.ndarray  # sorted word hashes, at least those of the items at hand
+    df: np.ndarray  # items that hold each of them
 
 
 @dataclass
@@ -84,18 +100,27 @@ def split_item(text: str) -> tuple[str, str]:
     return " ".join(words[:n]), " ".join(words[n:])
 
 
-def build(rows: list[tuple[object, str]]) -> Index:
+def counts_of(texts: list[str]) -> Counts:
+    """The counts of items that are all at hand."""
+    words = [w for w in map(_hashes, texts) if w.size]
+    found = np.concatenate([np.unique(w) for w in words]) if words else np.empty(0, np.uint64)
+    sizes = [len(w) for w in words]
+    return Counts(len(words), sum(sizes) / max(len(words), 1), max(sizes, default=1), *np.unique(found, return_counts=True))
+
+
+def build(rows: list[tuple[object, str]], counts: Counts | None = None) -> Index:
     """Postings with BM25 impacts, each divided by the item's score for itself."""
+    counts = counts or counts_of([t for _, t in rows])
     rows = [(i, t) for i, t in rows if t and _hashes(t).size]
     words = [_hashes(t) for _, t in rows]
-    mean = np.mean([len(w) for w in words]) if words else 1.0
     found = [np.unique(w, return_counts=True) for w in words]
-    terms, df = np.unique(np.concatenate([t for t, _ in found]) if found else np.empty(0, np.uint64), return_counts=True)
-    idf = np.log1p((len(rows) - df + 0.5) / (df + 0.5))
+    terms = np.unique(np.concatenate([t for t, _ in found])) if found else np.empty(0, np.uint64)
+    df = counts.df[np.searchsorted(counts.terms, terms)]
+    idf = np.log1p((counts.items - df + 0.5) / (df + 0.5))
     term, doc, score = [], [], []
     for d, (t, n) in enumerate(found):
         k = np.searchsorted(terms, t)
-        s = idf[k] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(words[d]) / mean))
+        s = idf[k] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(words[d]) / counts.mean))
         term.append(k)
         doc.append(np.full(len(k), d))
         score.append(s / s.sum())
@@ -106,7 +131,7 @@ def build(rows: list[tuple[object, str]]) -> Index:
     top = np.maximum.reduceat(score, at[:-1]) if len(terms) else np.empty(0)
     parts = [split_item(t) for _, t in rows]
     return Index(
-        [i for i, _ in rows], terms, at, doc, score, top, max([len(w) for w in words], default=1),
+        [i for i, _ in rows], terms, at, doc, score, top, counts.span,
         [_grams(_hashes(q)) for q, _ in parts], [_grams(_hashes(a)) for _, a in parts],
     )
 
@@ -242,8 +267,7 @@ def _pass(docs: DataFrame, index: Index, threshold: float, question: float, answ
             for row, item, score, a, b in search(words, first, index, threshold):
                 if (a, b) != mark:
                     mark, grams = (a, b), _passage_grams(words[a:b])
-                # A short answer has fewer words than a shingle: look for it as it stands.
-                q, r = _overlap(index.question[item], grams), _overlap(index.answer[item], grams)
+                q, r = _overlaps(index, item, grams)
                 if q >= question and r >= answer:
                     old = best.get((row, item), (0.0, 0.0, 0.0, 0))
                     best[row, item] = (*max(old[:3], (score, q, r)), old[3] + 1)
@@ -263,42 +287,86 @@ def _passage_grams(words: np.ndarray) -> list[np.ndarray]:
 
 
 def _overlap(part: np.ndarray, grams: list[np.ndarray]) -> float:
+    # A short part has fewer words than a shingle: look for it as it stands.
     return max(held(part, g) for g in grams) if len(part) == 1 else held(part, grams[-1])
 
 
+def _overlaps(index: Index, item: int, grams: list[np.ndarray]) -> tuple[float, float]:
+    """How much of the question and of the answer is there; without an answer, the question counts as both."""
+    q, answer = _overlap(index.question[item], grams), index.answer[item]
+    return q, _overlap(answer, grams) if len(answer) else q
+
+
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, question: float = QUESTION, answer: float = ANSWER
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = THRESHOLD,
+    question: float = QUESTION,
+    answer: float = ANSWER,
+    per_pass: int = ITEMS_PER_PASS,
 ) -> DataFrame:
     """One row per document and item that it holds.
 
-    Null and empty documents and items match nothing. Documents without a leak have no
-    row; an empty benchmark gives none at all. Null and repeated ids appear as they are.
-    A benchmark of more items than one pass may hold is searched in several passes, each
-    over all documents; items are numbered by a hash, so a pass has a known size.
+    Null and empty documents and items, and those without a word, match nothing. An item
+    of one or two words is held by a text that has these words in a row. Documents without
+    a leak have no row; an empty benchmark gives none at all. Null and repeated ids appear
+    as they are. A benchmark of more items or words than one pass may hold is searched in
+    several passes, each over all documents, with the same results; items are numbered by
+    a hash, so a pass has a known size.
     """
     rows = slim(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     result = None
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, per_pass):
         one = _pass(rows, index, threshold, question, answer)
         result = one if result is None else result.unionByName(one)
     return result
 
 
+def _terms(items: DataFrame) -> DataFrame:
+    """(part, term, words): each item's distinct words, its number of words beside the first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in blocks(batches):
+            words, first = _words(data, offsets)
+            parts, terms, sizes = [], [], []
+            for part, a, b in zip(batch.column("part").to_pylist(), first[:-1].tolist(), first[1:].tolist()):
+                own = np.unique(words[a:b]).view(np.int64).tolist()
+                parts += [part] * len(own)
+                terms += own
+                sizes += [b - a, *[None] * (len(own) - 1)] if own else []
+            arrays = [pa.array(parts, pa.int32()), pa.array(terms, pa.int64()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["part", "term", "words"])
+
+    return items.select("part", "text").mapInArrow(run, "part int, term long, words long")
+
+
 def indexes(benchmark: DataFrame, per_pass: int = ITEMS_PER_PASS) -> Iterator[Index]:
-    """Indexes of at most about ``per_pass`` items each, fetched one after another."""
+    """Indexes of at most about ``per_pass`` items and ``WORDS_PER_PASS`` words each,
+    fetched one after another; the counts that their scores need cover all items."""
     items = slim(benchmark, "item_id", "text").where("text IS NOT NULL").dropDuplicates(["item_id", "text"])
-    passes = max(1, -(-items.count() // per_pass))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
+    # Parts of a fixed number first: a pass takes some of them, known once they are counted.
+    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(1 << 20)).cast("int")
+    items = materialize(items.withColumn("part", number), "leak-items")
+    terms = materialize(_terms(items), "leak-terms")
+    total = terms.agg(F.count("words").alias("n"), F.sum("words").alias("words"), F.max("words").alias("span")).first()
+    n, words = total["n"], total["words"] or 0
+    df = materialize(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "leak-frequencies")
+    passes = max(1, -(-n // per_pass), -(-words // WORDS_PER_PASS))
     for k in range(passes):
-        found = items.where(part == k).collect()
-        yield build(sorted([(r.item_id, r.text) for r in found], key=lambda r: (r[0] is None, r[0], r[1])))
+        mine = F.pmod("part", F.lit(passes)) == k
+        known = df.join(terms.where(mine).select("term").distinct(), "term", "left_semi").toArrow()
+        term = known["term"].to_numpy().view(np.uint64)
+        order = np.argsort(term)
+        counts = Counts(n, words / max(n, 1), total["span"] or 1, term[order], known["df"].to_numpy()[order])
+        found = items.where(mine).collect()
+        yield build(sorted([(r.item_id, r.text) for r in found], key=lambda r: (r[0] is None, r[0], r[1])), counts)
 
 
-def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, per_pass: int = ITEMS_PER_PASS) -> DataFrame:
     """``docs`` without the rows that hold an item. Rows are judged where they are read,
     so no join by id is needed and rows that share an id are judged one by one."""
     kept = docs
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, per_pass):
         kept = _clean(kept, index)
     return kept
 
@@ -311,7 +379,7 @@ def _clean(docs: DataFrame, index: Index) -> DataFrame:
             for row, item, _, a, b in search(words, first, index, THRESHOLD):
                 if keep[row]:
                     grams = _passage_grams(words[a:b])
-                    q, r = _overlap(index.question[item], grams), _overlap(index.answer[item], grams)
+                    q, r = _overlaps(index, item, grams)
                     keep[row] = not (q >= QUESTION and r >= ANSWER)
             yield batch.filter(pa.array(keep))
 
