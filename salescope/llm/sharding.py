@@ -3,13 +3,17 @@
 Documents with equal texts are linked. Every linked document starts in a shard by its
 hash; in each round a group's members move to the shard that can hold most of them, and
 of equals the one where most of them are, as far as the quota of that shard has room:
-a part of them if not all fit. Groups with most members in place come first. Rounds are joins
-and aggregations of small rows (group, shard, count), not of documents. Documents
+a part of them if not all fit. Room is what the quota leaves and what the shard's own
+members want to leave, so that full shards exchange members; a shard that others did not
+relieve holds too many for a while, and takes fewer in the next round. The last
+``STRICT`` of the ``rounds`` rounds count free room alone. Groups with most members in place come
+first. Rounds are joins and aggregations of small rows (group, shard, count), not of documents. Documents
 without links, and members that no quota could take, then fill the shards up, so that
 the counts are at most one apart (the ``rows`` law).
 
-A group larger than a shard is split into blocks first: it has to be cut anyway. Blocks
-are as large as the room that smaller groups leave in a shard.
+A group larger than nine tenths of a shard is split into blocks first: it has to be cut
+anyway. Its blocks are as large as the room that smaller groups leave in a shard, at least
+a quarter of that; a smaller group is one block.
 """
 
 from __future__ import annotations
@@ -20,7 +24,8 @@ from pyspark.sql import functions as F
 from salescope.llm.textops import materialize, running_total, slim
 
 SHARDS = 40
-ROUNDS = 6
+ROUNDS = 12
+STRICT = 4
 ROW_BYTES = 16
 LAW = "rows"
 
@@ -37,27 +42,37 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def _moves(state: DataFrame, quota: DataFrame, rows: int, turn: int) -> DataFrame:
+def _moves(state: DataFrame, quota: DataFrame, rows: int, turn: int, exchange: bool) -> DataFrame:
     """One round over (block, shard, n): (block, to, amount), what of each block's minority has room."""
     load = state.groupBy("shard").agg(F.sum("n").alias("load"))
     room = quota.join(F.broadcast(load), "shard", "left")
-    room = room.select("shard", F.greatest(F.col("quota") - F.coalesce("load", F.lit(0)), F.lit(0)).alias("room"))
+    room = room.select("shard", (F.col("quota") - F.coalesce("load", F.lit(0))).alias("room"))
     room = materialize(room, "shard-room")
     members = state.groupBy("block").agg(F.sum("n").alias("members"), F.count(F.lit(1)).alias("pieces"))
     open_state = state.join(members.where(F.col("pieces") > 1), "block").join(F.broadcast(room), "shard")
     # Eighths, so that the roomiest shard does not draw every block of a round.
-    holds = F.floor(8 * F.least(F.col("members"), F.col("n") + F.col("room")) / F.col("members"))
+    free = F.greatest("room", F.lit(0))
+    holds = F.floor(8 * F.least(F.col("members"), F.col("n") + free) / F.col("members"))
     tie = F.xxhash64("block", "shard", F.lit(turn))
     goal = open_state.groupBy("block").agg(
         F.max("members").alias("members"),
         F.max(F.struct(holds.alias("holds"), "n", tie.alias("tie"), F.col("shard").alias("to"))).alias("best"),
+        F.collect_list(F.struct("shard", "n")).alias("pieces"),  # one per shard at most
     )
-    goal = goal.select("block", "best.to", (F.col("members") - F.col("best.n")).alias("moving"), F.col("best.n").alias("there"))
-    moving = materialize(goal, "shard-moves")
-    # Blocks with most members in place come first; inside equals, by hash.
-    order = [F.col("there").desc(), F.xxhash64("block"), F.col("block")]
-    spread = F.when(F.col("there") > 3, F.lit(0)).otherwise(F.xxhash64("block"))
-    queued = running_total(moving, ["to"], F.col("moving"), spread, order, rows, "before")
+    goal = goal.select(
+        "block", "best.to", (F.col("members") - F.col("best.n")).alias("moving"), F.col("best.n").alias("there"), "pieces"
+    )
+    goal = materialize(goal, "shard-moves")
+    if exchange:
+        leaving = goal.select("to", F.explode("pieces").alias("piece")).where(F.col("piece.shard") != F.col("to"))
+        leaving = leaving.groupBy(F.col("piece.shard").alias("shard")).agg(F.sum("piece.n").alias("leaving"))
+        room = room.join(F.broadcast(leaving), "shard", "left")  # one row per shard
+        room = room.select("shard", (F.col("room") + F.coalesce("leaving", F.lit(0))).alias("room"))
+    # Blocks with most members in place come first, by powers of two; of those, by hash.
+    size = F.lit(63) - F.floor(F.log2("there"))
+    moving = goal.withColumn("size", size).drop("pieces", "there")
+    order = [F.xxhash64("block", F.lit(turn)), F.col("block")]
+    queued = running_total(moving, ["to"], F.col("moving"), order[0], order, rows, "before", F.col("size"))
     allowed = queued.join(F.broadcast(room.withColumnRenamed("shard", "to")), "to")
     allowed = allowed.withColumn("amount", F.least(F.col("moving"), F.col("room") - F.col("before")))
     return allowed.where(F.col("amount") > 0).select("block", "to", "amount")
@@ -81,7 +96,8 @@ def _moved(state: DataFrame, moves: DataFrame) -> DataFrame:
 def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
 
-    Null texts are empty texts, linked with each other. Null and repeated ids are rows
+    ``rounds`` bounds the propagation; a run ends earlier when nothing may move. Null texts
+    are empty texts, linked with each other. Null and repeated ids are rows
     like others. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -99,31 +115,36 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     # Blocks: ranks in the group, cut where a shard would be full beside the smaller groups.
     whole = max(1, (total // shards) * 9 // 10)
     small = linked_groups.where(F.col("members") <= whole).agg(F.sum("members")).first()[0] or 0
-    block_rows = max(1, min(whole, (total - small) // shards))
+    block_rows = max(1, min(whole, max((total - small) // shards, whole // 4)))
     ranked = running_total(linked, ["group"], F.lit(1), F.xxhash64("row"), [F.col("row")], total, "rank")
+    part = F.when(F.col("members") > whole, F.floor(F.col("rank") / block_rows)).otherwise(F.lit(0))
     ranked = ranked.select(
         "doc_id", "size", "text_crc32", "row",
-        F.xxhash64("group", F.floor(F.col("rank") / block_rows)).alias("block"),
-        (F.col("rank") % block_rows).alias("place"),
+        F.xxhash64("group", part).alias("block"), (F.col("rank") - part * block_rows).alias("place"),
     )
     ranked = materialize(ranked, "shard-linked")
     start = F.pmod(F.xxhash64("row", "block"), F.lit(shards)).cast("int")
     state = ranked.groupBy("block", start.alias("shard")).agg(F.count(F.lit(1)).alias("n"))
     state = materialize(state, "shard-state")
     for turn in range(rounds):
-        moves = materialize(_moves(state, quota, total, turn), "shard-allowed")
+        exchange = turn < rounds - STRICT
+        moves = materialize(_moves(state, quota, total, turn, exchange), "shard-allowed")
         if moves.isEmpty():
             break
         state = materialize(_moved(state, moves), "shard-state")
-    # Back to documents: each block's places are dealt out by the counts.
+    # Back to documents: each block's places are dealt out by the counts. A slot is the
+    # number of the shard's members in blocks before, and the place in its own block.
     before = Window.partitionBy("block").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     dealt = state.withColumn("low", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    dealt = dealt.select(F.col("block").alias("b"), "shard", "n", "low")
+    dealt = materialize(dealt, "shard-dealt")
+    # A piece of two or more is kept together before single members, which are cut anyway.
+    alone = F.when(F.col("n") > 1, F.lit(0)).otherwise(F.lit(1))
+    dealt = running_total(dealt, ["shard"], F.col("n"), F.xxhash64("block"), [F.col("block")], total, "start", alone)
+    dealt = dealt.select(F.col("block").alias("b"), "shard", "n", "low", "start")
     inside = (F.col("place") >= F.col("low")) & (F.col("place") < F.col("low") + F.col("n"))
     home = ranked.join(dealt, (F.col("block") == F.col("b")) & inside)
-    home = materialize(home.select("doc_id", "size", "text_crc32", "row", "block", "shard"), "shard-home")
-    slots = running_total(home, ["shard"], F.lit(1), F.xxhash64("block"), [F.col("block"), F.col("row")], total, "slot")
-    slots = slots.join(F.broadcast(quota), "shard")
+    home = home.withColumn("slot", F.col("start") + F.col("place") - F.col("low"))
+    slots = home.select("doc_id", "size", "text_crc32", "row", "shard", "slot").join(F.broadcast(quota), "shard")
     slots = materialize(slots, "shard-slots")
     stay = slots.where(F.col("slot") < F.col("quota"))
     pool = slots.where(F.col("slot") >= F.col("quota"))

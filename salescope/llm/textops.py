@@ -51,16 +51,20 @@ def sampled(rows: DataFrame, stratum: str, order: Column, bound: int) -> DataFra
 
 
 def running_total(
-    df: DataFrame, keys: list[str], weight: Column, spread: Column, order: list[Column], rows: int, name: str
-) -> DataFrame:
+    df: DataFrame, keys: list[str], weight: Column, spread: Column, order: list[Column], rows: int, name: str,
+    first: Column | None = None,
+) -> DataFrame:
     """Adds ``name``: the sum of ``weight`` over the rows before this one in its group.
 
     A group is cut into buckets by ``spread``; a window runs inside each bucket and
     the buckets' totals, one small row each, are summed before them. With weight 1
-    the result is a gapless rank. ``df`` must be a written table.
+    the result is a gapless rank. A small whole number ``first`` comes before the buckets
+    in order. ``df`` must be a written table.
     """
     buckets = max(1, min(rows // BUCKET_ROWS + 1, 1 << 20))
-    df = df.withColumns({"_bucket": F.pmod(spread, F.lit(buckets)), "_weight": weight})
+    bucket = F.pmod(spread, F.lit(buckets))
+    bucket = bucket if first is None else first * buckets + bucket
+    df = df.withColumns({"_bucket": bucket, "_weight": weight})
     totals = df.groupBy(*keys, "_bucket").agg(F.sum("_weight").alias("_sum"))
     over = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = over.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,6 +7,8 @@ import string
 from collections import Counter
 from re import _parser
 
+import pytest
+
 from salescope.llm.license_rules import Scanner, rules, suppressed
 from salescope.llm.line_chunks import LINE_WORDS, drop_repeated_chunks
 from salescope.llm.packing import Ids, pack_ids
@@ -120,3 +122,17 @@ def test_a_group_of_a_third_of_all_rows_fills_few_shards(spark):
     hot = Counter(r.shard for r in found if r.doc_id % 3 == 0)
     # Rows of the group that an average row of it meets in its shard.
     assert sum(n * n for n in hot.values()) / 1000 >= 100
+
+
+@pytest.mark.parametrize("members", [2, 10])
+def test_full_shards_exchange_members(spark, members):
+    """All rows are linked, so no shard has free room; dealt by chance 97.5 % of pairs are cut."""
+    rows = [(i, f"t{i // members}") for i in range(4000)]
+    found = balanced_shards(spark.createDataFrame(rows, "doc_id long, text string"), 40).collect()
+    assert set(Counter(r.shard for r in found).values()) == {100}
+    assert len({(r.shard, r.slot) for r in found}) == 4000 and {r.slot for r in found} == set(range(100))
+    groups = {}
+    for r in found:
+        groups.setdefault(r.doc_id // members, Counter())[r.shard] += 1
+    together = sum(n * (n - 1) for shards in groups.values() for n in shards.values())
+    assert together > 0.98 * 4000 * (members - 1)
