@@ -14,7 +14,6 @@ from salescope.llm import jaccard_join
 from salescope.llm.bm25_leaks import build, block_max_wand, _hashes
 from salescope.llm.language_crf import marginals
 from salescope.llm.license_rules import Rule, rules, suppressed
-from salescope.llm.line_chunks import chunk_table
 from salescope.llm.packing import SEQUENCE, shortest_pack_first
 from salescope.llm.queries import QUERIES, table
 
@@ -63,29 +62,6 @@ def test_toxicity_of_held_out_documents(spark):
     assert np.mean([r.predicted == toxic[r.doc_id] for r in rows]) > 0.9
 
 
-def test_lines(results, docs):
-    first, expected = {}, {}
-    for r in sorted(docs, key=lambda r: r.doc_id):
-        raw = (r.text or "").encode()
-        _, a, b, follow, _, _, may = chunk_table(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-        parts = []
-        for k in range(len(a)):
-            chunk = raw[a[k] : b[k]]
-            if may[k] and chunk in first:
-                continue
-            first.setdefault(chunk, r.doc_id)
-            parts.append(raw[a[k] : follow[k]])
-        expected[r.doc_id] = b"".join(parts).decode()
-    assert {r.doc_id: r.text for r in results("op3_line_chunks")} == expected
-
-
-def test_chunks_resist_shifts():
-    lines = [f"line {i} of many" for i in range(200)]
-    cut = lambda t: {t[x:y] for x, y in zip(*chunk_table(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[1:3])}
-    whole, shifted = cut("\n".join(lines).encode()), cut("\n".join(["new", *lines]).encode())
-    assert len(whole - shifted) <= 2
-
-
 def test_secrets(results, docs):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     texts = {r.doc_id: r.text or "" for r in docs}

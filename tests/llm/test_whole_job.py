@@ -10,32 +10,11 @@ from re import _parser
 import pytest
 
 from salescope.llm.license_rules import Scanner, rules, suppressed
-from salescope.llm.line_chunks import LINE_WORDS, drop_repeated_chunks
 from salescope.llm.packing import Ids, pack_ids
 from salescope.llm.secret_tokens import load_encoder, scan
 from salescope.llm.sharding import balanced_shards
 
 
-def test_passages_of_few_lines_are_removed_whole(spark):
-    """Passages of one to four lines amid lines of their own, as brute force finds them."""
-    rng = random.Random(5)
-    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
-    passages = [[line(60 // k + 1) for _ in range(k)] for k in (1, 1, 2, 2, 3, 4)]
-    rows = []
-    for i in range(40):
-        around = [[line(rng.randint(1, 30)) for _ in range(rng.randint(1, 4))] for _ in range(2)]
-        rows.append((i, "\n".join(around[0] + passages[i % len(passages)] + around[1])))
-    found = {r.doc_id: r for r in drop_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    met = set()
-    for i, text in rows:
-        lines = text.split("\n")
-        kept = [x for x in lines if x not in met or len(x.split()) < LINE_WORDS]
-        met |= set(lines)
-        assert found[i].text.rstrip("\n") == "\n".join(kept)
-        assert found[i].removed_lines == len(lines) - len(kept)
-    assert sum(r.removed_lines for r in found.values()) >= 60
-
-
 def written(tree, rng, space, c):
     """A text that the parsed pattern matches, with the given white space and c or s in licen[sc]e."""
     out = []
