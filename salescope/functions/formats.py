@@ -31,6 +31,11 @@ def money(value: str, decimals: int = 0, grouped: bool = True) -> str:
     return f"concat('$', {fixed(value, decimals, grouped)})"
 
 
+def mixed(value: str, whole: bool, decimals: int = 2) -> str:
+    """A whole number plainly (1234), any other with commas and decimals (1,234.00)."""
+    return f"CAST(CAST({value} AS BIGINT) AS STRING)" if whole else fixed(value, decimals)
+
+
 def percent(value: str, signed: bool = False) -> str:
     """0.1234 -> 12.34%, with a plus sign when asked for."""
     text = f"concat({fixed(f'({value}) * 100', 2, grouped=False)}, '%')"

@@ -11,9 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescope.functions.formats import literal, mixed
 from salescope.functions.quantiles import BUCKET_VALUES, GROUP_ROWS, QUARTILES, describe
 from salescope.functions.stats import mileage_price_label, price_sales_label, safe_corr
-from salescope.schema import drop_null_keys, require_numeric
+from salescope.schema import drop_null_keys, require_numeric, whole_columns
 from salescope.sources.staging import materialize
 
 GLOBAL_LABEL = "Global"
@@ -105,6 +106,22 @@ def stats_columns(
     )
 
 
+def stats_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The statistics of columns as text, one row each: counts, and the ends of a column
+    of whole numbers, plainly; all other figures with commas and two decimals."""
+    whole = whole_columns(df)
+    stats = stats_columns(df, columns)
+
+    def shown(name: str) -> str:
+        fraction, plain = mixed(f"`{name}`", False), mixed(f"`{name}`", True)
+        if name in ("count", "missing"):
+            return plain
+        named = ", ".join(literal(c) for c in columns if c in whole)
+        return f"IF(column IN ({named}), {plain}, {fraction})" if named and name in ("min", "max") else fraction
+
+    return stats.select("column", *[F.expr(shown(c)).alias(c) for c in stats.columns if c != "column"])
+
+
 def stats_grouped(
     df: DataFrame,
     column: str,

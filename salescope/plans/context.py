@@ -2,12 +2,14 @@
 
 One grouping-sets pass over the fact table yields every additive figure of the
 report as one small row per item; it is written once and all sections are built
-from it. Only the quantiles and correlations read the fact table again.
+from it. Only the quantiles and correlations read the fact table again. A measure
+that is absent or not numeric, and an absent group, are reported as not available.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from salescope.functions.formats import (
     fixed,
     joined,
     literal,
+    mixed,
     money,
     percent,
     text,
@@ -30,7 +33,7 @@ from salescope.functions.stats import (
     trend_label,
 )
 from salescope.operators.trends import trend_text
-from salescope.schema import drop_null_keys
+from salescope.schema import drop_null_keys, numeric_columns, whole_columns
 from salescope.sources.sinks import json_record
 from salescope.sources.staging import materialize
 
@@ -71,6 +74,7 @@ SECTION_LINE = "SECTION: %s"
 GROUP_LINE = "* **%s**: Mean %s: %s | Range: %s - %s | Count: %s"
 SUMMARY_LINE = "%s: %s | SUMMARY: %s"
 BREAKDOWN_LINE = "BREAKDOWN_%s: %s"
+NOT_AVAILABLE = "* *Error or data not available for %s statistics.*"
 JSON_HEADING = "--- JSON DATA FOR CHART ANALYSIS ---"
 JSON_NAME = "price_elasticity_scatter_json:"
 
@@ -137,6 +141,21 @@ CATEGORIES = (
 SUMMARY, DYNAMICS = "GLOBAL_PERFORMANCE_SUMMARY", "PRICE_AND_MILEAGE_DYNAMICS"
 PROFILE, VARIATION = "REGIONAL_PROFILE", "REGIONAL_PRICE_VARIATION"
 FIRST_CATEGORY_NO, FIRST_TREND_NO = 5, 5 + len(CATEGORIES)
+# The measures by the names of their figures, and the columns that are not text.
+MEASURES = {"price": "price_usd", "units": "sales_volume", "mileage": "mileage_km", "engine": "engine_size_l"}
+KEY_TYPES = {"year": "int", "mileage_bin_ord": "int", "engine_size": "int", "engine_size_l": "double"}
+# Items of a family that a list or trend shows; no more are ranked.
+TOP_N = 3
+MOST_SHOWN = max(TOP_N, *[n for _l, _f, n in TREND_SECTIONS.values()])
+RANKED = {*TOP_LABELS, *[f for _l, f, _n in TREND_SECTIONS.values()]}
+
+
+def _guarded(df: DataFrame) -> tuple[DataFrame, frozenset[str]]:
+    """The table with empty columns in place of absent ones and of measures that are
+    not numeric, and the names of these columns."""
+    gaps = {c: F.lit(None).cast(KEY_TYPES.get(c, "string")) for c in KEYS if c not in df.columns}
+    gaps |= {c: F.lit(None).cast("double") for c in MEASURES.values() if c not in numeric_columns(df)}
+    return (df.withColumns(gaps) if gaps else df), frozenset(gaps)
 
 
 def _sliced(df: DataFrame, slice_col: str | None) -> DataFrame:
@@ -164,6 +183,7 @@ def _by_set(values: dict[str, str]) -> Column:
 
 # Figures that combine by sum, by minimum or by maximum.
 SUMMED = {
+    "rows_n": "count(1)",
     "units": "CAST(coalesce(sum(sales_volume), 0) AS DOUBLE)",
     "units_n": "count(sales_volume)",
     "revenue": "sum(sales_volume * price_usd)",
@@ -253,7 +273,7 @@ def _array(entries: Sequence[str]) -> str:
     return f"array({', '.join(entries)})"
 
 
-def _top_lists(items: DataFrame, n: int = 3) -> DataFrame:
+def _top_lists(items: DataFrame, n: int = TOP_N) -> DataFrame:
     """Per slice one text column per dimension with its top n items."""
     shown = (
         "concat(item, if(family = 'engine_size_l', 'L', ''), ' (', " + thousands("units") + ", ')')"
@@ -275,11 +295,13 @@ def _top_lists(items: DataFrame, n: int = 3) -> DataFrame:
 
 def _dynamics(facts: DataFrame, rows: int) -> DataFrame:
     """Quantiles and correlations per slice: the figures that are not sums."""
-    measures = {"price": "price_usd", "mileage": "mileage_km", "engine": "engine_size_l"}
+    measures = {m: c for m, c in MEASURES.items() if m != "units"}
     stats = describe(facts, list(measures.values()), by=["slice"], rows=rows)
+    # The ends of a column of whole numbers are whole; all other figures are fractions.
+    plain = {(c, f) for c in whole_columns(facts) for f in ("min", "max")}
     wide = stats.groupBy("slice").agg(
         *[
-            F.expr(f"max(CASE WHEN column = '{c}' THEN {fixed(f'`{f}`', 2)} END) AS {m}_{f}")
+            F.expr(f"max(CASE WHEN column = '{c}' THEN {mixed(f'`{f}`', (c, f) in plain)} END) AS {m}_{f}")
             for m, c in measures.items()
             for f in ("mean", "q25", "q50", "q75", "min", "max")
         ]
@@ -296,8 +318,14 @@ def _dynamics(facts: DataFrame, rows: int) -> DataFrame:
     )
 
 
-def _slice_entries() -> list[str]:
+def _slice_entries(absent: frozenset[str]) -> list[str]:
     """The lines that appear once per slice: figures of the whole and headings."""
+
+    def overall(measure: str, template: str, *figures: str) -> str:
+        if MEASURES[measure] in absent:
+            return literal(NOT_AVAILABLE % MEASURES[measure])
+        return text(template, *[f"{measure}_{f}" for f in figures])
+
     yearly = joined("series", f"concat(CAST(x.year AS STRING), ': ', {thousands('x.units')})")
     summary = [
         literal(TITLE),
@@ -317,23 +345,25 @@ def _slice_entries() -> list[str]:
         literal(DYNAMICS_HEADING),
         literal(RULE),
         literal(STATS_HEADING),
-        text(PRICE_LINE, *[f"price_{f}" for f in ("mean", "q50", "min", "max", "q25", "q75")]),
-        text(MILEAGE_LINE, *[f"mileage_{f}" for f in ("mean", "q50", "max")]),
-        text(ENGINE_LINE, *[f"engine_{f}" for f in ("mean", "q50")]),
+        overall("price", PRICE_LINE, "mean", "q50", "min", "max", "q25", "q75"),
+        overall("mileage", MILEAGE_LINE, "mean", "q50", "max"),
+        overall("engine", ENGINE_LINE, "mean", "q50"),
         literal(CORRELATION_HEADING),
         text(PRICE_SALES_LINE, "price_sales_label", fixed("price_sales", 2)),
         text(MILEAGE_PRICE_LINE, "mileage_price_label", fixed("mileage_price", 2)),
     ]
 
     def heading(number: int, section: str, *lines: str) -> list[str]:
-        return _entries(number, section, [literal(x) for x in lines], order_1="-1.0D")
+        return _entries(number, section, [literal(x) for x in lines], order_1="-1e300D")
 
     entries = _entries(1, SUMMARY, summary) + _entries(2, DYNAMICS, dynamics)
     entries += heading(3, PROFILE, RULE, PROFILE_HEADING, RULE)
     entries += heading(4, VARIATION, VARIATION_HEADING)
-    for i, (title, _family, _figures) in enumerate(CATEGORIES):
+    for i, (title, family, figures) in enumerate(CATEGORIES):
         opening = ["", SECTION_LINE % CATEGORICAL, RULE] if i == 0 else [""]
-        entries += heading(FIRST_CATEGORY_NO + i, CATEGORICAL, *opening, title)
+        missing = [MEASURES[f] for f in figures if {family, MEASURES[f]} & absent]
+        notes = [NOT_AVAILABLE % f"{family} {measure}" for measure in missing]
+        entries += heading(FIRST_CATEGORY_NO + i, CATEGORICAL, *opening, title, *notes)
     for i, section in enumerate(TREND_SECTIONS):
         entries += heading(FIRST_TREND_NO + i, section, "", SECTION_LINE % section, RULE)
     return entries
@@ -350,7 +380,7 @@ def _region_entries() -> list[str]:
     profile = [text(template, piece) for template, piece in zip(PROFILE_LINES, pieces)]
     prices = [money(c, 2, grouped=False) for c in ("avg_price", "max_price", "min_price")]
     variation = text(VARIATION_LINE, "item", *prices)
-    return _entries(3, PROFILE, profile, order_1="position") + _entries(
+    return _entries(3, PROFILE, profile, order_1="-units", order_2="item") + _entries(
         4, VARIATION, [variation], order_2="item"
     )
 
@@ -380,15 +410,19 @@ def _trend_entries(number: int, section: str, label: str) -> list[str]:
     return _entries(number, section, lines, order_1="position")
 
 
-def _all_lines(facts: DataFrame, items: DataFrame, rows: int) -> DataFrame:
-    """Every row of the item table turns into the lines it stands for."""
+def _all_lines(facts: DataFrame, items: DataFrame, rows: int, absent: frozenset[str]) -> DataFrame:
+    """Every row of the item table turns into the lines it stands for.
+
+    Only items that a list or trend shows are ranked: the limit on the position runs
+    before the shuffle, so no task holds all items of a family. The other sections
+    are ordered by their items' own figures.
+    """
     order = Window.partitionBy("slice", "family").orderBy(F.desc("units"), "item_order", "item")
-    ranked = trend_text(
-        items.where("family != 'cell'").withColumn("position", F.row_number().over(order))
-    )
+    ranked = items.where(F.col("family").isin(*sorted(RANKED))).withColumn("position", F.row_number().over(order))
+    ranked = trend_text(ranked.where(F.col("position") <= MOST_SHOWN))
     first, last, years = F.get("series", F.lit(0)), F.get("series", F.size("series") - 1), F.size("series")
     whole = (
-        ranked.where("family = 'total'")
+        items.where("family = 'total'")
         .join(_top_lists(ranked), "slice", "left")
         .join(_dynamics(facts, rows), "slice", "left")
         .withColumns(
@@ -399,20 +433,27 @@ def _all_lines(facts: DataFrame, items: DataFrame, rows: int) -> DataFrame:
             }
         )
         .withColumn("trend", F.upper(trend_label(F.col("cagr"))))
-        .select("slice", F.expr(f"inline({_array(_slice_entries())})"))
+        .select("slice", F.expr(f"inline({_array(_slice_entries(absent))})"))
     )
 
     # The lines of an item depend on its family; a trend shows its top items only.
     parts = [f"IF(family = 'region', {_array(_region_entries())}, NULL)"]
     for i, (_title, name, figures) in enumerate(CATEGORIES):
-        lines = _array(_category_entries(FIRST_CATEGORY_NO + i, figures))
-        parts.append(f"IF(family = '{name}', {lines}, NULL)")
-    for i, (section, (label, name, n)) in enumerate(TREND_SECTIONS.items()):
-        lines = _array(_trend_entries(FIRST_TREND_NO + i, section, label))
-        parts.append(f"IF(family = '{name}' AND position <= {n}, {lines}, NULL)")
-    details = ranked.where("family != 'total'").select(
+        shown = [f for f in figures if MEASURES[f] not in absent]
+        if shown:
+            lines = _array(_category_entries(FIRST_CATEGORY_NO + i, shown))
+            parts.append(f"IF(family = '{name}', {lines}, NULL)")
+    trends = [
+        f"IF(family = '{name}' AND position <= {n}, {_array(_trend_entries(FIRST_TREND_NO + i, section, label))}, NULL)"
+        for i, (section, (label, name, n)) in enumerate(TREND_SECTIONS.items())
+    ]
+    families = ["region", *[name for _t, name, _f in CATEGORIES]]
+    details = items.where(F.col("family").isin(*families)).select(
         "slice", F.expr(f"inline(flatten(array_compact({_array(parts)})))")
     )
+    details = details.unionByName(
+        ranked.select("slice", F.expr(f"inline(flatten(array_compact({_array(trends)})))"))
+    )
 
     # One section of one slice per partition: as many lines as it has items.
     reading = Window.partitionBy("slice", "section_no").orderBy("order_1", "order_2", "line_no")
@@ -421,11 +462,30 @@ def _all_lines(facts: DataFrame, items: DataFrame, rows: int) -> DataFrame:
     )
 
 
+class Context(NamedTuple):
+    """The lines in no order, the written item table behind them, and the table's rows."""
+
+    lines: DataFrame
+    items: DataFrame
+    rows: int
+
+
+def build_context(df: DataFrame, slice_col: str | None = None, observed: DataFrame | None = None) -> Context:
+    """What lines and prompts are made of, from one pass over the items.
+
+    ``observed`` is the same table with an observation on it: it is read in its place
+    by that first pass, and only there. Its rows are counted on the way.
+    """
+    facts, absent = _guarded(_sliced(df, slice_col))
+    first = facts if observed is None else _guarded(_sliced(observed, slice_col))[0]
+    items = materialize(report_items(first), "report-items")
+    rows = items.where("family = 'total'").agg(F.sum("rows_n")).first()[0] or 0
+    return Context(_all_lines(facts, items, rows, absent), items, rows)
+
+
 def context_lines(df: DataFrame, slice_col: str | None = None) -> DataFrame:
     """The context as (slice, section_no, section, seq, line), in reading order."""
-    facts = _sliced(df, slice_col)
-    items = materialize(report_items(facts), "report-items")
-    return _all_lines(facts, items, facts.count()).orderBy("slice", "section_no", "seq")
+    return build_context(df, slice_col).lines.orderBy("slice", "section_no", "seq")
 
 
 def _chart_json(items: DataFrame) -> DataFrame:
@@ -466,18 +526,18 @@ def prompt_rows(
     directives: str = DEFAULT_DIRECTIVES,
     role: str = DEFAULT_ROLE,
     task: str = DEFAULT_TASK,
+    built: Context | None = None,
 ) -> DataFrame:
     """One prompt per slice, for any batch inference job.
 
     A prompt gathers its slice's lines into one text; their number follows the
-    distinct groups shown in a report, not the rows of the table.
+    distinct groups shown in a report, not the rows of the table. With ``built`` the
+    table is not read again.
     """
-    facts = _sliced(df, slice_col)
-    items = materialize(report_items(facts), "report-items")
+    lines, items, _ = build_context(df, slice_col) if built is None else built
     line = F.struct("section_no", "seq", "line")
     texts = (
-        _all_lines(facts, items, facts.count())
-        .groupBy("slice")
+        lines.groupBy("slice")
         .agg(
             F.array_join(
                 F.transform(F.sort_array(F.collect_list(line)), lambda x: x["line"]), "\n"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
     FloatType,
+    IntegralType,
     NumericType,
     StringType,
     StructField,
@@ -78,6 +79,11 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
+def whole_columns(df: DataFrame) -> list[str]:
+    """Columns of a type without fractions."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, IntegralType)]
+
+
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
 

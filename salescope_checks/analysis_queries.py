@@ -254,6 +254,18 @@ fact(
     .withColumnRenamed("units", "global_units"),
     f"SELECT year, {UNITS} AS global_units, 'Global' AS series FROM fact GROUP BY year",
 )
+TWO = "format('{{:,.2f}}', round({}, 6))"
+fact(
+    "fmt_mixed",
+    lambda df: aggregate.stats_text(df, ["sales_volume", "price_usd"]),
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {TWO.format(f'avg({c})')} AS mean, {TWO.format(f'median({c})')} AS median, "
+        f"{TWO.format(f'stddev_samp({c})')} AS std, {ends.format(f'min({c})')} AS min, {ends.format(f'max({c})')} AS max, "
+        + "".join(f"{TWO.format(f'quantile_cont({c}, {q / 100})')} AS q{q}, " for q in (25, 50, 75))
+        + f"CAST(count({c}) AS VARCHAR) AS count, CAST(count(*) - count({c}) AS VARCHAR) AS missing FROM fact"
+        for c, ends in (("sales_volume", "CAST({} AS VARCHAR)"), ("price_usd", TWO))
+    ),
+)
 fact(
     "arith",
     lambda df: aggregate.with_revenue(df)

@@ -357,7 +357,7 @@ add(
 )
 
 
-def _report_sql(table: str) -> str:
+def quality_sql(table: str) -> str:
     checks = [
         ("duplicates", "*", "warning", f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {table}))",
          "'Found ' || n || ' duplicate rows'"),
@@ -376,18 +376,18 @@ def _report_sql(table: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-add("dq_report", lambda s, d: quality.quality_report(clean_fact(s, d)), on_clean(_report_sql("clean")))
+add("dq_report", lambda s, d: quality.quality_report(clean_fact(s, d)), on_clean(quality_sql("clean")))
 add(
     "dq_summary",
     lambda s, d: quality.quality_summary(quality.quality_report(clean_fact(s, d))),
     on_clean(
         "SELECT count(*) FILTER (WHERE severity = 'error') = 0 AS passed, "
         "count(*) FILTER (WHERE severity = 'error') AS errors, "
-        f"count(*) FILTER (WHERE severity = 'warning') AS warnings FROM ({_report_sql('clean')})"
+        f"count(*) FILTER (WHERE severity = 'warning') AS warnings FROM ({quality_sql('clean')})"
     ),
 )
 add(
     "dq_gate",
     lambda s, d: quality.quality_gate(clean.clean_sales(_plain(s, d))),
-    on_clean_sales(_report_sql("clean")),
+    on_clean_sales(quality_sql("clean")),
 )

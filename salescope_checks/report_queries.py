@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salescope_checks.catalog import add
-from salescope_checks.tables import on_clean, on_sales
+from salescope_checks.load_queries import quality_sql
+from salescope_checks.tables import DIRTY, cleaning, on_clean, on_sales, with_tables
 from salescope.operators import rules
-from salescope.plans import context
+from salescope.plans import charts, context, report
 from salescope.sources import sinks
 from salescope.sources.staging import materialize, new_path
-from salescope.sources.star import clean_fact, sales_fact
+from salescope.sources.star import clean_fact, dirty_fact, sales_fact
 
 
 def number(value: str, decimals: int = 0, grouped: bool = True) -> str:
@@ -264,3 +266,50 @@ def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 add("prompt_rows", _prompts, with_context(on_sales(""), "fact", prompt_sql("region"), "region"))
+
+
+def _run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a whole run over a file with gaps, repeated rows and impossible years leaves behind."""
+    source, out = new_path(spark, "input") + ".parquet", new_path(spark, "run")
+    dirty_fact(spark, sf_dir).withColumn("price_usd", F.abs("price_usd")).write.parquet(source)
+    record = report.run_report(spark, report.ReportConfig(source, out, model_name="any-model"))
+    counted = {
+        "context lines": spark.read.text(f"{out}/context"),
+        "prompts": spark.read.parquet(f"{out}/prompts"),
+        **{f"chart {name}": spark.read.parquet(f"{out}/charts/{name}") for name in charts.CHARTS},
+    }
+    result = record.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("n")) for c in ("rows_read", "total_records", "removed_records")]))
+    ).unionByName(record.select(F.explode("warnings").alias("name"), F.lit(1).cast("bigint").alias("n")))
+    for name, table in counted.items():
+        result = result.unionByName(table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n"))
+    return result
+
+
+POSITIVE = "positive AS (SELECT * REPLACE (abs(price_usd) AS price_usd) FROM dirty)"
+COUNTS = {
+    "rows_read": "SELECT count(*) FROM clean",
+    "total_records": f"SELECT count(*) FROM {VALID}",
+    "removed_records": f"SELECT (SELECT count(*) FROM clean) - (SELECT count(*) FROM {VALID})",
+    "context lines": "SELECT count(*) FROM lines",
+    "prompts": "SELECT 1",
+    "chart combined_sales_trend": "SELECT count(*) FROM (SELECT DISTINCT year, region FROM facts WHERE year IS NOT NULL "
+    "AND region IS NOT NULL) UNION ALL SELECT count(DISTINCT year) FROM facts",
+    "chart top_models_sales": "SELECT count(*) FROM (SELECT DISTINCT model, year, fuel_type FROM facts WHERE year IS NOT NULL "
+    "AND fuel_type IS NOT NULL AND model IN (SELECT model FROM facts WHERE model IS NOT NULL GROUP BY model "
+    "ORDER BY sum(sales_volume) DESC, model LIMIT 10))",
+    "chart price_elasticity": "SELECT count(*) FROM (SELECT DISTINCT transmission, fuel_type FROM facts)",
+    "chart engine_price_box": "SELECT count(*) FROM (SELECT DISTINCT engine_size, fuel_type FROM facts)",
+}
+add(
+    "report_run",
+    _run,
+    with_context(
+        with_tables("", DIRTY, POSITIVE, cleaning("positive")),
+        VALID,
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS name, CAST(sum(n) AS BIGINT) AS n FROM ({sql}) counted(n)" for name, sql in COUNTS.items()
+        )
+        + f" UNION ALL SELECT message AS name, CAST(1 AS BIGINT) AS n FROM ({quality_sql('clean')})",
+    ),
+)

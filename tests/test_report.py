@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from salescope.operators.aggregate import stats_text
 from salescope.operators.clean import clean_sales
 from salescope.operators.quality import DataQualityError
 from salescope.plans import context, report
@@ -85,6 +86,8 @@ def test_run_report_end_to_end(make, spark, tmp_path):
     config = report.ReportConfig(str(tmp_path / "in.csv"), str(tmp_path / "out"), model_name="m")
     row = report.run_report(spark, config).first()
     assert (row["total_records"], row["validation_status"], row["model"]) == (3, "Passed", "m")
+    assert (row["rows_read"], row["removed_records"], len(row["warnings"])) == (4, 1, 0)
+    assert spark.read.parquet(str(tmp_path / "out/summary")).first() == row
     assert spark.read.parquet(str(tmp_path / "out/prompts")).count() == 1
     for name in ("combined_sales_trend", "top_models_sales", "price_elasticity", "engine_price_box"):
         assert spark.read.parquet(str(tmp_path / "out/charts" / name)).count() > 0
@@ -120,3 +123,50 @@ def test_unreadable_sources(spark, make, tmp_path):
 
 def test_staging_follows_the_session(spark):
     assert staging_root(spark) == spark.conf.get("spark.checkpoint.dir", staging_root(spark))
+
+
+def test_warnings_of_the_gate_are_in_the_record(make, spark, tmp_path):
+    path = str(tmp_path / "in.parquet")
+    make({}, {}, {"price_usd": 5000.0, "year": 2021.0}, {"year": 2040.0}).write.parquet(path)
+    row = report.run_report(spark, report.ReportConfig(path, str(tmp_path / "out"))).first()
+    assert row["warnings"] == [
+        "Found 1 duplicate rows",
+        "Found 1 rows with unrealistic years",
+        "Found 1 rows with unusual prices (< $10k or > $800k)",
+    ]
+    assert (row["rows_read"], row["total_records"], row["removed_records"]) == (4, 3, 1)
+    assert spark.read.parquet(str(tmp_path / "out/warnings")).count() == 3
+
+
+def test_prompts_of_built_lines_are_the_same_and_read_nothing_again(facts):
+    built = context.build_context(facts, "region")
+    assert built.rows == 3
+    assert sorted(context.prompt_rows(facts, "region", built=built).collect()) == sorted(context.prompt_rows(facts, "region").collect())
+
+
+@pytest.mark.parametrize("column", ["price_usd", "mileage_km", "engine_size_l"])
+@pytest.mark.parametrize("as_text", [True, False])
+def test_a_measure_that_is_no_number_is_not_available(facts, column, as_text):
+    odd = facts.withColumn(column, facts[column].cast("string")) if as_text else facts.drop(column)
+    lines = text(context.context_lines(odd))
+    assert f"* *Error or data not available for {column} statistics.*" in lines
+    assert "* **Total Sales Volume:** 1,254 units" in lines
+    priced = any("Mean Price:" in line and "Count" in line for line in lines)
+    assert priced == (column != "price_usd")
+    noted = "* *Error or data not available for model price_usd statistics.*" in lines
+    assert noted == (column == "price_usd")
+
+
+def test_an_absent_group_is_not_available(facts):
+    lines = text(context.context_lines(facts.drop("transmission", "color")))
+    assert "* *Error or data not available for transmission price_usd statistics.*" in lines
+    assert "* **Top 3 Colors:** N/A" in lines or "* **Top 3 Colors:** " in lines
+    assert any(line.startswith("FUEL_TYPE: ") for line in lines)
+    assert not any(line.startswith("TRANSMISSION: ") for line in lines)
+
+
+def test_whole_numbers_are_shown_plainly(spark):
+    df = spark.createDataFrame([(1234, 0.5), (5678, None)], "units long, price double")
+    rows = {r["column"]: r for r in stats_text(df, ["units", "price"]).collect()}
+    assert (rows["units"]["min"], rows["units"]["max"], rows["units"]["mean"]) == ("1234", "5678", "3,456.00")
+    assert (rows["price"]["min"], rows["price"]["count"], rows["price"]["missing"]) == ("0.50", "1", "1")
