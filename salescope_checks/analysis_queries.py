@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from salescope_checks.catalog import add
-from salescope_checks.load_queries import CELLS, table_sink
+from salescope_checks.load_queries import CELLS, CHART_CELLS, table_sink
 from salescope_checks.tables import on_clean, on_dirty, on_sales
 from salescope.functions import formats
 from salescope.operators import aggregate, insights, rank, trends
@@ -531,4 +531,16 @@ add(
 fact("chart_top_models", charts.top_models, TOP_MODEL_YEARS)
 fact("chart_price_elasticity", charts.price_elasticity, CELLS, "avg_price_usd avg_engine_size")
 fact("chart_engine_price", charts.engine_price, BOX, BOX_DOUBLES)
-add("table_sink", table_sink, on_sales(CHART_1))
+CHART_SQL = dict(zip(CHART_CELLS, (CHART_1, TOP_MODEL_YEARS, CELLS, BOX)))
+add(
+    "table_sink",
+    table_sink,
+    on_sales(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS chart, CAST({one} AS VARCHAR) AS one, CAST({two} AS VARCHAR) AS two, "
+            f"CAST({figure} AS DOUBLE) AS figure FROM ({CHART_SQL[name]})"
+            for name, (one, two, figure) in CHART_CELLS.items()
+        )
+    ),
+    "figure",
+)

@@ -103,9 +103,26 @@ add(
 )
 
 
+# Written chart -> two keys and a figure that its query compares.
+CHART_CELLS = {
+    "combined_sales_trend": ("year", "region", "units"),
+    "top_models_sales": ("model || ' ' || fuel_type", "year", "units"),
+    "price_elasticity": ("transmission", "fuel_type", "avg_price_usd"),
+    "engine_price_box": ("engine_size", "fuel_type", "median"),
+}
+
+
 def table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = charts.write_charts(sales_fact(spark, sf_dir), new_path(spark, "charts"))[0]
-    return spark.read.parquet(path)
+    """All four written tables, read back: their keys and one figure of each."""
+    out = None
+    for path in charts.write_charts(sales_fact(spark, sf_dir), new_path(spark, "charts")):
+        name = path.rsplit("/", 1)[1]
+        one, two, figure = CHART_CELLS[name]
+        cells = spark.read.parquet(path).selectExpr(
+            f"'{name}' AS chart", f"CAST({one} AS STRING) AS one", f"CAST({two} AS STRING) AS two", f"CAST({figure} AS DOUBLE) AS figure"
+        )
+        out = cells if out is None else out.unionByName(cells)
+    return out
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
