@@ -6,8 +6,9 @@ and 3 within the word) and its lexicon entry (the whole word); transitions betwe
 neighbouring words are learned too. Forward-backward over the whole text gives the
 marginals; their mean over the words decides the document.
 
-The field is fitted on a bounded, repeatable sample of labelled documents: windows of
-several languages are joined into training sequences, so switches are seen.
+The field is fitted on a bounded, repeatable sample of labelled documents, of which at
+most ``SAMPLE_WORDS`` words of each language are used: windows of several languages are
+joined into training sequences, so switches are seen. Prediction reads whole texts.
 """
 
 from __future__ import annotations
