@@ -53,10 +53,14 @@ def yearly_region_units(df: DataFrame) -> DataFrame:
     return units_by(df, ["year", "region"]).orderBy("year", "region")
 
 
+def global_series(df: DataFrame, group: str = "region") -> DataFrame:
+    """Yearly units of all rows, labelled as a group of their own."""
+    return units_by(df, ["year"]).withColumn(group, F.lit(GLOBAL_LABEL))
+
+
 def union_global(df: DataFrame, group: str = "region") -> DataFrame:
     """Regional yearly units followed by a global series, as a union."""
-    overall = units_by(df, ["year"]).withColumn(group, F.lit(GLOBAL_LABEL))
-    return units_by(df, ["year", group]).unionByName(overall)
+    return units_by(df, ["year", group]).unionByName(global_series(df, group))
 
 
 def rollup_global(df: DataFrame, group: str = "region") -> DataFrame:
@@ -206,9 +210,13 @@ def box_stats(
     return boxes.join(whiskers, by)
 
 
+def box_points(df: DataFrame) -> DataFrame:
+    """The rows that have all that a price box needs."""
+    return df.dropna(subset=["engine_size_l", "price_usd", "fuel_type"])
+
+
 def chart_box(
     df: DataFrame, group_rows: int = GROUP_ROWS, bucket_values: int = BUCKET_VALUES
 ) -> DataFrame:
     """Price boxes by whole engine size and fuel."""
-    complete = df.dropna(subset=["engine_size_l", "price_usd", "fuel_type"])
-    return box_stats(complete, "price_usd", ["engine_size", "fuel_type"], group_rows, bucket_values)
+    return box_stats(box_points(df), "price_usd", ["engine_size", "fuel_type"], group_rows, bucket_values)

@@ -249,10 +249,8 @@ add(
 )
 fact(
     "label_rename",
-    lambda df: aggregate.units_by(df, ["year"])
-    .withColumn("series", F.lit(aggregate.GLOBAL_LABEL))
-    .withColumnRenamed("units", "global_units"),
-    f"SELECT year, {UNITS} AS global_units, 'Global' AS series FROM fact GROUP BY year",
+    aggregate.global_series,
+    f"SELECT year, {UNITS} AS units, 'Global' AS region FROM fact GROUP BY year",
 )
 TWO = "format('{{:,.2f}}', round({}, 6))"
 fact(
@@ -373,8 +371,8 @@ fact(
 )
 fact(
     "str_join",
-    lambda df: df.select("region", "year").distinct().groupBy("region").agg(
-        F.expr("listagg(CAST(year AS STRING), ', ') WITHIN GROUP (ORDER BY CAST(year AS STRING))").alias("years")
+    lambda df: trends.item_series(df, "region").select(
+        "region", F.expr(formats.joined("series", "CAST(x.year AS STRING)")).alias("years")
     ),
     "SELECT region, string_agg(CAST(year AS VARCHAR), ', ' ORDER BY year) AS years "
     "FROM (SELECT DISTINCT region, year FROM fact) GROUP BY region",

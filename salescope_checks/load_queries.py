@@ -238,17 +238,21 @@ add(
 )
 add(
     "dropna_subset",
-    lambda s, d: dirty_fact(s, d).dropna(subset=["engine_size_l", "price_usd", "fuel_type"]),
+    lambda s, d: aggregate.box_points(dirty_fact(s, d)),
     on_dirty("SELECT * FROM dirty WHERE engine_size_l IS NOT NULL AND price_usd IS NOT NULL AND fuel_type IS NOT NULL"),
 )
 add(
     "dropna_any",
-    lambda s, d: dirty_fact(s, d).groupBy("region", "year").agg(F.avg("mileage_km").alias("avg_mileage")).dropna("any"),
+    # Without prices in one fuel, its cells have a gap and go.
+    lambda s, d: aggregate.fuel_transmission(
+        dirty_fact(s, d).withColumn("price_usd", F.when(F.col("fuel_type") != "MACHINERY", F.col("price_usd")))
+    ),
     on_dirty(
-        "SELECT * FROM (SELECT region, year, avg(mileage_km) AS avg_mileage FROM dirty GROUP BY ALL) "
-        "WHERE region IS NOT NULL AND year IS NOT NULL AND avg_mileage IS NOT NULL"
+        "SELECT transmission, fuel_type, avg(price_usd) AS avg_price_usd, CAST(sum(sales_volume) AS BIGINT) "
+        "AS total_sales_volume, avg(engine_size_l) AS avg_engine_size FROM dirty "
+        "WHERE transmission IS NOT NULL AND fuel_type <> 'MACHINERY' GROUP BY ALL"
     ),
-    "avg_mileage",
+    "avg_price_usd avg_engine_size",
 )
 add(
     "null_fn",
