@@ -35,15 +35,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark).rstrip('/')}/salescope/{name}-{uuid.uuid4().hex}"
 
 
-def write_staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write ``df`` as Parquet and return the path.
-
-    With ``partition_by`` the rows are first brought together by these columns
-    and split into files of an even size, however skewed the columns are.
-    """
+def write_staged(df: DataFrame, name: str) -> str:
+    """Write ``df`` as Parquet, its rows where they are, and return the path."""
     path = new_path(df.sparkSession, name)
-    rows = df.hint("rebalance", *partition_by) if partition_by else df
-    rows.write.partitionBy(*partition_by).parquet(path)
+    df.write.parquet(path)
     return path
 
 

@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from salescope.operators.clean import clean_sales, derive_columns
+from salescope.schema import REQUIRED_COLUMNS
 from salescope.sources.staging import read_staged, write_staged
 
-FAULT_KEYS = ("o_orderkey", "o_custkey", "l_partkey", "l_linenumber")
 _staged: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No join hints: file sizes decide what is broadcast and what is shuffled."""
+def _joined(spark: SparkSession, sf_dir: str, of_line: dict[str, Column], of_order: dict[str, Column]) -> DataFrame:
+    """Line items with parts and orders, with what is made of their columns alone.
+
+    No join hints: file sizes decide what is broadcast and what is shuffled. Columns are
+    made before the joins, so that a line item travels with its own figures to the parts
+    and with theirs to the orders, which come last: lines of an order end up side by side.
+    """
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,59 +28,66 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
         table("customer")
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", "c_mktsegment", "r_name")
+        .select("c_custkey", F.col("c_mktsegment").alias("fuel_type"), F.col("r_name").alias("region"))
+    )
+    orders = (
+        table("orders")
+        .select("o_orderkey", "o_custkey", *[c.alias(n) for n, c in of_order.items()])
+        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        .drop("o_custkey", "c_custkey")
+    )
+    parts = table("part").select(
+        "p_partkey",
+        F.col("p_brand").alias("model"),
+        F.col("p_type").alias("color"),
+        (F.lit(1.5) + (F.col("p_size") % 6) * F.lit(0.5)).alias("engine_size_l"),
+    )
+    lines = table("lineitem").select(
+        "l_orderkey", "l_partkey", F.col("l_linestatus").alias("transmission"), *[c.alias(n) for n, c in of_line.items()]
     )
-    orders = table("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     return (
-        table("lineitem")
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .drop("l_partkey", "p_partkey")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
     )
 
 
-def _sales_columns() -> dict[str, Column]:
+def _order_columns() -> dict[str, Column]:
     return {
-        "model": F.col("p_brand"),
         "year": F.year("o_orderdate"),
-        "region": F.col("r_name"),
-        "color": F.col("p_type"),
-        "fuel_type": F.col("c_mktsegment"),
-        "transmission": F.col("l_linestatus"),
-        "engine_size_l": F.lit(1.5) + (F.col("p_size") % 6) * F.lit(0.5),
         "mileage_km": (F.floor(F.col("o_totalprice") / 10000) * 5000).cast("double"),
-        "price_usd": F.col("l_extendedprice"),
-        "sales_volume": F.col("l_quantity").cast("bigint"),
     }
 
 
+def _line_columns() -> dict[str, Column]:
+    return {"price_usd": F.col("l_extendedprice"), "sales_volume": F.col("l_quantity").cast("bigint")}
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sales record per line item."""
-    return _joined(spark, sf_dir).select(*[c.alias(n) for n, c in _sales_columns().items()])
+    return _joined(spark, sf_dir, _line_columns(), _order_columns()).select(*REQUIRED_COLUMNS)
 
 
 def dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``sales`` with repeated rows, gaps, negative prices and impossible years."""
-    rows = _joined(spark, sf_dir).select(
-        *[c.alias(n) for n, c in _sales_columns().items()], *FAULT_KEYS
-    )
     order, customer = F.col("o_orderkey"), F.col("o_custkey")
     line = F.col("l_partkey") + F.col("l_linenumber")
+    of_line, of_order = _line_columns(), _order_columns()
+    of_line["price_usd"] = F.when(line % 11 != 0, of_line["price_usd"])
+    of_line["sales_volume"] = F.when(line % 13 != 0, of_line["sales_volume"])
+    of_order["year"] = F.when(order % 307 == 0, 1975).when(order % 401 == 0, 2035).otherwise(of_order["year"])
+    of_order["mileage_km"] = F.when(customer % 29 != 0, of_order["mileage_km"])
     copies = F.when(order % 503 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return (
-        rows.withColumn("copy", F.explode(copies))
+        _joined(spark, sf_dir, of_line, of_order)
+        .withColumn("copy", F.explode(copies))
         .withColumns(
             {
-                "year": F.when(order % 307 == 0, 1975).when(order % 401 == 0, 2035).otherwise(F.col("year")),
                 "region": F.when(order % 101 != 0, F.col("region")),
-                "mileage_km": F.when(customer % 29 != 0, F.col("mileage_km")),
-                "price_usd": F.when(
-                    line % 11 != 0,
-                    F.when(order % 211 == 0, -F.col("price_usd")).otherwise(F.col("price_usd")),
-                ),
-                "sales_volume": F.when(line % 13 != 0, F.col("sales_volume")),
+                "price_usd": F.when(order % 211 == 0, -F.col("price_usd")).otherwise(F.col("price_usd")),
             }
         )
-        .drop("copy", *FAULT_KEYS)
+        .select(*REQUIRED_COLUMNS)
     )
 
 
@@ -84,7 +96,7 @@ def _stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _staged:
         df = build(spark, sf_dir)
-        _staged[key] = (write_staged(df, name, partition_by=("year",)), df.schema)
+        _staged[key] = (write_staged(df, name), df.schema)
     return read_staged(spark, *_staged[key])
 
 
