@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from salescope.functions.formats import fixed
@@ -20,6 +20,8 @@ from salescope.schema import (
 )
 from salescope.sources.staging import materialize
 
+# So many row hashes may be broadcast: 8 MB of them.
+BROADCAST_HASHES = 1_000_000
 # The messages of the quality report.
 DUPLICATES_MESSAGE = "Found %s duplicate rows"
 NEGATIVE_MESSAGE = "%s has %s negative values"
@@ -54,15 +56,26 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
     Only 8-byte row hashes are shuffled at first. Rows whose hash occurs more than
     once are then compared in full, so colliding hashes do no harm; copies of a row
-    combine map-side, however many there are. The repeated hashes are a written
-    table of known size, so Catalyst picks the join.
+    combine map-side, however many there are. A bounded number of repeated hashes is
+    broadcast, so that the other rows stay where they are. Where there are more, or most
+    rows repeat, all rows are compared without a join, whose shuffle would carry each copy.
     """
-    hashed = df.withColumn("row_hash", F.xxhash64(*df.columns))
-    repeated = hashed.groupBy("row_hash").count().where("count > 1").select("row_hash")
-    repeated = materialize(repeated, "repeated-hashes")
-    if repeated.isEmpty():  # the usual case: the table is not read again
+    hashed, seen = df.withColumn("row_hash", F.xxhash64(*df.columns)), Observation()
+    repeats = F.col("count") > 1
+    counted = hashed.groupBy("row_hash").count()
+    counted = counted.observe(
+        seen,
+        F.count_if(repeats).alias("hashes"),
+        F.coalesce(F.sum(F.when(repeats, F.col("count"))), F.lit(0)).alias("suspects"),
+        F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
+    )
+    repeated = materialize(counted.where(repeats).select("row_hash"), "repeated-hashes")
+    found = seen.get
+    if found["hashes"] == 0:  # the usual case: the table is not read again
         return df.sparkSession.range(0, 1, 1, 1).select(F.lit(0).cast("bigint").alias("duplicate_rows"))
-    suspects = hashed.join(repeated, "row_hash", "left_semi")
+    suspects = df
+    if found["hashes"] <= BROADCAST_HASHES and 2 * found["suspects"] <= found["rows"]:
+        suspects = hashed.join(F.broadcast(repeated), "row_hash", "left_semi")
     return (
         suspects.groupBy(*df.columns)
         .agg(F.count(F.lit(1)).alias("copies"))

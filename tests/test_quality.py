@@ -37,6 +37,23 @@ def test_very_many_repeated_hashes(spark):
     assert quality.duplicate_rows(df).first()[0] == want
 
 
+@pytest.mark.parametrize("copied, join", [(10, True), (1900, False)])
+def test_rows_without_a_copy_stay_where_they_are(spark, copied, join):
+    """A few repeated hashes are broadcast, whatever Catalyst would do; if most rows
+    repeat, copies combine before a shuffle instead of travelling to a join."""
+    once = spark.range(2000).selectExpr("id AS a", "concat('x', id) AS b")
+    df = once.unionByName(once.where(f"a < {copied}"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counted = quality.duplicate_rows(df)
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert counted.first()[0] == copied
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert ("BroadcastHashJoin" in plan) == join and "SortMergeJoin" not in plan
+
+
 def test_bin_numbers_are_no_data(make):
     """A gap in a binned column is one gap; its labels are not checked for typos."""
     df = clean.derive_columns(make(*[{"mileage_km": -1.0 - i} for i in range(10)]))
