@@ -194,6 +194,17 @@ def counted_quantiles(
     return cut_quantiles(long, sizes, keys, probs, bucket_values)
 
 
+def group_quantiles(
+    df: DataFrame, values: Sequence[str], by: Sequence[str], probs: Mapping[str, float], bucket_values: int = BUCKET_VALUES
+) -> DataFrame:
+    """(by, column, quantiles) of groups of any size that have values, from the counts of
+    their buckets. Reads ``df`` twice; the first scan runs at once."""
+    keys = [*by, "column"]
+    long = long_values(df, values, by)
+    counted = long.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("rows"))
+    return cut_quantiles(long, materialize(counted, "histogram"), keys, probs, bucket_values)
+
+
 def describe(
     df: DataFrame,
     values: Sequence[str],

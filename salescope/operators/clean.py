@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
-from salescope.functions.quantiles import GROUP_ROWS, counted_quantiles, describe, value_counts
+from salescope.functions.quantiles import GROUP_ROWS, counted_quantiles, describe, group_quantiles, value_counts
 from salescope.functions.stats import bin_right_closed
 from salescope.schema import (
     BINS_OF,
@@ -18,6 +18,7 @@ from salescope.schema import (
     MILEAGE_LABELS,
     NUMERIC_COLUMNS,
     REQUIRED_COLUMNS,
+    drop_null_keys,
     nan_to_null,
     normalize_headers,
     numeric_columns,
@@ -61,12 +62,17 @@ def join_groups(
     return dealt.join(copies.drop(PARTS), [*keys, PART], "left").drop(PART)
 
 
+def _sizes(targets: Sequence[str]) -> list[Column]:
+    """The size of a group and its gaps, as aggregates."""
+    gaps = [F.count_if(F.col(t).isNull()).alias(f"{t}__gaps") for t in targets]
+    return [F.count(F.lit(1)).alias(SIZE), *gaps]
+
+
 def _medians(rows: DataFrame, keys: Sequence[str], targets: Sequence[str]) -> DataFrame:
     """One row per group of ordinary size, from a sorted array per target."""
     values = {t: F.col(t).cast("double") for t in targets}
     arrays = [F.sort_array(F.collect_list(F.when(~F.isnan(v), v))).alias(t) for t, v in values.items()]
-    gaps = [F.count_if(F.col(t).isNull()).alias(f"{t}__gaps") for t in targets]
-    grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE), *gaps, *arrays)
+    grouped = rows.groupBy(*keys).agg(*_sizes(targets), *arrays)
 
     def middle(t: str) -> Column:
         n = F.size(t)
@@ -75,14 +81,14 @@ def _medians(rows: DataFrame, keys: Sequence[str], targets: Sequence[str]) -> Da
     return grouped.select(*keys, SIZE, *[f"{t}__gaps" for t in targets], *[middle(t) for t in targets])
 
 
-def _large_medians(rows: DataFrame, keys: Sequence[str], targets: Sequence[str]) -> DataFrame:
-    """The same of groups too large for one task, selected from their histograms."""
-    long = describe(rows, targets, keys, MEDIAN, group_rows=0)
-    total = F.max(F.col("n") + F.col("missing")).alias(SIZE)
+def _large_medians(rows: DataFrame, large: DataFrame, keys: Sequence[str], targets: Sequence[str]) -> DataFrame:
+    """The same of the written groups too large for one task, selected from their
+    histograms. Their rows are written first: two scans read them, and none joins again."""
+    rows = materialize(drop_null_keys(rows.join(large.select(*keys), list(keys), "left_semi"), keys), "rows-of-large-groups")
+    long = group_quantiles(rows, targets, keys, MEDIAN)
     of = {t: F.col("column") == t for t in targets}
-    gaps = rows.groupBy(*keys).agg(*[F.count_if(F.col(t).isNull()).alias(f"{t}__gaps") for t in targets])
-    found = long.groupBy(*keys).agg(total, *[F.max(F.when(of[t], F.col("median"))).alias(f"{t}__median") for t in targets])
-    return found.join(gaps, list(keys)).select(
+    found = long.groupBy(*keys).agg(*[F.max(F.when(of[t], F.col("median"))).alias(f"{t}__median") for t in targets])
+    return large.join(found, list(keys), "left").select(
         *keys, SIZE, *[f"{t}__gaps" for t in targets], *[f"{t}__median" for t in targets]
     )
 
@@ -100,13 +106,12 @@ def group_medians(
     rows = materialize(rows.observe(seen, F.count(F.lit(1)).alias("rows")), "rows-of-open-groups")
     if seen.get["rows"] <= group_rows:  # so no group has more
         return materialize(_medians(rows, keys, targets), "group-medians")
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
-    large = materialize(sizes.where(F.col("size") > group_rows).select(*keys), "large-groups")
-    ordinary = _medians(rows.join(large, list(keys), "left_anti"), keys, targets)
-    if not large.isEmpty():
-        large_rows = rows.join(large, list(keys), "left_semi")
-        ordinary = ordinary.unionByName(_large_medians(large_rows, keys, targets))
-    return materialize(ordinary, "group-medians")
+    sizes = rows.groupBy(*keys).agg(*_sizes(targets))
+    large = materialize(sizes.where(F.col(SIZE) > group_rows), "large-groups")
+    if large.isEmpty():
+        return materialize(_medians(rows, keys, targets), "group-medians")
+    ordinary = _medians(rows.join(large.select(*keys), list(keys), "left_anti"), keys, targets)
+    return materialize(ordinary.unionByName(_large_medians(rows, large, keys, targets)), "group-medians")
 
 
 def join_group_stat(

@@ -109,6 +109,29 @@ def test_imputation_reads_the_table_four_times_at_most(spark, monkeypatch):
     assert plans[-1].where("price_usd IS NULL OR year IS NULL").isEmpty()
 
 
+def test_rows_of_large_groups_are_joined_once(spark, monkeypatch):
+    plans, write = [], staging.write_staged
+
+    def noted(df, *rest):
+        plans.append(df)
+        return write(df, *rest)
+
+    monkeypatch.setattr(staging, "write_staged", noted)
+    i = F.col("id")
+    table = spark.range(3000).select(
+        F.when(i < 2990, (i % 7).cast("string")).otherwise(F.concat(F.lit("k"), i)).alias("model"),
+        F.when(i % 4 > 0, i % 97 * 1.5).alias("price_usd"),
+        F.when(i % 7 != 3, i % 5 * 1.0).alias("sales_volume"),  # one large group without any value
+    )
+    filled = clean.impute_group_median(table, ("model",), ("price_usd", "sales_volume"), group_rows=5)
+    plans = [p._jdf.queryExecution().optimizedPlan().toString() for p in plans]
+    assert sum(p.count("LeftSemi") for p in plans) == 2  # rows of groups with gaps, those of large groups
+
+    ordinary = clean.impute_group_median(table, ("model",), ("price_usd", "sales_volume"))
+    assert filled.exceptAll(ordinary).isEmpty() and filled.count() == ordinary.count() == 3000
+    assert filled.where("sales_volume IS NULL").count() == table.where("sales_volume IS NULL").count()
+
+
 def test_a_hot_group_is_dealt_out(spark):
     df = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(-1).alias("k"), F.col("id").alias("v"))
     sizes = staging.materialize(df.groupBy("k").agg(F.count("v").alias(clean.SIZE), F.max("v").alias("top")), "sizes")
