@@ -4,7 +4,8 @@ A group counted to be of ordinary size is sorted by one task, among many others.
 A larger group is selected from: its values are first counted in coarse buckets, which
 combines map-side and leaves a small histogram with the moments and the range of every
 bucket; it tells which bucket holds each wanted rank, and a second scan reads the values
-of those buckets only. A bucket with too many different values for one task is cut again,
+of those buckets only. A bucket whose ends are equal holds one value, which needs no
+second scan. A bucket with too many different values for one task is cut again,
 at splitters taken from its observed range, until every wanted rank lies in a small one.
 Both ways give the same exact order statistics.
 """
@@ -26,6 +27,8 @@ BUCKETS_PER_E = 256
 # A bucket with more different values than this is cut into so many parts.
 BUCKET_VALUES = 50_000
 PARTS = 1024
+# So many wanted buckets are named in the second scan's filter, before the join.
+NAMED_BUCKETS = 1000
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 # A group of at most this many rows is sorted by one task: 8 MB of doubles, some
 # 25 MB while it is gathered.
@@ -106,12 +109,17 @@ def _ranked(df: DataFrame, keys: Sequence[str], order: str, rows: str, start: Co
     return df.withColumn("rank_to", start + upto).withColumn("rank_from", F.col("rank_to") - F.col(rows))
 
 
+def _ends() -> list[Column]:
+    """The range of a bucket's values, as aggregates."""
+    return [F.min("value").alias("low"), F.max("value").alias("high")]
+
+
 def wanted_buckets(counted: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
-    """(keys, bucket, bucket_from, n, rows) of the buckets that hold a wanted rank."""
+    """(keys, bucket, bucket_from, n, rows, low, high) of the buckets that hold a wanted rank."""
     valued = counted.where(F.col("bucket").isNotNull())
     sizes = valued.withColumn("n", F.sum("rows").over(Window.partitionBy(*keys)))
     ranked = _ranked(sizes, keys, "bucket", "rows", F.lit(0)).where(_wanted(probs))
-    return ranked.select(*keys, "bucket", F.col("rank_from").alias("bucket_from"), "n", "rows")
+    return ranked.select(*keys, "bucket", F.col("rank_from").alias("bucket_from"), "n", "rows", "low", "high")
 
 
 def cut_buckets(
@@ -166,19 +174,41 @@ def cut_quantiles(
 ) -> DataFrame:
     """(keys, quantiles) of the groups with values, of any size. ``counted`` is their
     written histogram; ``long`` may count equal values as ``copies``. Joins carry no hint:
-    written tables have a real size."""
-    seen = Observation()
-    largest = F.coalesce(F.max("rows"), F.lit(0)).alias("rows")
-    targets = materialize(wanted_buckets(counted, keys, probs).observe(seen, largest), "wanted-buckets")
+    written tables have a real size.
+
+    Buckets of one value are points already (-0.0 is 0.0). The others, if they are few, are named in a
+    filter on ``long``, so that only rows of their numbers are looked up in the join.
+    """
+    seen, single = Observation(), F.col("low") == F.col("high")
+    open_rows = F.coalesce(F.max(F.when(~single, F.col("rows"))), F.lit(0)).alias("rows")
+    counts = [open_rows, F.count_if(~single).alias("buckets")]
+    targets = materialize(wanted_buckets(counted, keys, probs).observe(seen, *counts), "wanted-buckets")
     match, cell = [*keys, "bucket"], [*keys, "bucket_from", "n", "value"]
-    copies = F.sum("copies") if "copies" in long.columns else F.count(F.lit(1))
-    points = long.join(targets.drop("rows"), match).groupBy(*cell).agg(copies.alias("copies"))
+    points = targets.where(single).select(*cell[:-1], (F.col("low") + F.lit(0.0)).alias("value"), F.col("rows").alias("copies"))
+    found = seen.get
+    if found["buckets"] > 0:
+        wanted = targets.where(~single).select(*match, "bucket_from", "n")
+        if found["buckets"] <= NAMED_BUCKETS:
+            long = long.where(_named(wanted))
+        copies = F.sum("copies") if "copies" in long.columns else F.count(F.lit(1))
+        points = points.unionByName(long.join(wanted, match).groupBy(*cell).agg(copies.alias("copies")))
     # Rows are at least as many as different values: nothing to cut if they are few.
-    if seen.get["rows"] > bucket_values:
+    if found["rows"] > bucket_values:
         points = cut_buckets(points, keys, probs, bucket_values)
     return order_statistics(points, keys, probs)
 
 
+def _named(wanted: DataFrame) -> Column:
+    """Whether a row of values has a column and bucket number among a few wanted ones."""
+    numbers: dict[str, list[int]] = {}
+    for row in wanted.select("column", "bucket").distinct().collect():
+        numbers.setdefault(row["column"], []).append(row["bucket"])
+    named = F.lit(False)
+    for column, buckets in numbers.items():
+        named = named | ((F.col("column") == column) & F.col("bucket").isin(sorted(buckets)))
+    return named
+
+
 def value_counts(df: DataFrame, values: Sequence[str]) -> DataFrame:
     """(column, value, copies) of the values that are there: histograms that merge by union."""
     long = long_values(df, values, []).where(F.col("value").isNotNull())
@@ -190,7 +220,7 @@ def counted_quantiles(
 ) -> DataFrame:
     """(keys, quantiles) of a written table (keys, value, copies); values may repeat."""
     long = counted.withColumn("bucket", value_bucket(F.col("value")))
-    sizes = long.groupBy(*keys, "bucket").agg(F.sum("copies").alias("rows"))
+    sizes = long.groupBy(*keys, "bucket").agg(F.sum("copies").alias("rows"), *_ends())
     return cut_quantiles(long, sizes, keys, probs, bucket_values)
 
 
@@ -201,7 +231,7 @@ def group_quantiles(
     their buckets. Reads ``df`` twice; the first scan runs at once."""
     keys = [*by, "column"]
     long = long_values(df, values, by)
-    counted = long.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("rows"))
+    counted = long.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("rows"), *_ends())
     return cut_quantiles(long, materialize(counted, "histogram"), keys, probs, bucket_values)
 
 
@@ -237,7 +267,8 @@ def describe(
     found = large.agg(F.count("size").alias("groups"), F.sum("size").alias("rows")).first()
     if found["groups"] == 0:
         return _describe_sorted(keyed, values, by, probs)
-    if found["groups"] > broadcast_rows or found["rows"] == rows:
+    # Where large groups hold most rows, the others are not split off: that reads all twice more.
+    if found["groups"] > broadcast_rows or 2 * found["rows"] >= rows:
         return _describe_bucketed(keyed, values, by, probs, bucket_values)
     keys = F.broadcast(large.select(*by))
     return _describe_sorted(keyed.join(keys, by, "left_anti"), values, by, probs).unionByName(

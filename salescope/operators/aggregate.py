@@ -184,7 +184,8 @@ def box_stats(
     """Quartiles, range, count and whiskers per cell.
 
     A whisker ends at the last value within 1.5 interquartile ranges of the box: the
-    least and the greatest value between the fences, which combine map-side.
+    least and the greatest value between the fences, which combine map-side. A cell
+    without values beyond its fences has them at its ends; its rows are not read again.
     """
     require_numeric(df, column)
     by = list(by)
@@ -196,9 +197,11 @@ def box_stats(
         ),
         "boxes",
     )
-    fences = boxes.select(*by, "q25", "q75")  # a written table of small rows: no hint needed
     reach = (F.col("q75") - F.col("q25")) * 1.5
-    inside = F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
+    low, high = F.col("q25") - reach, F.col("q75") + reach
+    whole = (F.col("min") >= low) & (F.col("max") <= high)
+    fences = boxes.where(~whole).select(*by, "q25", "q75")  # a written table of small rows: no hint needed
+    inside = F.col("value").between(low, high)
     whiskers = (
         points.join(fences, by)
         .groupBy(*by)
@@ -207,7 +210,8 @@ def box_stats(
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
         )
     )
-    return boxes.join(whiskers, by)
+    ends = boxes.where(whole).select(*by, F.col("min").alias("whisker_low"), F.col("max").alias("whisker_high"))
+    return boxes.join(whiskers.unionByName(ends), by)
 
 
 def box_points(df: DataFrame) -> DataFrame:

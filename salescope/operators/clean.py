@@ -27,7 +27,7 @@ from salescope.schema import (
 from salescope.sources.staging import BROADCAST_ROWS, materialize
 
 MEDIAN = {"median": 0.5}
-SIZE, PARTS, PART = "__group_size", "__parts", "__part"
+SIZE, PARTS, PART, HASH = "__group_size", "__parts", "__part", "__hash"
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
@@ -68,11 +68,24 @@ def _sizes(targets: Sequence[str]) -> list[Column]:
     return [F.count(F.lit(1)).alias(SIZE), *gaps]
 
 
+def _any_gap(targets: Sequence[str]) -> Column:
+    """Whether a group's row of sizes counts a gap."""
+    out = F.lit(False)
+    for t in targets:
+        out = out | (F.col(f"{t}__gaps") > 0)
+    return out
+
+
 def _medians(rows: DataFrame, keys: Sequence[str], targets: Sequence[str]) -> DataFrame:
-    """One row per group of ordinary size, from a sorted array per target."""
+    """One row per group of ordinary size, from a sorted array per target.
+
+    Rows are sorted by a hash that leads the keys first, a cheap sort of numbers: gathering
+    many groups sorts its rows by all keys, which then finds them almost in order.
+    """
     values = {t: F.col(t).cast("double") for t in targets}
     arrays = [F.sort_array(F.collect_list(F.when(~F.isnan(v), v))).alias(t) for t, v in values.items()]
-    grouped = rows.groupBy(*keys).agg(*_sizes(targets), *arrays)
+    hashed = rows.withColumn(HASH, F.xxhash64(*keys)).sortWithinPartitions(HASH)
+    grouped = hashed.groupBy(HASH, *keys).agg(*_sizes(targets), *arrays)
 
     def middle(t: str) -> Column:
         n = F.size(t)
@@ -93,25 +106,28 @@ def _large_medians(rows: DataFrame, large: DataFrame, keys: Sequence[str], targe
     )
 
 
-def group_medians(
-    df: DataFrame, gap_rows: DataFrame, keys: Sequence[str], targets: Sequence[str], group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """Size, gaps and median of each target for the groups of the written rows with gaps.
+def group_medians(rows: DataFrame, keys: Sequence[str], targets: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Size, gaps and median of each target for the groups with gaps, from written rows of
+    keys and targets.
 
-    The keys and targets of these groups' rows are written by one scan of ``df``; sizes
-    and medians come from that table. Complete groups are never summarised.
+    Sizes combine map-side and tell which groups are open or large. Where no group is large
+    and most rows are in open groups, all rows are gathered without a join; otherwise those
+    of the open groups are picked first.
     """
-    rows = df.join(gap_rows.select(*keys).distinct(), list(keys), "left_semi").select(*keys, *targets)
     seen = Observation()
-    rows = materialize(rows.observe(seen, F.count(F.lit(1)).alias("rows")), "rows-of-open-groups")
-    if seen.get["rows"] <= group_rows:  # so no group has more
-        return materialize(_medians(rows, keys, targets), "group-medians")
     sizes = rows.groupBy(*keys).agg(*_sizes(targets))
-    large = materialize(sizes.where(F.col(SIZE) > group_rows), "large-groups")
-    if large.isEmpty():
-        return materialize(_medians(rows, keys, targets), "group-medians")
-    ordinary = _medians(rows.join(large.select(*keys), list(keys), "left_anti"), keys, targets)
-    return materialize(ordinary.unionByName(_large_medians(rows, large, keys, targets)), "group-medians")
+    total, most = F.coalesce(F.sum(SIZE), F.lit(0)), F.coalesce(F.max(SIZE), F.lit(0))
+    sizes = sizes.observe(seen, total.alias("rows"), most.alias("largest"))
+    open_groups = materialize(sizes.where(_any_gap(targets)), "open-groups")
+    open_rows = open_groups.agg(F.coalesce(F.sum(SIZE), F.lit(0))).first()[0]
+    if seen.get["largest"] <= group_rows and 2 * open_rows >= seen.get["rows"]:
+        return materialize(_medians(rows, keys, targets).where(_any_gap(targets)), "group-medians")
+    large = materialize(open_groups.where(F.col(SIZE) > group_rows), "large-groups")
+    ordinary = open_groups.where(F.col(SIZE) <= group_rows).select(*keys)
+    medians = _medians(rows.join(ordinary, list(keys), "left_semi"), keys, targets)
+    if not large.isEmpty():
+        medians = medians.unionByName(_large_medians(rows, large, keys, targets))
+    return materialize(medians, "group-medians")
 
 
 def join_group_stat(
@@ -132,7 +148,7 @@ def join_group_stat(
 class _GroupFill(NamedTuple):
     filled: DataFrame
     medians: DataFrame | None  # size, gaps and medians of the groups with gaps
-    targets: list[str]
+    targets: list[str]  # none if there was no gap to fill
     gaps: dict[str, int]  # missing values before the fill, by column, and all rows as SIZE
 
 
@@ -141,9 +157,10 @@ def _fill_groups(
 ) -> _GroupFill:
     """The group fill with what its writing pass observed.
 
-    Rows with a gap that may be filled are written, the only ones that travel; the other
-    rows stay where they are read. Observed counts may be too high after a lost executor,
-    never too low, so they serve as bounds only.
+    Keys and targets of the rows whose keys are complete are written, and sizes and medians
+    come from that table. Only rows with a gap that may be filled travel to the medians; the
+    other rows stay where they are read. Observed counts may be too high after a lost
+    executor, never too low, so they serve as bounds only.
     """
     keys = [k for k in keys if k in df.columns]
     present = [c for c in columns if c in df.columns]
@@ -152,15 +169,18 @@ def _fill_groups(
     if not keys or not targets:
         return _GroupFill(df, None, [], df.agg(F.count(F.lit(1)).alias(SIZE), *counts).first().asDict())
     seen = Observation()
-    fillable = _complete(keys) & ~_complete(targets)
-    gap_rows = df.observe(seen, F.count(F.lit(1)).alias(SIZE), *counts).where(fillable)
-    gap_rows = materialize(gap_rows, "rows-with-gaps")
+    rows = df.observe(seen, F.count(F.lit(1)).alias(SIZE), *counts).where(_complete(keys))
+    rows = materialize(rows.select(*keys, *targets), "rows-of-groups")
     gaps = seen.get
-    medians = group_medians(df, gap_rows, keys, targets, group_rows)
-    joined = join_groups(gap_rows, medians, keys, gaps[SIZE], broadcast_rows)
+    as_double = {t: F.col(t).cast("double") for t in targets}
+    if not any(gaps[t] for t in targets):
+        return _GroupFill(df.withColumns(as_double), None, [], gaps)
+    fillable = _complete(keys) & ~_complete(targets)
+    medians = group_medians(rows, keys, targets, group_rows)
+    joined = join_groups(df.where(fillable), medians, keys, gaps[SIZE], broadcast_rows)
     fills = {t: F.coalesce(F.col(t).cast("double"), F.col(f"{t}__median")) for t in targets}
     joined = joined.withColumns(fills).select(*df.columns)
-    others = df.where(~fillable).withColumns({t: F.col(t).cast("double") for t in targets})
+    others = df.where(~fillable).withColumns(as_double)
     return _GroupFill(others.unionByName(joined), medians, targets, gaps)
 
 
@@ -222,7 +242,7 @@ def impute(
 
     The values that the group fill puts in are known from its summary, so the global
     medians need the table's own values only: the fill is not run for them. Reads ``df``
-    four times at most (rows with gaps, rows of their groups, values, result).
+    four times at most (keys and values, values, result in two parts).
     """
     fill = _fill_groups(df, keys, columns, group_rows, broadcast_rows)
     left, more = {c: fill.gaps[c] for c in columns if c in df.columns}, None

@@ -1,8 +1,8 @@
 """The report's text context as an ordered table of lines, per slice.
 
-One grouping-sets pass over the fact table yields every additive figure of the
-report as one small row per item; it is written once and all sections are built
-from it. Only the quantiles and correlations read the fact table again. A measure
+One grouping-sets pass over the fact table, by a few sets of columns, yields every
+additive figure of the report; rolled up to one small row per item they are written
+once and all sections are built from them. Only the quantiles and correlations read the fact table again. A measure
 that is absent or not numeric, and an absent group, are reported as not available.
 """
 
@@ -94,6 +94,20 @@ SETS = {
     "year": ("total", None, "year"),
     "transmission_fuel_type": ("cell", "transmission", "fuel_type"),
 }
+# The sets that the rows are grouped by: columns of few values each, so that a task's map
+# stays small. Every set of the report rolls up one of them.
+SCANNED = {
+    "market": (("region", "model", "year"), ("region_model", "model_year", "year")),
+    "drive": (
+        ("region", "fuel_type", "transmission", "year"),
+        ("region_fuel_type", "region_transmission", "fuel_type_year", "transmission_year", "transmission_fuel_type"),
+    ),
+    "engine": (
+        ("engine_size", "engine_size_l", "mileage_bin", "mileage_bin_ord", "year"),
+        ("engine_size_year", "engine_size_l", "mileage_bin"),
+    ),
+    "paint": (("color",), ("color",)),
+}
 LEADERS = ("region_model", "region_fuel_type", "region_transmission")
 # Sets whose rows are left out of their family's figures: each family takes them
 # from one set, whose second key is summed up.
@@ -170,15 +184,15 @@ def _set_columns(name: str) -> list[str]:
     return [*columns, "mileage_bin_ord"] if "mileage_bin" in columns else columns
 
 
-def _set_id(name: str) -> int:
-    """The grouping id of a set: one bit per key column, 1 where it is rolled up."""
-    return int("".join("0" if c in _set_columns(name) else "1" for c in KEYS), 2)
+def _grouping_id(columns: Sequence[str]) -> int:
+    """One bit per key column, 1 where it is rolled up."""
+    return int("".join("0" if c in columns else "1" for c in KEYS), 2)
 
 
 def _by_set(values: dict[str, str]) -> Column:
     """The expression that belongs to the row's set."""
-    cases = " ".join(f"WHEN {_set_id(name)} THEN {value}" for name, value in values.items())
-    return F.expr(f"CASE set_id {cases} END")
+    cases = " ".join(f"WHEN {literal(name)} THEN {value}" for name, value in values.items())
+    return F.expr(f"CASE `set` {cases} END")
 
 
 # Figures that combine by sum, by minimum or by maximum.
@@ -198,16 +212,34 @@ LEAST = {"min_price": "min(price_usd)", "min_units": "CAST(min(sales_volume) AS
 GREATEST = {"max_price": "max(price_usd)", "max_units": "CAST(max(sales_volume) AS DOUBLE)"}
 
 
+def _scanned_rows(facts: DataFrame) -> DataFrame:
+    """The figures by the scanned sets, and the report's sets that each row counts in."""
+    sets = [["slice", *columns] for columns, _names in SCANNED.values()]
+    cases = " ".join(
+        f"WHEN {_grouping_id(columns)} THEN array({', '.join(literal(n) for n in names)})"
+        for columns, names in SCANNED.values()
+    )
+    figures = [F.expr(e).alias(n) for n, e in (SUMMED | LEAST | GREATEST).items()]
+    sums = facts.groupingSets(sets, "slice", *KEYS).agg(F.grouping_id().alias("scanned"), *figures)
+    # The slice is a column of every set, so its bit is 0.
+    return sums.withColumn("set", F.explode(F.expr(f"CASE scanned {cases} END")))
+
+
 def _set_rows(facts: DataFrame) -> DataFrame:
     """The grouping sets in long form: family, item, second key and figures."""
-    sets = [["slice", *_set_columns(name)] for name in SETS]
-    sums = facts.groupingSets(sets, "slice", *KEYS).agg(
-        F.grouping_id().alias("set_id"),
-        *[F.expr(e).alias(n) for n, e in (SUMMED | LEAST | GREATEST).items()],
+    of_set = {c: F.col("set").isin(*[n for n in SETS if c in _set_columns(n)]) for c in KEYS}
+    sums = (
+        _scanned_rows(facts)
+        .withColumns({c: F.when(here, F.col(c)) for c, here in of_set.items()})
+        .groupBy("slice", "set", *KEYS)
+        .agg(
+            *[F.sum(f).alias(f) for f in SUMMED],
+            *[F.min(f).alias(f) for f in LEAST],
+            *[F.max(f).alias(f) for f in GREATEST],
+        )
     )
     keyed = sums.withColumns(
         {
-            "set": _by_set({n: literal(n) for n in SETS}),
             "family": _by_set({n: literal(f) for n, (f, _i, _s) in SETS.items()}),
             "item": _by_set({n: f"CAST({i} AS STRING)" for n, (_f, i, _s) in SETS.items() if i}),
             "sub": _by_set({n: f"CAST({s} AS STRING)" for n, (_f, _i, s) in SETS.items() if s}),

@@ -15,6 +15,9 @@ from pyspark.sql.types import StructType
 # A summary of at most this many rows may be broadcast (a few MB of keys and
 # numbers); larger ones are joined through a shuffle.
 BROADCAST_ROWS = 50_000
+# Rows of one written file. A file is one task when it is read: the joins leave about as
+# many files as there are cores and one more, which alone would double a scan's time.
+FILE_ROWS = 500_000
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -38,10 +41,15 @@ def new_path(spark: SparkSession, name: str) -> str:
 def write_staged(df: DataFrame, name: str) -> str:
     """Write ``df`` as Parquet, its rows where they are, and return the path."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    write_files(df, path)
     return path
 
 
+def write_files(df: DataFrame, path: str) -> None:
+    """Write ``df`` as Parquet files small enough to be dealt out evenly to readers."""
+    df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+
+
 def read_staged(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 

@@ -109,6 +109,14 @@ def dirty_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stage(spark, sf_dir, "dirty_sales", dirty_sales)
 
 
+def dirty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``dirty_fact`` for a single reader: its table if that is written, else
+    the joins themselves, so that no table is written only to be copied."""
+    if (spark.sparkContext.applicationId, sf_dir, "dirty_sales") in _staged:
+        return dirty_fact(spark, sf_dir)
+    return dirty_sales(spark, sf_dir)
+
+
 def clean_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned dirty table."""
     return _stage(spark, sf_dir, "clean_sales", lambda s, d: clean_sales(dirty_fact(s, d)))

@@ -11,8 +11,8 @@ from salescope_checks.tables import DIRTY, cleaning, on_clean, on_sales, with_ta
 from salescope.operators import rules
 from salescope.plans import charts, context, report
 from salescope.sources import sinks
-from salescope.sources.staging import materialize, new_path
-from salescope.sources.star import clean_fact, dirty_fact, sales_fact
+from salescope.sources.staging import materialize, new_path, write_files
+from salescope.sources.star import clean_fact, dirty_rows, sales_fact
 
 
 def number(value: str, decimals: int = 0, grouped: bool = True) -> str:
@@ -271,7 +271,7 @@ add("prompt_rows", _prompts, with_context(on_sales(""), "fact", prompt_sql("regi
 def _run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a whole run over a file with gaps, repeated rows and impossible years leaves behind."""
     source, out = new_path(spark, "input") + ".parquet", new_path(spark, "run")
-    dirty_fact(spark, sf_dir).withColumn("price_usd", F.abs("price_usd")).write.parquet(source)
+    write_files(dirty_rows(spark, sf_dir).withColumn("price_usd", F.abs("price_usd")), source)
     record = report.run_report(spark, report.ReportConfig(source, out, model_name="any-model"))
     counted = {
         "context lines": spark.read.text(f"{out}/context"),

@@ -146,3 +146,15 @@ def test_top_models_keep_rows_without_fuel_in_the_ranking(make):
 
 def test_elasticity_of_one_cell_is_null(make):
     assert records(insights.elasticity_fit(make({}))) == [{"correlation": None, "slope": None, "log_slope": None}]
+
+
+def test_cells_without_outliers_are_not_read_again(spark):
+    i = F.col("id")
+    table = spark.range(900).select((i % 3).cast("string").alias("fuel_type"), (i % 50 * 1.0).alias("price_usd"))
+    plain = aggregate.box_stats(table, "price_usd", ["fuel_type"])
+    assert [(r["whisker_low"], r["whisker_high"]) for r in plain.collect()] == [(0.0, 49.0)] * 3
+    final = plain._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Range (0, 900" not in final
+    far = table.unionByName(spark.createDataFrame([("0", 900.0), ("1", -900.0)], table.schema))
+    got = {r["fuel_type"]: (r["whisker_low"], r["whisker_high"], r["max"]) for r in aggregate.box_stats(far, "price_usd", ["fuel_type"]).collect()}
+    assert got == {"0": (0.0, 49.0, 900.0), "1": (0.0, 49.0, 49.0), "2": (0.0, 49.0, 49.0)}

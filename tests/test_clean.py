@@ -198,3 +198,42 @@ def test_group_stat_joins_back_to_every_row(make, way):
     rows = records(clean.join_group_stat(df, ["model"], "price_usd", **way))
     assert sorted((r["model"] or "", r["median_price_usd"]) for r in rows if r["model"]) == [("A", 2.0), ("A", 2.0), ("B", 9.0)]
     assert len(rows) == 4
+
+
+def test_open_groups_of_most_rows_are_gathered_without_a_join(spark, monkeypatch):
+    """Every group has a gap; keys of -0.0 and 0.0 are one group, a NULL key is none."""
+    plans, write = [], staging.write_staged
+
+    def noted(df, *rest):
+        plans.append(df)
+        return write(df, *rest)
+
+    monkeypatch.setattr(staging, "write_staged", noted)
+    data = [("a", 0.0, 1.0), ("a", -0.0, 5.0), ("a", 0.0, None), ("b", 1.0, None), ("b", 1.0, 4.0), (None, 1.0, None)]
+    data += [(f"m{i % 300}", float(i % 3), None if i < 300 else float(i)) for i in range(1200)]
+    table = spark.createDataFrame(data, "model string, year double, price_usd double").repartition(3)
+    filled = clean.impute_group_median(table, ("model", "year"), ("price_usd",)).collect()
+    assert not any("LeftSemi" in p._jdf.queryExecution().optimizedPlan().toString() for p in plans)
+    groups = pd.DataFrame(data, columns=["model", "year", "price_usd"])
+    medians = groups.groupby(["model", "year"])["price_usd"].median()
+    want = [(m, y + 0.0, float(medians[(m, y)]) if p is None and m else p) for m, y, p in data]
+    assert multiset((m, y + 0.0, p) for m, y, p in filled) == multiset(want)
+
+
+def test_few_open_groups_are_picked_before_rows_are_gathered(spark, monkeypatch):
+    plans, write = {}, staging.write_staged
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(staging, "write_staged", noted)
+    i = F.col("id")
+    table = spark.range(1000).select((i % 10).cast("string").alias("model"), F.when(i != 500, i * 1.0).alias("price_usd"))
+    filled = clean.impute_group_median(table, ("model",), ("price_usd",))
+    assert "LeftSemi" in plans["group-medians"]
+    kept = sorted(v for v in range(0, 1000, 10) if v != 500)
+    assert filled.where("price_usd IS NULL").isEmpty()
+    assert filled.agg(F.sum("price_usd")).first()[0] == sum(range(1000)) - 500 + float(np.median(kept))
+    complete = clean.impute_group_median(table.where("price_usd IS NOT NULL"), ("model",), ("price_usd",))
+    assert complete.count() == 999

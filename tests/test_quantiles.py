@@ -5,8 +5,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from salescope.functions import quantiles as Q
 from salescope.functions.quantiles import QUARTILES, describe
+from salescope.sources import staging
 
 WAYS = {
     "sorted": {},
@@ -127,3 +130,26 @@ def test_crowded_values_spread_over_small_buckets(spark, monkeypatch):
         for name, p in QUARTILES.items():
             assert got[key][name] == pytest.approx(np.quantile(values, p), rel=1e-12)
     assert largest and max(largest) <= 5_000
+
+
+def test_buckets_of_one_value_are_not_read_again(spark, monkeypatch):
+    plans, write = [], staging.write_staged
+
+    def noted(df, *rest):
+        plans.append(df)
+        return write(df, *rest)
+
+    monkeypatch.setattr(staging, "write_staged", noted)
+    size, i = 4567, F.col("id")
+    table = spark.range(size).select((i % 5 * 7.0).alias("few"), (i * 1.0).alias("many"))
+
+    def reads(*columns):
+        plans.clear()
+        plans.append(describe(table, list(columns), rows=size, group_rows=0))
+        got = {r["column"]: [r[q] for q in QUARTILES] for r in plans[-1].collect()}
+        return got, sum(p._jdf.queryExecution().optimizedPlan().toString().count(f"Range (0, {size}") for p in plans)
+
+    data = {"few": np.arange(size) % 5 * 7.0, "many": np.arange(size) * 1.0}
+    want = {c: [pytest.approx(np.quantile(v, p)) for p in QUARTILES.values()] for c, v in data.items()}
+    assert reads("few") == ({"few": want["few"]}, 1)
+    assert reads("few", "many") == (want, 2)

@@ -4,11 +4,13 @@ import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from salescope.operators.aggregate import stats_text
-from salescope.operators.clean import clean_sales
+from salescope.operators.clean import clean_sales, derive_columns
 from salescope.operators.quality import DataQualityError
 from salescope.plans import context, report
-from salescope.sources import sinks
+from salescope.sources import sinks, staging
 from salescope.sources.readers import scan_sales, source_format
 from salescope.sources.staging import staging_root
 
@@ -170,3 +172,53 @@ def test_whole_numbers_are_shown_plainly(spark):
     rows = {r["column"]: r for r in stats_text(df, ["units", "price"]).collect()}
     assert (rows["units"]["min"], rows["units"]["max"], rows["units"]["mean"]) == ("1234", "5678", "3,456.00")
     assert (rows["price"]["min"], rows["price"]["count"], rows["price"]["missing"]) == ("0.50", "1", "1")
+
+
+def test_items_are_rolled_up_from_a_few_scanned_sets(make):
+    """Every row enters four groups, not one per set of the report; gaps in keys stay apart."""
+    rows = []
+    for i in range(120):
+        rows.append(
+            {
+                "model": ("A", "B", "C", None)[i % 4],
+                "year": None if i % 17 == 0 else float(2018 + i % 3),
+                "region": (None, "North", "South")[i % 3],
+                "fuel_type": ("P", "D", None)[i // 7 % 3],
+                "transmission": ("M", None)[i // 5 % 2],
+                "color": ("red", "blue")[i % 2],
+                "engine_size_l": (1.6, 2.0, None)[i // 2 % 3],
+                "mileage_km": (1e4, 6e4, 3e5)[i % 3],
+                "price_usd": None if i % 11 == 0 else 1000.0 + i,
+                "sales_volume": None if i % 13 == 0 else float(i),
+            }
+        )
+    facts = derive_columns(make(*rows)).withColumn("slice", F.lit(context.WHOLE))
+    items = context.report_items(facts)
+    nodes = items._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    expand = [x for x in nodes if "Expand" in x]
+    # Projections and the output columns are lists with this between them.
+    assert len(expand) == 1 and expand[0].count("], [") == len(context.SCANNED) == 4
+
+    got = {(r["family"], r["item"], r["second"]): r for r in items.collect()}
+    for family, column in (("region", "region"), ("model", "model"), ("color", "color"), ("mileage_bin", "mileage_bin"), ("engine_size_l", "engine_size_l")):
+        for value in {r[column] for r in facts.collect()} - {None}:
+            of = [r for r in facts.collect() if r[column] == value]
+            item = got.pop((family, str(value), None))
+            assert item["rows_n"] == len(of)
+            assert item["units"] == sum(r["sales_volume"] or 0 for r in of)
+            priced = [r["price_usd"] for r in of if r["price_usd"] is not None]
+            assert (item["price"], item["price_n"], item["min_price"], item["max_price"]) == (sum(priced), len(priced), min(priced), max(priced))
+            if family in ("region", "model"):
+                years = sorted({r["year"] for r in of} - {None})
+                shown = [(e["year"], e["units"]) for e in item["series"]] if family == "model" else None
+                assert shown in (None, [(y, sum(r["sales_volume"] or 0 for r in of if r["year"] == y)) for y in years])
+    cells = {(r["transmission"], r["fuel_type"]) for r in facts.collect()}
+    assert {k[1:] for k in got if k[0] == "cell"} == {c for c in cells if None not in c}
+    assert got[("total", None, None)]["rows_n"] == 120
+    assert not [k for k in got if k[0] in ("region", "model", "color", "mileage_bin", "engine_size_l")]
+
+
+def test_written_tables_are_cut_into_files_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(staging, "FILE_ROWS", 10)
+    table = staging.materialize(spark.range(0, 95, 1, 1), "cut")
+    assert len(table.inputFiles()) == 10 and table.count() == 95

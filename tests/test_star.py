@@ -83,3 +83,11 @@ def test_staged_rows_are_written_where_they_are(spark, tables):
     assert star.dirty_fact(spark, tables).count() == len(list(expected(True)))
     path, _schema = star._staged[spark.sparkContext.applicationId, tables, "dirty_sales"]
     assert not [name for name in os.listdir(path.removeprefix("file:")) if name.startswith("year=")]
+
+
+def test_dirty_rows_are_read_once_without_a_table_of_their_own(spark, tables, monkeypatch):
+    monkeypatch.setattr(star, "_staged", {})
+    assert sorted(map(repr, star.dirty_rows(spark, tables).collect())) == sorted(map(repr, star.dirty_sales(spark, tables).collect()))
+    assert star._staged == {}
+    written = star.dirty_fact(spark, tables).inputFiles()
+    assert written and star.dirty_rows(spark, tables).inputFiles() == written
