@@ -36,6 +36,8 @@ WIDTH = 5
 POSTING_BLOCK = 32
 ITEMS_PER_PASS = 20_000
 WORDS_PER_PASS = 2_000_000
+# Postings of essential terms laid out at once in a task, in some ten arrays of eight bytes each.
+POSTINGS_AT_ONCE = 1 << 19
 
 
 class Counts(NamedTuple):
@@ -221,23 +223,41 @@ def candidates(
     stretch = base[owner] + (known - first[owner]) // span
     code = np.unique(stretch * len(index.terms) + term[known])
     place, t = code // len(index.terms), code % len(index.terms)
-    n = np.diff(index.at)[t]
-    posting = np.repeat(index.at[t] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(t) else t
-    place = np.repeat(place, n)
     starts_row = np.zeros(base[-1] + 1, bool)
     starts_row[base] = True
-    earlier = ~starts_row[place]
-    pair = np.concatenate([place, place[earlier] - 1]) * len(index.items) + np.concatenate([index.docs[posting], index.docs[posting[earlier]]])
-    value = np.concatenate([index.impact[posting], index.impact[posting[earlier]]])
-    pair, inverse = np.unique(pair, return_inverse=True)
-    total = np.bincount(inverse, value, minlength=len(pair))
-    enough = total >= need[pair % len(index.items)]
-    passage = np.unique(pair[enough] // len(index.items))
+    # Passages in turns, so that the postings laid out at once stay few, however long the lists.
+    at = np.searchsorted(place, np.arange(base[-1] + 1))
+    done = np.concatenate([[0], np.cumsum(np.diff(index.at)[t])])[at]
+    found, low = [np.empty(0, np.int64)], 0
+    while low < base[-1]:
+        high = int(np.searchsorted(done, done[low] + POSTINGS_AT_ONCE, side="right")) - 1
+        high = min(max(high, low + 1), int(base[-1]))
+        part = slice(at[low], at[min(high + 1, base[-1])])
+        found.append(_enough(place[part], t[part], low, high, starts_row, index, need))
+        low = high
+    passage = np.concatenate(found)
     row = np.searchsorted(base, passage, side="right") - 1
     begin = first[row] + (passage - base[row]) * span
     return row, begin, np.minimum(begin + 2 * span, first[row + 1]), term
 
 
+def _enough(
+    place: np.ndarray, t: np.ndarray, low: int, high: int, starts_row: np.ndarray, index: Index, need: np.ndarray
+) -> np.ndarray:
+    """The passages from ``low`` to ``high`` with what some item needs, by the terms ``t``
+    of the stretches ``place``: those of the passages and the one behind them."""
+    n = np.diff(index.at)[t]
+    posting = np.repeat(index.at[t] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(t) else t
+    place = np.repeat(place, n)
+    own, earlier = place < high, ~starts_row[place] & (place > low)
+    pair = np.concatenate([place[own], place[earlier] - 1]) * len(index.items)
+    pair += np.concatenate([index.docs[posting[own]], index.docs[posting[earlier]]])
+    value = np.concatenate([index.impact[posting[own]], index.impact[posting[earlier]]])
+    pair, inverse = np.unique(pair, return_inverse=True)
+    total = np.bincount(inverse, value, minlength=len(pair))
+    return np.unique(pair[total >= need[pair % len(index.items)]] // len(index.items))
+
+
 def search(words: np.ndarray, first: np.ndarray, index: Index, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
     """(row, item, score, passage start, end) for every passage at or above the threshold."""
     if len(index.terms) == 0 or len(words) == 0:
@@ -343,14 +363,17 @@ def _terms(items: DataFrame) -> DataFrame:
 def indexes(benchmark: DataFrame, per_pass: int = ITEMS_PER_PASS) -> Iterator[Index]:
     """Indexes of at most about ``per_pass`` items and ``WORDS_PER_PASS`` words each,
     fetched one after another; the counts that their scores need cover all items."""
-    items = slim(benchmark, "item_id", "text").where("text IS NOT NULL").dropDuplicates(["item_id", "text"])
+    items = slim(benchmark, "item_id", "text").where("text IS NOT NULL")
+    rows = items.count()
+    items = items.dropDuplicates(["item_id", "text"])
     # Parts of a fixed number first: a pass takes some of them, known once they are counted.
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(1 << 20)).cast("int")
-    items = materialize(items.withColumn("part", number), "leak-items")
+    items = materialize(items.withColumn("part", number), "leak-items", rows)
     terms = materialize(_terms(items), "leak-terms")
-    total = terms.agg(F.count("words").alias("n"), F.sum("words").alias("words"), F.max("words").alias("span")).first()
+    counts = F.count("words").alias("n"), F.sum("words").alias("words"), F.max("words").alias("span"), F.count("term").alias("rows")
+    total = terms.agg(*counts).first()
     n, words = total["n"], total["words"] or 0
-    df = materialize(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "leak-frequencies")
+    df = materialize(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "leak-frequencies", total["rows"])
     passes = max(1, -(-n // per_pass), -(-words // WORDS_PER_PASS))
     for k in range(passes):
         mine = F.pmod("part", F.lit(passes)) == k

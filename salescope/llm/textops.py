@@ -15,9 +15,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.sources.staging import materialize
+from salescope.sources.staging import fewer_files, materialize
 
-__all__ = ["materialize"]
+__all__ = ["fewer_files", "materialize"]
 
 # Bytes of text handled at once in a task; eight-byte arrays over them stay small.
 BLOCK_BYTES = 1 << 19

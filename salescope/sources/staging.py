@@ -18,6 +18,9 @@ BROADCAST_ROWS = 50_000
 # Rows of one written file. A file is one task when it is read: the joins leave about as
 # many files as there are cores and one more, which alone would double a scan's time.
 FILE_ROWS = 500_000
+# Rows below which a file is not worth its task: small results of a shuffle are written
+# in fewer tasks. A local file system starts a process of the executor for each file.
+LEAST_FILE_ROWS = 5_000
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -54,6 +57,15 @@ def read_staged(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return a scan of the written table."""
+def fewer_files(df: DataFrame, rows: int, each: int = LEAST_FILE_ROWS) -> DataFrame:
+    """``df`` in no more partitions than ``rows``, its number of rows at most, are worth.
+    Its tasks grow with the rows; nothing is shuffled for it."""
+    return df.coalesce(max(1, -(-rows // each)))
+
+
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` once and return a scan of the written table. With ``rows``, at most
+    its number of rows, a small table is written in few files."""
+    if rows is not None:
+        df = fewer_files(df, rows)
     return read_staged(df.sparkSession, write_staged(df, name), df.schema)

@@ -6,10 +6,14 @@ import random
 import re
 from collections import Counter
 from math import log1p
+from pathlib import Path
 
+import numpy as np
 import pytest
 
-from salescope.llm.bm25_leaks import ANSWER, B, K1, QUESTION, THRESHOLD, WIDTH, drop_leaking, find_leaks
+from salescope.llm import bm25_leaks
+from salescope.llm.bm25_leaks import ANSWER, B, K1, QUESTION, THRESHOLD, WIDTH, build, candidates, drop_leaking, find_leaks, indexes
+from salescope.sources import staging
 
 
 def words_of(text):
@@ -107,3 +111,44 @@ def test_leaking_documents_go(case, per_pass):
     gone = {doc for doc, _ in brute_force(docs, items)}
     kept = drop_leaking(docs_frame, items_frame, per_pass=per_pass).collect()
     assert sorted(r.doc_id for r in kept) == sorted({d for d, _ in docs} - gone)
+
+
+def test_few_postings_are_laid_out_at_once(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(rng.randint(6, 12))) for _ in range(200)]
+    index = build([*enumerate(texts), (200, "w1"), (201, "w2 w3")])
+    rows = [" ".join(f"w{rng.randrange(330)}" for _ in range(rng.randint(0, 90))) for _ in range(60)]
+    data = np.frombuffer("".join(rows).encode(), np.uint8)
+    words, first = bm25_leaks._words(data, np.cumsum([0, *map(len, rows)]))
+    counted = []
+    one = bm25_leaks._enough
+
+    def spy(place, t, *rest):
+        counted.append(int(np.diff(index.at)[t].sum()))
+        return one(place, t, *rest)
+
+    monkeypatch.setattr(bm25_leaks, "_enough", spy)
+    whole = candidates(words, first, index, 0.4)
+    assert len(counted) == 1 and counted[0] > 5000 and 0 < len(whole[0])
+    counted.clear()
+    monkeypatch.setattr(bm25_leaks, "POSTINGS_AT_ONCE", 500)
+    for a, b in zip(candidates(words, first, index, 0.4), whole):
+        assert a.tolist() == b.tolist()
+    assert max(counted) < 1000 and len(counted) > 5
+
+
+def test_a_small_benchmark_is_written_in_few_files(spark, case, monkeypatch):
+    paths = []
+    write = staging.write_staged
+    monkeypatch.setattr(staging, "write_staged", lambda df, name: paths.append(write(df, name)) or paths[-1])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert len(next(indexes(case[3])).items) == 64
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(paths) == 3
+    for path in paths:
+        assert len(list(Path(path.removeprefix("file:")).glob("part-*"))) == 1, path
