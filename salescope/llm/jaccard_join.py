@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.textops import LOWER, SPACE_WORD, SpanHash, blocks, materialize, mixed, shingles, slim, word_spans
+from salescope.llm.textops import LOWER, SPACE_WORD, SpanHash, blocks, fewer_files, materialize, mixed, shingles, slim, word_spans
 
 WIDTH, NUMERATOR, DENOMINATOR = 3, 90, 100
 SKETCH_SLOTS = 1 << 22
@@ -37,6 +37,7 @@ FILTER_BITS = 1 << 25
 MOST_BITS = 1 << 14
 SUBSET = 2
 REMEMBERED = 500_000
+WIDE_ROWS = 1_000  # of sets or texts, below which no task is made for them
 LIST_SALT, SUBSET_SALT = np.uint64(0x51ED270B9F3C6A11), np.uint64(0xA24BAED4963EE407)
 
 
@@ -287,7 +288,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, width: int, ratio: tuple[int, i
     sets = materialize(_set_rows(rows, width, _bits(wanted, FILTER_BITS)), "jaccard-sets")
     left = sets.select(F.col("cls").alias("a"), F.col("grams").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("grams").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return fewer_files(both, sets.count() + pairs.count(), WIDE_ROWS).mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -297,14 +299,16 @@ def components(edges: DataFrame) -> DataFrame:
     tables are written, so a lost executor costs one round at most.
     """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = materialize(both, "jaccard-edges")
-    labels = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")).withColumnRenamed("a", "cls"), "jaccard-roots")
+    both = materialize(both, "jaccard-edges", 2 * edges.count())
+    labels = both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")).withColumnRenamed("a", "cls")
+    rows = both.count()
+    labels = materialize(labels, "jaccard-roots", rows)
     while True:
         near = both.join(labels.select(F.col("cls").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
         step = labels.join(near, labels["cls"] == near["a"]).select("cls", F.col("root").alias("old"), F.least("root", "near").alias("via"))
         parent = labels.select(F.col("cls").alias("via"), F.col("root").alias("up"))
         step = step.join(parent, "via", "left").select("cls", "old", F.least("via", F.coalesce("up", "via")).alias("root"))
-        step = materialize(step, "jaccard-roots")
+        step = materialize(step, "jaccard-roots", rows)
         labels = step.select("cls", "root")
         if step.where("root <> old").isEmpty():
             return labels
@@ -322,14 +326,16 @@ def linked_classes(rows: DataFrame, profiles: DataFrame, width: int, ratio: tupl
     lists = entries.groupBy("key").agg(
         F.min("cls").alias("low"), F.max("cls").alias("high"), F.min_by("cls", rank).alias("centre")
     )
-    lists = materialize(lists.where("low <> high").select("key", "centre"), "jaccard-lists")
+    lists = materialize(lists.where("low <> high").select("key", "centre"), "jaccard-lists", entries.count())
     members = materialize(entries.join(lists, "key"), "jaccard-members")
     classes = profiles.where("parity IS NOT NULL").groupBy("cls").agg(F.max("n").alias("n"), F.first("parity").alias("parity"))
-    classes = materialize(classes, "jaccard-sizes")
+    classes = materialize(classes, "jaccard-sizes", profiles.count())
+    # What a join of the two reads decides on its tasks, not only what it gives.
+    read = members.count() + classes.count()
     # A pair for each member: with the centre of its list.
     ends = members.where("cls <> centre").select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b"))
     ends = ends.distinct()
-    tried = materialize(_possible(ends, classes, ratio), "jaccard-tried")
+    tried = materialize(_possible(ends, classes, ratio), "jaccard-tried", read)
     links = materialize(_verified(tried, rows, width, ratio), "jaccard-links")
     roots = components(links)
     # What is left: members of one list in different components, not compared before.
@@ -341,7 +347,7 @@ def linked_classes(rows: DataFrame, profiles: DataFrame, width: int, ratio: tupl
     # side alone, with the smallest partner, then both together.
     marked = marked.withColumn("left", F.col("n") - F.col("place"))
     marked = marked.where(F.col("left") * denominator >= F.col("n") * numerator)
-    marked = materialize(marked, "jaccard-mixed")
+    marked = materialize(marked, "jaccard-mixed", read)
     one = marked.select("key", *[F.col(c).alias(d) for c, d in (("cls", "a"), ("n", "na"), ("root", "ra"), ("left", "la"))])
     two = marked.select("key", *[F.col(c).alias(d) for c, d in (("cls", "b"), ("n", "nb"), ("root", "rb"), ("left", "lb"))])
     both = F.least("la", "lb")
@@ -367,9 +373,11 @@ def _resolved(docs: DataFrame, width: int, ratio: tuple[int, int], slots: int) -
     roots = linked_classes(rows, profiles, width, ratio, slots)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("keep")
     own = found.where("cls IS NOT NULL").groupBy("cls").agg(first)
-    own = materialize(own.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "jaccard-classes")
+    documents = found.count()
+    own = own.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    own = materialize(own, "jaccard-classes", documents)
     best = own.groupBy("root").agg(F.min("keep").alias("keep"))
-    return found, materialize(own.select("cls", "root").join(best, "root").select("cls", "keep"), "jaccard-kept")
+    return found, materialize(own.select("cls", "root").join(best, "root").select("cls", "keep"), "jaccard-kept", documents)
 
 
 def similar_components(
@@ -405,7 +413,8 @@ def keep_one(docs: DataFrame, width: int = 5, numerator: int = 80, denominator:
     stay = kept.select("keep.doc_id", "keep.print").unionByName(found.where("n = 0").select("doc_id", "print"))
     stay = stay.select(id_text.alias("_key"), F.col("print").alias("_print")).distinct()
     keyed = docs.withColumns({"_key": id_text, "_print": F.xxhash64(F.coalesce("text", F.lit("")))})
-    return keyed.join(stay, ["_key", "_print"], "left_semi").dropDuplicates(["_key", "_print"]).select(*docs.columns)
+    one = keyed.join(stay, ["_key", "_print"], "left_semi").dropDuplicates(["_key", "_print"])
+    return fewer_files(one.select(*docs.columns), found.count(), WIDE_ROWS)
 
 
 ORACLE_SQL = r"""

@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -16,6 +17,7 @@ from salescope.llm.language_crf import marginals
 from salescope.llm.license_rules import Rule, rules, suppressed
 from salescope.llm.packing import SEQUENCE, shortest_pack_first
 from salescope.llm.queries import QUERIES, table
+from salescope.sources import staging
 
 DIR = "/root/testdata/sf0.001"
 
@@ -197,3 +199,24 @@ def test_jaccard_components(spark, width, numerator):
                 x, y = sorted((top(a), top(b)))
                 root[y] = x
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == {i: (len(s), top(i)) for i, s in sets.items()}
+
+
+def test_small_tables_of_the_join_are_written_in_few_files(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{w}" for w in rng.integers(0, 4000, 40)) for _ in range(60)]
+    rows = [(i, f"{texts[i % 60]} end{i // 60}") for i in range(180)]
+    paths, write = [], staging.write_staged
+    monkeypatch.setattr(staging, "write_staged", lambda df, name: paths.append((name, write(df, name))) or paths[-1][1])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        kept = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {name: len(list(Path(path.removeprefix("file:")).glob("part-*"))) for name, path in paths}
+    few = {"edges", "roots", "lists", "sizes", "tried", "links", "mixed", "classes", "kept"}
+    assert {f"jaccard-{name}" for name in few} <= set(files)
+    assert all(files[f"jaccard-{name}"] == 1 for name in few), files
