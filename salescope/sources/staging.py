@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -21,6 +23,9 @@ FILE_ROWS = 500_000
 # Rows below which a file is not worth its task: small results of a shuffle are written
 # in fewer tasks. A local file system starts a process of the executor for each file.
 LEAST_FILE_ROWS = 5_000
+# Fixed value: whether Spark deletes the shuffle files of a query when it ends, not only
+# when the driver happens to collect its garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -57,6 +62,23 @@ def read_staged(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """What is computed inside leaves no shuffle files: for a table written only once."""
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``new_path`` that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def fewer_files(df: DataFrame, rows: int, each: int = LEAST_FILE_ROWS) -> DataFrame:
     """``df`` in no more partitions than ``rows``, its number of rows at most, are worth.
     Its tasks grow with the rows; nothing is shuffled for it."""

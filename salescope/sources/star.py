@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from salescope.operators.clean import clean_sales, derive_columns
 from salescope.schema import REQUIRED_COLUMNS
-from salescope.sources.staging import read_staged, write_staged
+from salescope.sources.staging import read_staged, shuffles_go, write_staged
 
 _staged: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
@@ -96,7 +96,8 @@ def _stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _staged:
         df = build(spark, sf_dir)
-        _staged[key] = (write_staged(df, name), df.schema)
+        with shuffles_go(spark):
+            _staged[key] = (write_staged(df, name), df.schema)
     return read_staged(spark, *_staged[key])
 
 

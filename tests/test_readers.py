@@ -8,6 +8,7 @@ import pytest
 
 from salescope.schema import REQUIRED_COLUMNS
 from salescope.sources.readers import scan_sales
+from salescope_checks import load_queries
 
 HEADERS = [c.replace("_", " ").title() for c in REQUIRED_COLUMNS]
 NUMBERS = {"year": 2020, "engine_size_l": 2.0, "mileage_km": 100.0, "price_usd": 7.0, "sales_volume": 3.0}
@@ -71,3 +72,41 @@ def test_undeclared_numbers_keep_every_digit(spark, tmp_path):
     assert {int(r.huge) for r in df.collect()} == {10**25 + 1, 3}
     lines(tmp_path / "a.json", {**dict(zip(HEADERS, VALUES)), "Serial": 9007199254740993})
     assert scan_sales(spark, str(tmp_path / "a.json")).first().serial == 9007199254740993
+
+
+@pytest.fixture
+def copies(tmp_path, monkeypatch):
+    """A folder of its own for the copies that are dispatched."""
+    monkeypatch.setattr(load_queries, "new_path", lambda spark, name: f"file:{tmp_path}/{name}-{len(list(tmp_path.iterdir()))}")
+    return tmp_path
+
+
+def test_dispatch_packs_its_text_and_keeps_one_copy_at_a_time(spark, make, copies, monkeypatch):
+    rows = [{"model": f"M{i % 3}", "price_usd": float(i)} for i in range(997)]
+    table = make(*rows, {"model": None}, {"region": None, "sales_volume": None}, {}, sales_volume=4.0).coalesce(2)
+    monkeypatch.setattr(load_queries, "sales_fact", lambda spark, sf_dir: table)
+    seen = {}
+
+    def read(spark, path):
+        (copy,) = copies.iterdir()
+        assert path == f"file:{copy}"
+        seen[copy.suffix] = [(f.name, f.stat().st_size) for f in copy.iterdir() if f.name.startswith("part-")]
+        return scan_sales(spark, path)
+
+    monkeypatch.setattr(load_queries, "scan_sales", read)
+    for options in load_queries.COPIES.values():
+        monkeypatch.setitem(options, "maxRecordsPerFile", 400)
+    found = load_queries._dispatch(spark, "")
+    assert not list(copies.iterdir())
+    assert sorted(map(tuple, found.collect())) == [(fmt, 999, 3996) for fmt in ("csv", "json", "parquet")]
+    for fmt, plain in ((".CSV", 50_000), (".JSON", 180_000)):  # about as many bytes as plain text
+        assert len(seen[fmt]) == 4 and all(name.endswith(f"{fmt.lower()}.lz4") for name, _ in seen[fmt])
+        assert sum(size for _, size in seen[fmt]) * 2 < plain
+
+
+def test_dispatch_that_fails_leaves_no_copy(spark, make, copies, monkeypatch):
+    monkeypatch.setattr(load_queries, "sales_fact", lambda spark, sf_dir: make({}, {}))
+    monkeypatch.setattr(load_queries, "scan_sales", lambda spark, path: scan_sales(spark, path, required=["absent"]))
+    with pytest.raises(ValueError, match="absent"):
+        load_queries._dispatch(spark, "")
+    assert not list(copies.iterdir())

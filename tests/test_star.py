@@ -3,10 +3,12 @@ from __future__ import annotations
 import datetime
 import os
 import re
+import time
 
 import pytest
 
 from salescope.sources import star
+from salescope.sources.staging import SHUFFLES_GO
 
 ORDERS = (1, 101, 211, 307, 401, 503)
 
@@ -85,6 +87,29 @@ def test_staged_rows_are_written_where_they_are(spark, tables):
     assert not [name for name in os.listdir(path.removeprefix("file:")) if name.startswith("year=")]
 
 
+def test_staging_leaves_no_shuffle_files(spark, tables, monkeypatch):
+    """The joins' shuffles, several times the written table, go when it is written."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        return {n for i in range(files.length()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+    monkeypatch.setattr(star, "_staged", {})
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    before, cleanup = shuffled(), spark.conf.get(SHUFFLES_GO)
+    try:
+        fact = star.sales_fact(spark, tables)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    until = time.time() + 5
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left and spark.conf.get(SHUFFLES_GO) == cleanup
+    assert fact.count() == len(list(expected(False)))
+
+
 def test_dirty_rows_are_read_once_without_a_table_of_their_own(spark, tables, monkeypatch):
     monkeypatch.setattr(star, "_staged", {})
     assert sorted(map(repr, star.dirty_rows(spark, tables).collect())) == sorted(map(repr, star.dirty_sales(spark, tables).collect()))
